@@ -1,10 +1,12 @@
 """Registered queries of this folder and their DuckDB SQL where SQL can express them."""
 
-from granary.llm import quality_rules, url_filter
+from granary.llm import mixing, quality_rules, url_filter, warc
 
 QUERIES = {
+    "op2_warc": warc.query,
     "op3_quality_rules": quality_rules.query,
     "op9_url_filter": url_filter.query,
+    "op10_mixing": mixing.query,
 }
 
 ORACLE_SQL = {
