@@ -1,15 +1,19 @@
 """Registered queries of this folder and their DuckDB SQL where SQL can express them."""
 
-from granary.llm import mixing, quality_rules, url_filter, warc
+from granary.llm import langid, mixing, quality_rules, topk, toxicity, url_filter, warc
 
 QUERIES = {
     "op2_warc": warc.query,
     "op3_quality_rules": quality_rules.query,
+    "op5_topk": topk.query,
+    "op6_langid": langid.query,
+    "op7_toxicity": toxicity.query,
     "op9_url_filter": url_filter.query,
     "op10_mixing": mixing.query,
 }
 
 ORACLE_SQL = {
     "op3_quality_rules": quality_rules.SQL,
+    "op5_topk": topk.SQL,
     "op9_url_filter": url_filter.SQL,
 }
