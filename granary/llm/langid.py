@@ -21,7 +21,6 @@ not held out; extra columns are ignored; an empty table gives no row.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -157,13 +156,12 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for (doc_id, held_out, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("lang_pred string, score double")
+    def said(texts: pd.Series) -> pd.DataFrame:
         model = shared.value
-        for f in frames:
-            said = [model.predict(t) if model else ("und", 0.0) for t in f["text"]]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "held_out": f["held_out"], "lang_pred": [x for x, _ in said], "score": [s for _, s in said]})
+        return pd.DataFrame([model.predict(t) if model else ("und", 0.0) for t in texts], columns=["lang_pred", "score"])
 
-    return docs.select("doc_id", "held_out", "text").mapInPandas(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return docs.select("doc_id", "held_out", said("text").alias("said")).select("doc_id", "held_out", "said.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,12 @@
 """Registered queries of this folder and their DuckDB SQL where SQL can express them."""
 
-from granary.llm import langid, mixing, quality_rules, topk, toxicity, url_filter, warc
+from granary.llm import langid, mixing, packing, quality_rules, simhash, topk, toxicity, url_filter, warc
 
 QUERIES = {
+    "op1_simhash": simhash.query,
     "op2_warc": warc.query,
     "op3_quality_rules": quality_rules.query,
+    "op4_packing": packing.query,
     "op5_topk": topk.query,
     "op6_langid": langid.query,
     "op7_toxicity": toxicity.query,

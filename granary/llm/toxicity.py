@@ -23,7 +23,6 @@ from __future__ import annotations
 import math
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -173,14 +172,15 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     """doc_id, held_out, score, predicted for (doc_id, held_out, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lexicon, table = shared.value, _Fold()
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        lexicon = shared.value
         automaton = lexicon.automaton()
-        for f in frames:
-            s = np.array([lexicon.score(automaton, fold(t or "", table)) for t in f["text"]], float)
-            yield pd.DataFrame({"doc_id": f["doc_id"], "held_out": f["held_out"], "score": s, "predicted": (s >= THRESHOLD).astype("i4")})
+        return pd.Series([lexicon.score(automaton, fold(t or "", table)) for t in texts], dtype="float64")
 
-    return docs.select("doc_id", "held_out", "text").mapInPandas(run, "doc_id long, held_out boolean, score double, predicted int")
+    table = _Fold()
+    out = docs.select("doc_id", "held_out", scored("text").alias("score"))
+    return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def training_labels(labels: DataFrame) -> DataFrame:
