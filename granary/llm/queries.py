@@ -1,6 +1,6 @@
 """Registered queries of this folder and their DuckDB SQL where SQL can express them."""
 
-from granary.llm import langid, mixing, packing, quality_rules, simhash, topk, toxicity, url_filter, warc
+from granary.llm import langid, mixing, packing, quality_rules, simhash, suffix_dedup, topk, toxicity, url_filter, warc
 
 QUERIES = {
     "op1_simhash": simhash.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_topk": topk.query,
     "op6_langid": langid.query,
     "op7_toxicity": toxicity.query,
+    "op8_suffix_dedup": suffix_dedup.query,
     "op9_url_filter": url_filter.query,
     "op10_mixing": mixing.query,
 }
