@@ -14,7 +14,7 @@ so each pair of equal windows meets in one shard:
 
 1. Texts are stored in batches of about BATCH bytes.
 2. Batches send their distinct keys; keys of two or more batches come back, with
-   a mark if they have over HOT runs.  Whole texts that an earlier document
+   a mark if they have over HOT segments.  Whole texts that an earlier document
    has are told by their digests and take no further part.
 3. Batches send the segments of shared keys, each distinct one once, with the
    smallest and largest doc_id that has it.  A hot key's segments go window by
@@ -43,12 +43,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import partitions, written
+from granary.llm.common import dropped, partitions, written
 
 LEAST = 50
-GRAM = 24
+GRAM = 16
 BATCH = 2 << 20
-#: Runs of one key from which its windows are dealt out singly.
+#: Different segments of one key, summed over batches, from which its windows
+#: are dealt out singly.
 HOT = 4096
 #: Windows of a segment at most; longer runs are several segments.
 RUN = 47
@@ -213,10 +214,10 @@ def spans(rows: np.ndarray, lens: np.ndarray, low: np.ndarray, high: np.ndarray)
 # ---- batches ----------------------------------------------------------------
 
 
-def _z(data: bytes) -> bytes:
+def _z(data: bytes, level: int = 3) -> bytes:
     import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(data)
+    return zstandard.ZstdCompressor(level=level).compress(data)
 
 
 def _unz(data: bytes) -> bytes:
@@ -259,7 +260,7 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         null = np.array([i is None for i in ids], bool)
         key = np.array([_NULL if i is None else i for i in ids], "<i8")
         lens = np.array([len(t) for t in texts], "<i8")
-        return _rows(batch=[made], docs=[_pack(key, null, lens)], texts=[_z(b"".join(texts))])
+        return _rows(batch=[made], docs=[_pack(key, null, lens)], texts=[_z(b"".join(texts), 9)])
 
     for b in batches:
         for i, t in zip(b.column(0), b.column(1)):
@@ -305,6 +306,29 @@ def _short(keys: np.ndarray, bucket) -> np.ndarray:
     return ((keys & np.uint64((1 << 48) - 1)) << np.uint64(16)) | (np.asarray(bucket).astype(np.uint64) & np.uint64(0xFFFF))
 
 
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number."""
+    return np.lib.stride_tricks.as_strided(text[:8].view("<u8"), (len(text) - 7,), (1,))
+
+
+def _kinds(text: np.ndarray, start: np.ndarray, size: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and how many different segments each has."""
+    distinct, of, runs_ = np.unique(keys, return_inverse=True, return_counts=True)
+    count = np.ones(len(distinct), np.int64)
+    rows = np.flatnonzero((runs_ > 1)[of])
+    if len(rows):
+        at, length, word = start[rows], size[rows] + LEAST - 1, _words(text)
+        h = _mix((word[at + length - 8] + length.astype(np.uint64)) * _M[0])
+        for w in range(0, RUN + LEAST - 9, 8):
+            more = w + 8 < length
+            h[more] = _mix((h[more] ^ word[at[more] + w]) * _M[1])
+        order = np.lexsort((h, of[rows]))
+        key, h = of[rows][order], h[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (h[1:] != h[:-1]))
+        count = np.maximum(count, np.bincount(key[new], minlength=len(distinct)))
+    return distinct, count
+
+
 def _ask(buckets: int):
     """Stored batches to rows: kind 0, keys by bucket; kind 1, texts' digests."""
 
@@ -315,8 +339,7 @@ def _ask(buckets: int):
                 digest = _digests(text, lens)
                 first, least, of = _first_here(digest, key)
                 again = key > least[of]
-                _, _, keys = runs(text, lens, again)
-                keys, count = np.unique(keys, return_counts=True)
+                keys, count = _kinds(text, *runs(text, lens, again))
                 bucket = (keys % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -436,7 +459,7 @@ def _segments(buckets: int):
         many = np.zeros(len(keys), bool)
         if len(order):
             several[order] = (doc[order][edges] != doc[order][last])[group]
-            many[order] = (last - edges + 1 > HOT)[group]
+            many[order] = (_kinds(text, start, size, keys)[1] > HOT)[group]
         shared, hot = _said(answers, 0, "<u8", "?")
         by = np.argsort(shared, kind="stable")
         shared, hot = shared[by], hot[by]
@@ -446,42 +469,40 @@ def _segments(buckets: int):
         hot = np.where(asked, hot[at] if len(shared) else False, many)
         keep = asked | several
         start, size, keys, doc, hot = start[keep], size[keep], keys[keep], doc[keep], hot[keep]
-        if hot.any():
-            n = np.where(hot, size, 1)
-            inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            single = np.repeat(hot, n)
-            start, size = np.repeat(start, n) + inner, np.where(single, 1, np.repeat(size, n))
-            keys, doc, hot = np.repeat(keys, n), np.repeat(doc, n), single
         long_ = size + LEAST - 1
         content = np.zeros((len(start), RUN + LEAST), np.uint8)
         step = np.arange(RUN + LEAST - 1)
-        for a in range(0, len(start), _SLICE):
-            b = a + _SLICE
+        for a in range(0, len(start), 4096):
+            b = a + 4096
             place = np.minimum(start[a:b, None] + step, len(text) - 1)
             content[a:b, :-1] = np.where(step < long_[a:b, None], text[place], 0)
         content[:, -1] = long_
-        kinds, j = np.unique(content.view(f"S{content.shape[1]}").ravel(), return_inverse=True) if len(start) else (np.zeros(0), np.zeros(0, np.int64))
+        kinds, some, j = np.unique(content.view(f"S{content.shape[1]}").ravel(), return_index=True, return_inverse=True) if len(start) else (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        del content
         low, high = np.full(len(kinds), _NULL), np.full(len(kinds), np.iinfo(np.int64).min)
         np.minimum.at(low, j, key[doc])
         np.maximum.at(high, j, key[doc])
-        some = np.zeros(len(kinds), np.int64)
-        some[j] = np.arange(len(j))
-        route = keys[some].copy()
-        if hot.any():
-            h = np.zeros(len(kinds), np.uint64)
-            for w in range(0, 48, 8):
-                h = _mix((h ^ content[some, w : w + 8].copy().view("<u8").ravel()) * _M[0])
-            route = np.where(hot[some], route ^ h, route)
+        # A segment is one item, or one for each window where its key is hot.
+        n = np.where(hot[some], size[some], 1)
+        item = np.repeat(np.arange(len(kinds)), n)
+        base = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        single = hot[some][item]
+        begin, length, route = start[some][item] + base, np.where(single, LEAST, long_[some][item]), keys[some][item]
+        if single.any():
+            word = _words(text)
+            h = np.zeros(int(single.sum()), np.uint64)
+            for w in range(0, LEAST - 7, 8):
+                h = _mix((h ^ word[begin[single] + w]) * _M[0])
+            route[single] ^= h
         bucket = ((route >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((start[some], bucket))  # neighbours overlap, so they compress well
+        order = np.lexsort((begin, bucket))
         cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        out = [(0, 1, _pack(start.astype("<i8"), doc.astype("<i4"), j.astype("<i4")), np.packbits(again).tobytes())]
+        out = [((batch ^ batch >> 32) % buckets, 1, _pack(start.astype("<i8"), doc.astype("<i4"), j.astype("<i4")), np.packbits(again).tobytes())]
         for k in np.flatnonzero(np.diff(cut)).tolist():
             rows = order[cut[k] : cut[k + 1]]
-            size_ = long_[some[rows]]
-            body = content[some[rows]]
-            flat = body[np.arange(body.shape[1]) < size_[:, None]]
-            out.append((k, 0, _pack(rows.astype("<i4"), size_.astype("u1"), route[rows].astype("<u4"), low[rows].astype("<i8"), high[rows].astype("<i8")), _z(flat.tobytes())))
+            n = length[rows]
+            flat = text[np.arange(n.sum()) + np.repeat(begin[rows] - np.cumsum(n) + n, n)]
+            out.append((k, 0, _pack(item[rows].astype("<i4"), base[rows].astype("u1"), n.astype("u1"), route[rows].astype("<u4"), low[item[rows]].astype("<i8"), high[item[rows]].astype("<i8")), _z(flat.tobytes())))
         k, kind, data, more = zip(*out)
         return _rows(bucket=k, kind=kind, batch=[batch] * len(k), data=data, more=more)
 
@@ -494,11 +515,18 @@ def _segments(buckets: int):
 
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bucket's segments to spans for each batch that has them."""
+    """A bucket's segments to spans for each batch that has them (kind 0); the
+    batches' own places (kind 1) pass through."""
     for _, rows in _by_bucket(batches):
-        cols = [_arrays(r["data"], "<i4", "u1", "<u4", "<i8", "<i8") for r in rows]
+        own = [r for r in rows if r["kind"] == 1]
+        if own:
+            yield _rows(batch=[r["batch"] for r in own], kind=[1] * len(own), data=[r["data"] for r in own], more=[r["more"] for r in own])
+        rows = [r for r in rows if r["kind"] == 0]
+        if not rows:
+            continue
+        cols = [_arrays(r["data"], "<i4", "u1", "u1", "<u4", "<i8", "<i8") for r in rows]
         who = np.repeat(np.arange(len(rows)), [len(c[0]) for c in cols])
-        j, size, route, low, high = (np.concatenate(c) for c in zip(*cols))
+        j, base, size, route, low, high = (np.concatenate(c) for c in zip(*cols))
         size = size.astype(np.int64)
         flat = np.frombuffer(b"".join(_unz(r["more"]) for r in rows), np.uint8)
         begin = np.cumsum(size) - size
@@ -538,11 +566,11 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.searchsorted(owner, np.arange(len(rows) + 1))
             for k in np.flatnonzero(np.diff(ends)).tolist():
                 a, b = ends[k], ends[k + 1]
-                found[k].append((j[part][row[a:b]], off[at[a:b]].astype("u1"), length[at[a:b]].astype("u1"), doc[at[a:b]]))
+                found[k].append((j[part][row[a:b]], (off[at[a:b]] + base[part][row[a:b]]).astype("u1"), length[at[a:b]].astype("u1"), doc[at[a:b]]))
         out = [(r["batch"], _pack(*(np.concatenate(c) for c in zip(*f)))) for r, f in zip(rows, found) if f]
         if out:
             batch, data = zip(*out)
-            yield _rows(batch=batch, data=data)
+            yield _rows(batch=batch, kind=[0] * len(batch), data=data, more=[None] * len(batch))
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -553,17 +581,17 @@ def _apply(with_text: bool):
         key, null, lens, text = _open(docs, texts)
         start, doc, j = _arrays(where, "<i8", "<i4", "<i4")
         change = np.zeros(len(text) + 1, np.int32)
-        for a in answers or []:
-            seg, off, length, least = _arrays(a, "<i4", "u1", "u1", "<i8")
+        if answers and len(j):
+            seg, off, length, least = (np.concatenate(c) for c in zip(*(_arrays(a, "<i4", "u1", "u1", "<i8") for a in answers)))
             order = np.argsort(seg, kind="stable")
-            cut = np.searchsorted(seg[order], [j, j + 1])
-            n = cut[1] - cut[0]
+            cut = np.searchsorted(seg[order], np.arange(int(j.max()) + 2))
+            n = np.diff(cut)[j]
             occ = np.repeat(np.arange(len(j)), n)
-            at = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - cut[0], n)]
+            at = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - cut[j], n)]
             use = least[at] < key[doc[occ]]
             begin = start[occ[use]] + off[at[use]]
-            np.add.at(change, begin, 1)
-            np.add.at(change, begin + length[at[use]], -1)
+            change += np.bincount(begin, minlength=len(change)).astype(np.int32)
+            change -= np.bincount(begin + length[at[use]], minlength=len(change)).astype(np.int32)
         covered = np.cumsum(change[:-1]) > 0
         again = np.unpackbits(np.frombuffer(gone, np.uint8), count=len(lens)).astype(bool)
         ends = np.cumsum(lens)
@@ -591,21 +619,21 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     (doc_id, text).  ``with_text``: the last column is ``kept_text``, without
     bytes of characters that were cut apart."""
     spark = docs.sparkSession
-    buckets = 4 * partitions(spark)
     stored = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_store, STORED), "texts", "uncompressed")
+    # A bucket has the segments of at most some 64 batches' worth of text.
+    buckets = max(partitions(spark), stored.count() // 64)
     message = "bucket int, kind int, batch long, data binary, more binary"
     asked = stored.mapInArrow(_ask(buckets), message).repartition("bucket").sortWithinPartitions("bucket")
     told = written(asked.mapInArrow(_answer, "batch long, kind int, data binary"), "keys", "uncompressed")
     _tidy(spark)
     answers = told.groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
     full = stored.join(answers, "batch", "left").select("batch", "docs", "texts", "answers")
-    sent = written(full.mapInArrow(_segments(buckets), message), "segments", "uncompressed")
-    _tidy(spark)
-    segments = sent.where("kind = 0").select("bucket", "batch", "data", "more").repartition("bucket").sortWithinPartitions("bucket")
-    found = written(segments.mapInArrow(_search, "batch long, data binary"), "spans", "uncompressed")
+    sent = full.mapInArrow(_segments(buckets), message).repartition("bucket").sortWithinPartitions("bucket")
+    found = written(sent.mapInArrow(_search, "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
+    dropped(told)
     _tidy(spark)
-    where = sent.where("kind = 1").select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
-    found = found.groupBy("batch").agg(F.collect_list("data").alias("found"))
+    where = found.where("kind = 1").select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
+    found = found.where("kind = 0").groupBy("batch").agg(F.collect_list("data").alias("found"))
     last = stored.join(where, "batch").join(found, "batch", "left").select("docs", "texts", "at", "gone", "found")
     out = last.mapInArrow(_apply(with_text), RESULT)
     return out.withColumnRenamed("kept_sha256", "kept_text") if with_text else out
