@@ -67,11 +67,19 @@ def _source_table(sized: DataFrame, weights, share: float) -> DataFrame:
     return sized.sparkSession.createDataFrame(data, "source string, source_size long, target double, whole long, need double")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document."""
+def _hash(doc_id, text):
+    """The place of a document between 0 and 2^(BITS * LEVELS)."""
+    return F.shiftrightunsigned(F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("mix"), F.coalesce(F.xxhash64(text), F.lit(0))), 64 - BITS * LEVELS)
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), _hash(F.col("doc_id"), F.col("text")).alias("h")), "mix")
+
+
+def thresholds(sized: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
+    """One row per source: src, source_size, target, ``whole`` copies of every
+    document, and one more of those whose hash is below ``cut``."""
     total = BITS * LEVELS
-    key = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("mix"), F.coalesce(F.xxhash64("text"), F.lit(0))), 64 - total)
-    sized = written(docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("h")), "mix")
     sources = _source_table(sized, weights, share)
     # Where each source's search stands: all hashes below ``low`` are taken.
     at = F.broadcast(sources.select(F.col("source").alias("src"), "need", F.lit(0).cast("long").alias("low"), F.lit(0.0).alias("below"), F.lit(0).cast("long").alias("last")))
@@ -92,10 +100,27 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     # The last bucket holds one hash: take it if that leaves the sum nearer.
     rows = [(r.src, r.low + (1 if r.last - (r.need - r.below) < r.need - r.below else 0)) for r in rows]
     cuts = sized.sparkSession.createDataFrame(rows, "src string, cut long")
-    table = sources.join(cuts, F.col("source").eqNullSafe(F.col("src")), "left").select(F.col("source").alias("src"), "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
-    out = sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("src")))
-    more = F.when((F.col("h") < F.col("cut")) & (F.col("whole") < MOST), 1).otherwise(0)
-    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * (F.col("whole") + more)).alias("taken"))
+    return sources.join(cuts, F.col("source").eqNullSafe(F.col("src")), "left").select(F.col("source").alias("src"), "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
+
+
+def _copies(h):
+    return F.col("whole") + F.when((h < F.col("cut")) & (F.col("whole") < MOST), 1).otherwise(0)
+
+
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every document."""
+    sized = _sized(docs)
+    out = sized.join(F.broadcast(thresholds(sized, weights, share)), F.col("source").eqNullSafe(F.col("src")))
+    return out.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("h"))).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
+    """The rows of ``docs`` that the mix takes, each as often as it is taken."""
+    table = thresholds(_sized(docs), weights, share).toDF("_src", "_size", "_target", "whole", "cut").select("_src", "whole", "cut")
+    row = docs.select(F.col("source").alias("_source"), _hash(F.col("doc_id"), F.col("text")).alias("_h"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
+    out = row.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_src")))
+    out = out.select("_row", _copies(F.col("_h")).cast("int").alias("_n")).where("_n > 0")
+    return out.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).select("_row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

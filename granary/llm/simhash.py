@@ -43,26 +43,33 @@ SEED = 42
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
-    """64-bit fingerprint of the word shingles of a text, A-Z lower-cased."""
+def _hashes(text: str | None, words: int) -> np.ndarray:
+    """Hash of each word shingle of a text, A-Z lower-cased; none for no word."""
     import xxhash
 
     w = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not w:
-        return 0
     line = b" ".join(w)
     hashed = xxhash.xxh64_intdigest
     if len(w) <= words:
-        return hashed(line, SEED)
+        return np.array([hashed(line, SEED)] if w else [], "<u8")
     ends = np.cumsum([len(x) + 1 for x in w])
     starts = [0, *ends[: len(w) - words].tolist()]
-    h = np.fromiter((hashed(line[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())), "<u8", len(w) - words + 1)
+    return np.fromiter((hashed(line[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :].tolist())), "<u8", len(w) - words + 1)
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the hashes set; 0 for none."""
     count = np.zeros(64, np.int64)
     for at in range(0, len(h), 1 << 16):
         count += np.unpackbits(h[at : at + (1 << 16)].view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * count > len(h), bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str | None, words: int = WORDS) -> int:
+    """64-bit fingerprint of a text's word shingles, repeats included."""
+    return majority(_hashes(text, words))
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS, keep: list[str] | None = None) -> DataFrame:
     """``docs`` columns named in ``keep`` (doc_id alone if None) and ``fp``,
     the fingerprint as a signed long."""
@@ -215,6 +222,95 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, p
     return rows.join(table, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
+# ---- one document of each group of similar texts ----------------------------
+
+#: Bins of a text's sketch, how many make a band, and the least share of equal
+#: bins for which a pair's texts are compared.
+BINS, BAND, PROBABLE = 126, 6, 0.65
+SIMILARITY = 0.8
+
+
+def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+    """Distinct 64-bit hashes of a text's word shingles, sorted."""
+    return np.unique(_hashes(text, words))
+
+
+def sketch(h: np.ndarray) -> bytes:
+    """16 bits of the least hash in each bin; empty bins copy the next one."""
+    low = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
+    np.minimum.at(low, (h % np.uint64(BINS)).astype(np.int64), h // np.uint64(BINS))
+    full = np.flatnonzero(low != np.iinfo(np.uint64).max)
+    if not len(full):
+        return bytes(2 * BINS)
+    near = full[np.searchsorted(full, np.arange(BINS)) % len(full)]
+    mixed = (low[near] + near.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(48)).astype("<u2").tobytes()
+
+
+def jaccard(a: str | None, b: str | None, words: int) -> float:
+    x, y = shingle_hashes(a, words), shingle_hashes(b, words)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
+
+
+def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group, the one with the
+    smallest doc_id stays (nulls last).
+
+    Fingerprints within ``radius`` bits are candidates.  Pairs at a similarity of
+    0.8 are mostly farther apart (5 to 14 bits), so texts that share a band
+    of their shingle sketches are candidates too.  A pair is a link if the
+    share of common shingles, counted on whole texts, is at least
+    ``similarity``; groups are the links' components.  In a shared band each text
+    meets the first of it and the first of its own 16th, not every other.
+    """
+
+    @F.pandas_udf("fp long, sketch binary")
+    def marks(texts: pd.Series) -> pd.DataFrame:
+        h = [_hashes(t, words) for t in texts]
+        return pd.DataFrame({"fp": np.array([majority(x) for x in h], np.uint64).view(np.int64), "sketch": [sketch(x) for x in h]})
+
+    @F.pandas_udf("boolean")
+    def probable(a: pd.Series, b: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(s), "<u2").reshape(-1, BINS) for s in (a, b))
+        return pd.Series((x == y).mean(axis=1) >= PROBABLE)
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([jaccard(x, y, words) >= similarity for x, y in zip(a, b)])
+
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    table = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), marks(text).alias("m"), row)
+    rows = written(table.select("rid", "id", "digest", "m.fp", "m.sketch", "row"), "rows")
+    first = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
+    classes = rows.groupBy("digest").agg(F.min(first).alias("first"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"))
+    classes = written(classes.select(F.col("first.rid").alias("node"), "first", "fp", "sketch"), "classes")
+    # Candidates by fingerprint: distinct ones within the radius, and equal ones.
+    by_fp = classes.groupBy("fp").agg(F.min("node").alias("of_fp"))
+    near = links(by_fp.select("fp"), radius)
+    a = near.join(by_fp.select(F.col("fp").alias("a"), F.col("of_fp").alias("u")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("of_fp").alias("v")), "b").select("u", "v")
+    same = classes.join(by_fp, "fp").select(F.col("node").alias("u"), F.col("of_fp").alias("v"))
+    # Candidates by band.
+    keys = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 2 * BAND * i + 1, 2 * BAND)) for i in range(BINS // BAND)))
+    band = classes.select("node", F.explode(keys).alias("key"), F.pmod(F.xxhash64("node"), F.lit(16)).alias("part"))
+    parts = band.groupBy("key", "part").agg(F.min("node").alias("part_least"), F.count(F.lit(1)).alias("n"))
+    wholes = parts.groupBy("key").agg(F.min("part_least").alias("least"), F.sum("n").alias("n")).where("n > 1")
+    heads = parts.drop("n").join(wholes.select("key", "least"), "key")
+    met = band.join(heads, ["key", "part"]).select("node", F.explode(F.array("part_least", "least")).alias("other"))
+    met = met.where("node <> other").select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
+    s = classes.select("node", "sketch")
+    met = met.join(s.toDF("u", "s1"), "u").join(s.toDF("v", "s2"), "v").where(probable("s1", "s2")).select("u", "v")
+    pairs = a.unionByName(same).unionByName(met).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    pairs = written(pairs, "pairs")
+    texts = rows.select("rid", F.coalesce("row.text", F.lit("")).alias("body"))
+    both = pairs.join(texts.toDF("u", "t1"), "u").join(texts.toDF("v", "t2"), "v").where(alike("t1", "t2"))
+    roots = components(both.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    of = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    stay = of.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
+    return rows.select("rid", "row").join(stay, "rid", "left_semi").select("row.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

@@ -50,7 +50,7 @@ GRAM = 16
 BATCH = 2 << 20
 #: Different segments of one key, summed over batches, from which its windows
 #: are dealt out singly.
-HOT = 4096
+HOT = 1 << 14
 #: Windows of a segment at most; longer runs are several segments.
 RUN = 47
 #: Suffixes of a shard's array at most, but for the last key's.
@@ -248,28 +248,43 @@ def _rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.binary())) for k, v in columns.items()], list(columns))
 
 
-STORED = "batch long, docs binary, texts binary"
+STORED = "batch long, docs binary, texts binary, rest binary"
+
+
+def _ipc(slices: list[pa.RecordBatch]) -> bytes:
+    """Columns that only travel along, as an Arrow stream."""
+    if not slices or not slices[0].num_columns:
+        return b""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, slices[0].schema) as out:
+        for x in slices:
+            out.write_batch(x)
+    return _z(sink.getvalue().to_pybytes())
 
 
 def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
-    made, ids, texts, size = TaskContext.get().partitionId() << 32, [], [], 0
+    made, ids, texts, rest, size = TaskContext.get().partitionId() << 32, [], [], [], 0
 
     def close() -> pa.RecordBatch:
         null = np.array([i is None for i in ids], bool)
         key = np.array([_NULL if i is None else i for i in ids], "<i8")
         lens = np.array([len(t) for t in texts], "<i8")
-        return _rows(batch=[made], docs=[_pack(key, null, lens)], texts=[_z(b"".join(texts), 9)])
+        return _rows(batch=[made], docs=[_pack(key, null, lens)], texts=[_z(b"".join(texts), 9)], rest=[_ipc(rest)])
 
     for b in batches:
-        for i, t in zip(b.column(0), b.column(1)):
+        more, done = pa.RecordBatch.from_arrays(b.columns[2:], [str(i) for i in range(b.num_columns - 2)]), 0
+        for at, (i, t) in enumerate(zip(b.column(0), b.column(1)), 1):
             ids.append(i.as_py())
             texts.append(t.as_buffer().to_pybytes() if t.is_valid else b"")
             size += len(texts[-1])
             if size >= BATCH:
+                rest.append(more.slice(done, at - done))
                 yield close()
-                made, ids, texts, size = made + 1, [], [], 0
+                made, ids, texts, rest, size, done = made + 1, [], [], [], 0, at
+        if done < b.num_rows:
+            rest.append(more.slice(done))
     if ids:
         yield close()
 
@@ -576,8 +591,11 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _apply(with_text: bool):
-    def one(docs: bytes, texts: bytes, where: bytes, gone: bytes, answers) -> pa.RecordBatch:
+def _apply(text_at: int | None = None):
+    """Results; or, with ``text_at``, the carried columns and at that place the
+    text that is left, without bytes of characters that were cut apart."""
+
+    def one(docs: bytes, texts: bytes, rest: bytes, where: bytes, gone: bytes, answers) -> pa.RecordBatch:
         key, null, lens, text = _open(docs, texts)
         start, doc, j = _arrays(where, "<i8", "<i4", "<i4")
         change = np.zeros(len(text) + 1, np.int32)
@@ -603,27 +621,44 @@ def _apply(with_text: bool):
             removed.append(int(c.sum()))
             pieces.append(int(c[:1].sum() + (c[1:] & ~c[:-1]).sum()) if removed[-1] else 0)
             left = text[a:b][~c] if removed[-1] else text[a:b]
-            kept.append(left.tobytes().decode("utf-8", "ignore") if with_text else hashlib.sha256(left).hexdigest())
+            kept.append(left.tobytes().decode("utf-8", "ignore") if text_at is not None else hashlib.sha256(left).hexdigest())
+        if text_at is not None:
+            table = pa.ipc.open_stream(_unz(rest)).read_all() if rest else pa.table({})
+            arrays = [c.combine_chunks() for c in table.columns]
+            arrays.insert(text_at, pa.array(kept, pa.string()))
+            return pa.RecordBatch.from_arrays(arrays, [str(i) for i in range(len(arrays))])
         return pa.RecordBatch.from_arrays([pa.array(key, mask=null), pa.array(lens), pa.array(removed, pa.int64()), pa.array(pieces, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                yield one(*(b.column(c)[i].as_py() for c in range(5)))
+                yield one(*(b.column(c)[i].as_py() for c in range(6)))
 
     return run
 
 
-def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
+def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of
-    (doc_id, text).  ``with_text``: the last column is ``kept_text``, without
-    bytes of characters that were cut apart."""
+    (doc_id, text)."""
+    return _applied(docs, []).mapInArrow(_apply(), RESULT)
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs``, the texts without what was removed.
+    A null text comes out empty."""
+    at = docs.columns.index("text")
+    rest = [c for i, c in enumerate(docs.columns) if i != at]
+    return _applied(docs, rest).mapInArrow(_apply(at), docs.schema)
+
+
+def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
+    """Each stored batch with the spans found for it."""
     spark = docs.sparkSession
-    stored = written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_store, STORED), "texts", "uncompressed")
+    stored = written(docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"), *(F.col(f"`{c}`") for c in rest)).mapInArrow(_store, STORED), "texts", "uncompressed")
     # A bucket has the segments of at most some 64 batches' worth of text.
     buckets = max(partitions(spark), stored.count() // 64)
     message = "bucket int, kind int, batch long, data binary, more binary"
-    asked = stored.mapInArrow(_ask(buckets), message).repartition("bucket").sortWithinPartitions("bucket")
+    asked = stored.select("batch", "docs", "texts").mapInArrow(_ask(buckets), message).repartition("bucket").sortWithinPartitions("bucket")
     told = written(asked.mapInArrow(_answer, "batch long, kind int, data binary"), "keys", "uncompressed")
     _tidy(spark)
     answers = told.groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
@@ -634,9 +669,8 @@ def dedup(docs: DataFrame, with_text: bool = False) -> DataFrame:
     _tidy(spark)
     where = found.where("kind = 1").select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
     found = found.where("kind = 0").groupBy("batch").agg(F.collect_list("data").alias("found"))
-    last = stored.join(where, "batch").join(found, "batch", "left").select("docs", "texts", "at", "gone", "found")
-    out = last.mapInArrow(_apply(with_text), RESULT)
-    return out.withColumnRenamed("kept_sha256", "kept_text") if with_text else out
+    last = stored.join(where, "batch").join(found, "batch", "left")
+    return last.select("docs", "texts", "rest", "at", "gone", "found")
 
 
 def _tidy(spark: SparkSession) -> None:

@@ -168,9 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, per: int = PER_CLASS) -> Lexicon:
     return learn([r.text for r in found if r.toxic == 1], [r.text for r in found if r.toxic == 0])
 
 
-def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """doc_id, held_out, score, predicted for (doc_id, held_out, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(lexicon)
+def scorer(docs: DataFrame, lexicon: Lexicon):
+    """A function of a text column that gives its score."""
+    shared, table = docs.sparkSession.sparkContext.broadcast(lexicon), _Fold()
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
@@ -178,11 +178,20 @@ def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
         automaton = lexicon.automaton()
         return pd.Series([lexicon.score(automaton, fold(t or "", table)) for t in texts], dtype="float64")
 
-    table = _Fold()
-    out = docs.select("doc_id", "held_out", scored("text").alias("score"))
+    return scored
+
+
+def score(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """doc_id, held_out, score, predicted for (doc_id, held_out, text)."""
+    out = docs.select("doc_id", "held_out", scorer(docs, lexicon)("text").alias("score"))
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
+def rejected_out(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose text scores under the threshold."""
+    return docs.where(scorer(docs, lexicon)("text") < threshold)
+
+
 def training_labels(labels: DataFrame) -> DataFrame:
     return labels.where(~held_out(F.col("doc_id"), 3, 1))
 
