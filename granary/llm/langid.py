@@ -101,16 +101,20 @@ class Model:
                 done[known[k]] = True
         self.bits = bits.reshape(rows * a, len(self.languages))
 
-    def _codes(self, texts: list[np.ndarray]) -> np.ndarray:
+    def _codes(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' classes, each text after a gap, and which are no gap."""
         gap = np.zeros(self.order, np.int64)
-        return np.concatenate([x for t in texts for x in (gap, self.code[t])] or [gap])
+        codes = np.concatenate([x for t in texts for x in (gap, self.code[t])] or [gap])
+        real = np.concatenate([np.repeat([False, True], [self.order, len(t)]) for t in texts] or [gap > 0])
+        return codes, real[self.order :]
 
-    def _count(self, codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def _count(self, stream: tuple[np.ndarray, np.ndarray], k: int) -> tuple[np.ndarray, np.ndarray]:
+        codes, real = stream
         n = len(codes) - self.order
         key = np.zeros(n, np.int64)
         for i in range(k, -1, -1):
             key = key * self.size + codes[self.order - i : self.order - i + n]
-        return np.unique(key, return_counts=True)
+        return np.unique(key[real], return_counts=True)
 
     def code_lengths(self, text: bytes) -> np.ndarray:
         """Bits of the whole text under each language."""
