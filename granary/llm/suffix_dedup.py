@@ -658,13 +658,12 @@ def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
     # A bucket has the segments of at most some 64 batches' worth of text.
     buckets = max(partitions(spark), stored.count() // 64)
     message = "bucket int, kind int, batch long, data binary, more binary"
-    asked = stored.select("batch", "docs", "texts").mapInArrow(_ask(buckets), message).repartition("bucket").sortWithinPartitions("bucket")
-    told = written(asked.mapInArrow(_answer, "batch long, kind int, data binary"), "keys", "uncompressed")
+    # No name holds the shuffled frames, so their files go once they are written.
+    told = written(_by_key(stored.select("batch", "docs", "texts").mapInArrow(_ask(buckets), message)).mapInArrow(_answer, "batch long, kind int, data binary"), "keys", "uncompressed")
     _tidy(spark)
     answers = told.groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
-    full = stored.join(answers, "batch", "left").select("batch", "docs", "texts", "answers")
-    sent = full.mapInArrow(_segments(buckets), message).repartition("bucket").sortWithinPartitions("bucket")
-    found = written(sent.mapInArrow(_search, "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
+    found = written(_by_key(stored.join(answers, "batch", "left").select("batch", "docs", "texts", "answers").mapInArrow(_segments(buckets), message)).mapInArrow(_search, "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
+    del answers
     dropped(told)
     _tidy(spark)
     where = found.where("kind = 1").select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
@@ -673,6 +672,10 @@ def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
     return last.select("docs", "texts", "rest", "at", "gone", "found")
 
 
+def _by_key(rows: DataFrame) -> DataFrame:
+    return rows.repartition("bucket").sortWithinPartitions("bucket")
+
+
 def _tidy(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of steps whose results are written."""
     import gc
