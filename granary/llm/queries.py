@@ -16,7 +16,9 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_warc": warc.SQL,
     "op3_quality_rules": quality_rules.SQL,
     "op5_topk": topk.SQL,
+    "op8_suffix_dedup": suffix_dedup.SQL,
     "op9_url_filter": url_filter.SQL,
 }

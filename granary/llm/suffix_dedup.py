@@ -686,3 +686,18 @@ def _tidy(spark: SparkSession) -> None:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT doc_id, unnest(range(greatest(0, length(x) // 2 - 49))) AS pos, x FROM d),
+h AS (SELECT doc_id, pos, substr(x, 2 * pos + 1, 100) AS s FROM w),
+f AS (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY s) < doc_id AS late FROM h),
+l AS (SELECT doc_id, pos, lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS before FROM f WHERE late),
+g AS (SELECT doc_id, pos, sum(CASE WHEN before IS NULL OR pos > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM l),
+r AS (SELECT doc_id, run, min(pos) AS a, max(pos) + 50 AS b FROM g GROUP BY doc_id, run),
+k AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since FROM r),
+o AS (SELECT d.doc_id, any_value(x) AS x, count(k.a) AS n_spans, coalesce(sum(k.b - k.a), 0)::BIGINT AS n_removed,
+  coalesce(string_agg(substr(x, 2 * since + 1, 2 * (k.a - since)), '' ORDER BY k.a), '') AS kept, coalesce(max(k.b), 0) AS rest FROM d LEFT JOIN k ON k.doc_id = d.doc_id GROUP BY d.doc_id)
+SELECT doc_id, length(x) // 2 AS n_bytes, n_removed, n_spans, sha256(unhex(kept || substr(x, 2 * rest + 1))) AS kept_sha256 FROM o
+"""

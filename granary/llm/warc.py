@@ -180,3 +180,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     # gzip members do not shrink further; the table is stored as it is.
     return read_archives(written(write_archives(pages), "warc", "uncompressed")).drop("url")
+
+
+SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT *, unhex(h)::BIT::VARCHAR AS bits, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+    16 * substr(bits, 5 * i + 1, 1)::INT + 8 * substr(bits, 5 * i + 2, 1)::INT + 4 * substr(bits, 5 * i + 3, 1)::INT + 2 * substr(bits, 5 * i + 4, 1)::INT + substr(bits, 5 * i + 5, 1)::INT)::INT, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id > first THEN first END AS refers_to
+FROM b
+"""
