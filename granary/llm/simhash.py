@@ -285,7 +285,7 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
     rows = written(table.select("rid", "id", "digest", "m.fp", "m.sketch", "row"), "rows")
     first = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
     classes = rows.groupBy("digest").agg(F.min(first).alias("first"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"))
-    classes = written(classes.select(F.col("first.rid").alias("node"), "first", "fp", "sketch"), "classes")
+    classes = written(classes.select(F.col("first.rid").alias("node"), "first", "fp", "sketch", F.xxhash64("digest").alias("mark")), "classes")
     # Candidates by fingerprint: distinct ones within the radius, and equal ones.
     by_fp = classes.groupBy("fp").agg(F.min("node").alias("of_fp"))
     near = links(by_fp.select("fp"), radius)
@@ -293,10 +293,13 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
     same = classes.join(by_fp, "fp").select(F.col("node").alias("u"), F.col("of_fp").alias("v"))
     # Candidates by band.
     keys = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 2 * BAND * i + 1, 2 * BAND)) for i in range(BINS // BAND)))
-    band = classes.select("node", F.explode(keys).alias("key"), F.pmod(F.xxhash64("node"), F.lit(16)).alias("part"))
-    parts = band.groupBy("key", "part").agg(F.min("node").alias("part_least"), F.count(F.lit(1)).alias("n"))
-    wholes = parts.groupBy("key").agg(F.min("part_least").alias("least"), F.sum("n").alias("n")).where("n > 1")
-    heads = parts.drop("n").join(wholes.select("key", "least"), "key")
+    # Who is first differs from band to band and depends on texts alone, so a text
+    # meets many others and reruns agree.
+    band = classes.select("node", "mark", F.explode(keys).alias("key")).withColumn("order", F.xxhash64("mark", "key"))
+    band = band.withColumn("part", F.pmod("order", F.lit(16)))
+    parts = band.groupBy("key", "part").agg(F.min_by("node", "order").alias("part_least"), F.min("order").alias("order"), F.count(F.lit(1)).alias("n"))
+    wholes = parts.groupBy("key").agg(F.min_by("part_least", "order").alias("least"), F.sum("n").alias("n")).where("n > 1")
+    heads = parts.drop("n", "order").join(wholes.select("key", "least"), "key")
     met = band.join(heads, ["key", "part"]).select("node", F.explode(F.array("part_least", "least")).alias("other"))
     met = met.where("node <> other").select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
     s = classes.select("node", "sketch")
