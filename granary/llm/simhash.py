@@ -227,6 +227,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, p
 #: Bins of a text's sketch, how many make a band, and the least share of equal
 #: bins for which a pair's texts are compared.
 BINS, BAND, PROBABLE = 126, 6, 0.65
+#: Rows of one side of a block, and partners a row names in the first round.
+BLOCK, PARTNERS = 1024, 32
 SIMILARITY = 0.8
 
 
@@ -253,6 +255,55 @@ def jaccard(a: str | None, b: str | None, words: int) -> float:
     return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
+def _across(least: float):
+    """Of one block, pairs of different components with probable sketches: each
+    visitor's most alike nodes, at most ``partners``, and whether it had more."""
+
+    def run(partners: int):
+        def block(table: pa.Table) -> pa.Table:
+            here = table["here"].to_numpy()
+            node, root = table["node"].to_numpy(), table["root"].to_numpy()
+            sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(-1, BINS)
+            a, b = np.flatnonzero(here), np.flatnonzero(~here)
+            out: list[tuple[int, int, bool]] = []
+            for at in b.tolist():
+                others = a[root[a] != root[at]]
+                share = (sketches[others] == sketches[at]).mean(axis=1)
+                near = np.flatnonzero(share >= least)
+                best = near[np.lexsort((node[others[near]], -share[near]))][:partners]
+                mine, more = int(node[at]), len(near) > partners
+                out += [(max(mine, x), min(mine, x), more) for x in node[others[best]].tolist()]
+            u, v, more = zip(*out) if out else ((), (), ())
+            return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "more": pa.array(more, pa.bool_())})
+
+        return block
+
+    return run
+
+
+def _meetings(band: DataFrame, sketches: DataFrame, roots: DataFrame, partners: int) -> DataFrame:
+    """(u, v, more) of texts that share a band ``key`` but no component.
+
+    A band of one component gives nothing.  The rest are cut into blocks of about
+    BLOCK nodes by BLOCK visitors; members of a band's largest component are only
+    nodes, since they need not meet each other.
+    """
+    at = band.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kinds = at.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    keys = kinds.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
+    blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n", "rest"))
+    keys = keys.select("key", F.col("top.root").alias("main"), "n", (F.col("n") - F.col("top.n")).alias("rest"))
+    keys = keys.select("key", "main", *(b.alias(c) for b, c in zip(blocks, ("rows", "columns"))))
+    own_row = F.pmod(F.xxhash64("node", F.lit("row")), F.col("rows")).cast("int")
+    own_column = F.pmod(F.xxhash64("node", F.lit("column")), F.col("columns")).cast("int")
+    as_node = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda j: F.struct(own_row.alias("i"), j.alias("j"), F.lit(True).alias("here")))
+    as_visitor = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(i.alias("i"), own_column.alias("j"), F.lit(False).alias("here")))
+    places = F.when(F.col("root") == F.col("main"), as_node).otherwise(F.concat(as_node, as_visitor))
+    placed = at.join(keys, "key").join(sketches, "node").select("key", "node", "root", "sketch", F.explode(places).alias("p"))
+    placed = placed.select("key", "p.i", "p.j", "p.here", "node", "root", "sketch")
+    return placed.groupBy("key", "i", "j").applyInArrow(_across(PROBABLE)(partners), "u long, v long, more boolean")
+
+
 def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group, the one with the
     smallest doc_id stays (nulls last).
@@ -262,7 +313,9 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
     of their shingle sketches are candidates too.  A pair is a link if the
     share of common shingles, counted on whole texts, is at least
     ``similarity``; groups are the links' components.  In a shared band each text
-    meets the first of it and the first of its own 16th, not every other.
+    first meets the band's first and the first of its own 16th, which joins large
+    groups; then texts of a band that are still in different components meet, in
+    blocks, until no pair of them with probable sketches is left untested.
     """
 
     @F.pandas_udf("fp long, sketch binary")
@@ -307,8 +360,21 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
     pairs = a.unionByName(same).unionByName(met).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = written(pairs, "pairs")
     texts = rows.select("rid", F.coalesce("row.text", F.lit("")).alias("body"))
-    both = pairs.join(texts.toDF("u", "t1"), "u").join(texts.toDF("v", "t2"), "v").where(alike("t1", "t2"))
-    roots = components(both.select(F.col("u").alias("a"), F.col("v").alias("b")))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return pairs.join(texts.toDF("u", "t1"), "u").join(texts.toDF("v", "t2"), "v").where(alike("t1", "t2")).select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+    roots, partners = components(linked(pairs)), PARTNERS
+    while True:
+        found = written(_meetings(band, s, roots, partners), "meetings")
+        left = found.agg(F.max(F.col("more").cast("int")).alias("more")).head().more
+        if left is None:
+            break
+        new = written(found.select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti"), "pairs")
+        roots = components(linked(new).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        if not left:  # no text had more partners than it named
+            break
+        pairs, partners = pairs.unionByName(new), 8 * partners
     of = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     stay = of.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
     return rows.select("rid", "row").join(stay, "rid", "left_semi").select("row.*")

@@ -138,6 +138,27 @@ def test_near_copies_are_the_similar_pairs(spark):
     assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == want
 
 
+def test_near_copies_that_only_the_first_text_links(spark, monkeypatch):
+    """Copies that are at 0.8 with one text but not with each other, in small blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "PARTNERS", 1)
+    rng = np.random.default_rng(8)
+    texts = []
+    for group in range(2):
+        first = [f"g{group}w{i}" for i in range(200)]
+        for copy in range(25):
+            words = list(first)
+            for at in rng.choice(np.arange(5, 195, 10), 4, replace=False) if copy != 12 else ():
+                words[at] = f"x{group}c{copy}a{at}"
+            texts.append(" ".join(words))
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    pairs = [(i, j) for i in range(50) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = set(roots(50, pairs))
+    assert len(want) == 2 and len(pairs) < 300
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == want
+
+
 def test_components_of_a_chain(spark):
     got = components.components(spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (7, 3)], "a long, b long")).collect()
     assert {r.node: r.root for r in got} == dict.fromkeys(range(61), 0)
