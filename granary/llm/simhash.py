@@ -224,9 +224,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, p
 
 # ---- one document of each group of similar texts ----------------------------
 
-#: Bins of a text's sketch, how many make a band, and the least share of equal
-#: bins for which a pair's texts are compared.
-BINS, BAND, PROBABLE = 126, 6, 0.65
+#: Bins of hash values in which a text's shingles are counted.
+BINS = 512
+#: Texts that are sampled for frequent shingles, in how many of them one is
+#: frequent, and how many are kept.  They set an order, never a result.
+SAMPLED, SEEN, FREQUENT = 8192, 3, 100_000
 #: Rows of one side of a block, and partners a row names in the first round.
 BLOCK, PARTNERS = 1024, 32
 SIMILARITY = 0.8
@@ -237,16 +239,35 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     return np.unique(_hashes(text, words))
 
 
-def sketch(h: np.ndarray) -> bytes:
-    """16 bits of the least hash in each bin; empty bins copy the next one."""
-    low = np.full(BINS, np.iinfo(np.uint64).max, np.uint64)
-    np.minimum.at(low, (h % np.uint64(BINS)).astype(np.int64), h // np.uint64(BINS))
-    full = np.flatnonzero(low != np.iinfo(np.uint64).max)
-    if not len(full):
-        return bytes(2 * BINS)
-    near = full[np.searchsorted(full, np.arange(BINS)) % len(full)]
-    mixed = (low[near] + near.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(48)).astype("<u2").tobytes()
+def prefix(h: np.ndarray, often: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first of a text's distinct hashes, in the order of all texts: frequent
+    ones last.  Sets at ``similarity`` share at least ceil(similarity * size)
+    hashes, so the first of those is within the first size + 1 less that many of
+    both.  Texts without words have one hash in common."""
+    if not len(h):
+        return np.zeros(1, np.uint64)
+    keep = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
+    if not len(often):
+        return h[:keep]
+    at = np.minimum(np.searchsorted(often, h), len(often) - 1)
+    return h[np.argsort(np.where(often[at] == h, rank[at], 0), kind="stable")[:keep]]
+
+
+def bin_counts(h: np.ndarray) -> bytes:
+    """Number of distinct hashes in each bin, 255 where there are more."""
+    return np.minimum(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def most_common(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
+    """At most so many hashes can be common: the smaller count of each bin, and
+    of what the counts leave out."""
+    over = np.minimum(size_x - x.sum(axis=-1, dtype=np.int64), size_y - y.sum(axis=-1, dtype=np.int64))
+    return np.minimum(x, y).sum(axis=-1, dtype=np.int64) + over
+
+
+def may_reach(common: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether ``common`` hashes of two sets of ``sizes`` together can be enough."""
+    return common >= similarity * (sizes - common) - 1e-9
 
 
 def jaccard(a: str | None, b: str | None, words: int) -> float:
@@ -255,22 +276,25 @@ def jaccard(a: str | None, b: str | None, words: int) -> float:
     return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
 
 
-def _across(least: float):
-    """Of one block, pairs of different components with probable sketches: each
+def _across(similarity: float):
+    """Of one block, pairs of different components that may be similar: each
     visitor's most alike nodes, at most ``partners``, and whether it had more."""
 
     def run(partners: int):
         def block(table: pa.Table) -> pa.Table:
             here = table["here"].to_numpy()
-            node, root = table["node"].to_numpy(), table["root"].to_numpy()
-            sketches = np.frombuffer(b"".join(table["sketch"].to_pylist()), "<u2").reshape(-1, BINS)
+            node, root, size = (table[c].to_numpy() for c in ("node", "root", "size"))
+            bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
             a, b = np.flatnonzero(here), np.flatnonzero(~here)
             out: list[tuple[int, int, bool]] = []
             for at in b.tolist():
-                others = a[root[a] != root[at]]
-                share = (sketches[others] == sketches[at]).mean(axis=1)
-                near = np.flatnonzero(share >= least)
-                best = near[np.lexsort((node[others[near]], -share[near]))][:partners]
+                fits = may_reach(np.minimum(size[a], size[at]), size[a] + size[at], similarity)
+                others = a[fits & (root[a] != root[at])]
+                common = most_common(bins[others], bins[at], size[others], size[at])
+                sizes = size[others] + size[at]
+                near = np.flatnonzero(may_reach(common, sizes, similarity))
+                share = common[near] / np.maximum(1, sizes[near])
+                best = near[np.lexsort((node[others[near]], -share))][:partners]
                 mine, more = int(node[at]), len(near) > partners
                 out += [(max(mine, x), min(mine, x), more) for x in node[others[best]].tolist()]
             u, v, more = zip(*out) if out else ((), (), ())
@@ -281,11 +305,11 @@ def _across(least: float):
     return run
 
 
-def _meetings(band: DataFrame, sketches: DataFrame, roots: DataFrame, partners: int) -> DataFrame:
-    """(u, v, more) of texts that share a band ``key`` but no component.
+def _meetings(band: DataFrame, marks: DataFrame, roots: DataFrame, partners: int, similarity: float) -> DataFrame:
+    """(u, v, more) of texts that share a ``key`` but no component.
 
-    A band of one component gives nothing.  The rest are cut into blocks of about
-    BLOCK nodes by BLOCK visitors; members of a band's largest component are only
+    A key of one component gives nothing.  The rest are cut into blocks of about
+    BLOCK nodes by BLOCK visitors; members of a key's largest component are only
     nodes, since they need not meet each other.
     """
     at = band.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -299,74 +323,109 @@ def _meetings(band: DataFrame, sketches: DataFrame, roots: DataFrame, partners:
     as_node = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda j: F.struct(own_row.alias("i"), j.alias("j"), F.lit(True).alias("here")))
     as_visitor = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(i.alias("i"), own_column.alias("j"), F.lit(False).alias("here")))
     places = F.when(F.col("root") == F.col("main"), as_node).otherwise(F.concat(as_node, as_visitor))
-    placed = at.join(keys, "key").join(sketches, "node").select("key", "node", "root", "sketch", F.explode(places).alias("p"))
-    placed = placed.select("key", "p.i", "p.j", "p.here", "node", "root", "sketch")
-    return placed.groupBy("key", "i", "j").applyInArrow(_across(PROBABLE)(partners), "u long, v long, more boolean")
+    placed = at.join(keys, "key").join(marks, "node").select("key", "node", "root", "size", "bins", F.explode(places).alias("p"))
+    placed = placed.select("key", "p.i", "p.j", "p.here", "node", "root", "size", "bins")
+    return placed.groupBy("key", "i", "j").applyInArrow(_across(similarity)(partners), "u long, v long, more boolean")
+
+
+def _frequent(texts: DataFrame, many: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of shingles that are frequent in a sample of the texts
+    (digest, text), and in how many of it each is."""
+
+    @F.pandas_udf("array<long>")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_hashes(t, words).view(np.int64) for t in texts])
+
+    share = min(1 << 20, int(SAMPLED / max(1, many) * (1 << 20)) + 1)
+    sample = texts.where(F.pmod(F.xxhash64("digest"), F.lit(1 << 20)) < share).dropDuplicates(["digest"])
+    n = sample.select(F.explode(shingles("text")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    top = n.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()
+    h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
 
 
 def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group, the one with the
     smallest doc_id stays (nulls last).
 
-    Fingerprints within ``radius`` bits are candidates.  Pairs at a similarity of
-    0.8 are mostly farther apart (5 to 14 bits), so texts that share a band
-    of their shingle sketches are candidates too.  A pair is a link if the
-    share of common shingles, counted on whole texts, is at least
-    ``similarity``; groups are the links' components.  In a shared band each text
-    first meets the band's first and the first of its own 16th, which joins large
-    groups; then texts of a band that are still in different components meet, in
-    blocks, until no pair of them with probable sketches is left untested.
+    A pair is a link if the share of common shingles, counted on whole texts, is
+    at least ``similarity``; groups are the links' components, as a comparison
+    of all pairs gives them.  Every such pair shares a hash of both texts'
+    :func:`prefix`, so texts that share one are candidates; of keys that the same
+    texts share, one is kept.  Fingerprints within ``radius`` bits are candidates
+    too, as a head start: they link nothing that the keys would not.  Of a shared
+    key each text first meets the key's first and the first of its own 16th,
+    which joins large groups; then texts of a key that are still in different
+    components meet, in blocks, until no pair of them is left untested whose
+    shingle counts allow the similarity.
     """
 
-    @F.pandas_udf("fp long, sketch binary")
-    def marks(texts: pd.Series) -> pd.DataFrame:
-        h = [_hashes(t, words) for t in texts]
-        return pd.DataFrame({"fp": np.array([majority(x) for x in h], np.uint64).view(np.int64), "sketch": [sketch(x) for x in h]})
+    spark = docs.sparkSession
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    table = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), row)
+    rows = written(table, "rows")
+    texts = rows.select("rid", "digest", F.coalesce("row.text", F.lit("")).alias("text"))
+    first = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
+    classes = rows.groupBy("digest").agg(F.min(first).alias("first"))
+    classes = written(classes.select(F.col("first.rid").alias("node"), "first", F.xxhash64("digest").alias("mark")), "classes")
+    frequent = spark.sparkContext.broadcast(_frequent(texts.drop("rid"), classes.count(), words))
+
+    @F.pandas_udf("fp long, size long, bins binary, keys array<long>")
+    def marked(texts: pd.Series) -> pd.DataFrame:
+        out = []
+        for t in texts:
+            h = _hashes(t, words)
+            fp, h = majority(h), np.unique(h)
+            out.append((np.uint64(fp).view(np.int64), len(h), bin_counts(h), prefix(h, *frequent.value, similarity).view(np.int64)))
+        return pd.DataFrame(out, columns=["fp", "size", "bins", "keys"])
 
     @F.pandas_udf("boolean")
-    def probable(a: pd.Series, b: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), "<u2").reshape(-1, BINS) for s in (a, b))
-        return pd.Series((x == y).mean(axis=1) >= PROBABLE)
+    def possible(a: pd.Series, b: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, BINS) for s in (a, b))
+        m, n = m.to_numpy(), n.to_numpy()
+        return pd.Series(may_reach(most_common(x, y, m, n), m + n, similarity))
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([jaccard(x, y, words) >= similarity for x, y in zip(a, b)])
 
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    table = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), marks(text).alias("m"), row)
-    rows = written(table.select("rid", "id", "digest", "m.fp", "m.sketch", "row"), "rows")
-    first = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
-    classes = rows.groupBy("digest").agg(F.min(first).alias("first"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"))
-    classes = written(classes.select(F.col("first.rid").alias("node"), "first", "fp", "sketch", F.xxhash64("digest").alias("mark")), "classes")
+    marks = texts.join(classes.select(F.col("node").alias("rid"), "mark"), "rid").select(F.col("rid").alias("node"), "mark", marked("text").alias("m"))
+    marks = written(marks.select("node", "mark", "m.*"), "marks")
     # Candidates by fingerprint: distinct ones within the radius, and equal ones.
-    by_fp = classes.groupBy("fp").agg(F.min("node").alias("of_fp"))
+    by_fp = marks.groupBy("fp").agg(F.min("node").alias("of_fp"))
     near = links(by_fp.select("fp"), radius)
     a = near.join(by_fp.select(F.col("fp").alias("a"), F.col("of_fp").alias("u")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("of_fp").alias("v")), "b").select("u", "v")
-    same = classes.join(by_fp, "fp").select(F.col("node").alias("u"), F.col("of_fp").alias("v"))
-    # Candidates by band.
-    keys = F.array(*(F.xxhash64(F.lit(i), F.substring("sketch", 2 * BAND * i + 1, 2 * BAND)) for i in range(BINS // BAND)))
-    # Who is first differs from band to band and depends on texts alone, so a text
+    same = marks.join(by_fp, "fp").select(F.col("node").alias("u"), F.col("of_fp").alias("v"))
+    # Candidates by key.  Keys that the same texts share are told by their number
+    # and 128 bits of hashes.
+    every = marks.select("node", "mark", F.explode("keys").alias("key"))
+    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    keys = written(keys.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "keys")
+    # Who is first differs from key to key and depends on texts alone, so a text
     # meets many others and reruns agree.
-    band = classes.select("node", "mark", F.explode(keys).alias("key")).withColumn("order", F.xxhash64("mark", "key"))
+    band = written(every.join(keys, "key").withColumn("order", F.xxhash64("mark", "key")), "band")
     band = band.withColumn("part", F.pmod("order", F.lit(16)))
-    parts = band.groupBy("key", "part").agg(F.min_by("node", "order").alias("part_least"), F.min("order").alias("order"), F.count(F.lit(1)).alias("n"))
-    wholes = parts.groupBy("key").agg(F.min_by("part_least", "order").alias("least"), F.sum("n").alias("n")).where("n > 1")
-    heads = parts.drop("n", "order").join(wholes.select("key", "least"), "key")
+    parts = band.groupBy("key", "part").agg(F.min_by("node", "order").alias("part_least"), F.min("order").alias("order"))
+    wholes = parts.groupBy("key").agg(F.min_by("part_least", "order").alias("least"))
+    heads = parts.drop("order").join(wholes, "key")
     met = band.join(heads, ["key", "part"]).select("node", F.explode(F.array("part_least", "least")).alias("other"))
     met = met.where("node <> other").select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
-    s = classes.select("node", "sketch")
-    met = met.join(s.toDF("u", "s1"), "u").join(s.toDF("v", "s2"), "v").where(probable("s1", "s2")).select("u", "v")
+    s = marks.select("node", "size", "bins")
+    met = met.join(s.toDF("u", "n1", "b1"), "u").join(s.toDF("v", "n2", "b2"), "v").where(possible("b1", "b2", "n1", "n2")).select("u", "v")
     pairs = a.unionByName(same).unionByName(met).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     pairs = written(pairs, "pairs")
-    texts = rows.select("rid", F.coalesce("row.text", F.lit("")).alias("body"))
+    bodies = texts.select("rid", "text")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        return pairs.join(texts.toDF("u", "t1"), "u").join(texts.toDF("v", "t2"), "v").where(alike("t1", "t2")).select(F.col("u").alias("a"), F.col("v").alias("b"))
+        return pairs.join(bodies.toDF("u", "t1"), "u").join(bodies.toDF("v", "t2"), "v").where(alike("t1", "t2")).select(F.col("u").alias("a"), F.col("v").alias("b"))
 
     roots, partners = components(linked(pairs)), PARTNERS
+    # Two texts of a key have met.
+    larger = band.where("n > 2")
     while True:
-        found = written(_meetings(band, s, roots, partners), "meetings")
+        found = written(_meetings(larger, s, roots, partners, similarity), "meetings")
         left = found.agg(F.max(F.col("more").cast("int")).alias("more")).head().more
         if left is None:
             break

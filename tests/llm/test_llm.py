@@ -159,6 +159,48 @@ def test_near_copies_that_only_the_first_text_links(spark, monkeypatch):
     assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == want
 
 
+def test_near_copies_of_short_and_long_texts(spark):
+    """Pairs at just over and just under 0.8, of which few share a sketch's bands
+    where texts are short, against all pairs."""
+    rng = np.random.default_rng(9)
+    texts = ["", " ", "a b", "a B ", "a c"]
+    for n in [5, 6, 9, 10, 14, 20, 31, 40, 60, 100, 250]:
+        for copy in range(12):
+            words = [f"v{i}" for i in rng.integers(0, 4000, n + 4)]
+            cut = int(n * 0.2 + 1e-9) + copy % 4 // 3
+            texts += [" ".join(words), " ".join(words[: len(words) - cut] if copy % 2 else words[cut:])]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    alike = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    want = set(roots(len(texts), alike))
+    assert 20 < len(texts) - len(want) < len(texts) // 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == want
+
+
+@pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
+def test_prefixes_and_counts_lose_no_similar_pair(similarity):
+    rng = np.random.default_rng(10)
+    often = np.sort(rng.choice(1 << 62, 300, replace=False).astype(np.uint64))
+    rank = rng.integers(3, 50, 300)
+    hits = 0
+    for _ in range(2000):
+        n = int(rng.integers(1, 90))
+        pool = np.concatenate([often, rng.integers(0, 1 << 62, 200).astype(np.uint64) << np.uint64(2)])
+        x = np.unique(rng.choice(pool, n))
+        y = np.unique(np.concatenate([rng.permutation(x)[int(rng.integers(0, 2 + len(x) // 3)) :], rng.choice(pool, int(rng.integers(0, 2 + len(x) // 5)))]))
+        common = len(np.intersect1d(x, y))
+        a, b = (np.frombuffer(simhash.bin_counts(h), np.uint8) for h in (x, y))
+        most = simhash.most_common(a, b, np.int64(len(x)), np.int64(len(y)))
+        assert most >= common
+        if common >= similarity * (len(x) + len(y) - common):
+            hits += 1
+            assert simhash.may_reach(most, len(x) + len(y), similarity)
+            assert np.intersect1d(simhash.prefix(x, often, rank, similarity), simhash.prefix(y, often, rank, similarity)).size
+    assert hits > 20
+    many = (np.arange(600, dtype=np.uint64), np.arange(400, dtype=np.uint64))
+    assert simhash.most_common(*(np.frombuffer(simhash.bin_counts(h), np.uint8) for h in many), *map(len, many)) == 400
+
+
 def test_components_of_a_chain(spark):
     got = components.components(spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 100), (7, 3)], "a long, b long")).collect()
     assert {r.node: r.root for r in got} == dict.fromkeys(range(61), 0)
