@@ -271,6 +271,15 @@ def rolling_7day(spark, d):
     return nutrition.rolling(daily, "date", "value")
 
 
+@query("""
+WITH v AS (SELECT o_orderdate::DATE AS date, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS value FROM orders GROUP BY 1)
+SELECT date, value, sum(value::DECIMAL(24,6)) OVER (ORDER BY date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW)::DOUBLE AS value_7d FROM v""")
+def rolling_7day_all(spark, d):
+    """Every date of orders; rolling_7day shows the last months only."""
+    daily = analog.table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("date")).agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("value"))
+    return nutrition.rolling(daily, "date", "value")
+
+
 @query("""
 SELECT l_partkey AS id, count(*) AS n, round(quantile_cont(l_quantity / (1 + l_linenumber % 4), 0.25), 1) AS p25, round(quantile_cont(l_quantity / (1 + l_linenumber % 4), 0.5), 1) AS median,
   round(quantile_cont(l_quantity / (1 + l_linenumber % 4), 0.75), 1) AS p75 FROM lineitem GROUP BY 1 HAVING count(*) >= 3""")

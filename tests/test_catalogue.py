@@ -45,3 +45,10 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+def test_rolling_covers_every_date_of_orders(spark, duck):
+    dates = {r[0] for r in duck.execute("SELECT DISTINCT o_orderdate::DATE FROM orders").fetchall()}
+    got = catalogue.QUERIES["rolling_7day_all"](spark, DATA).collect()
+    assert {r.date for r in got} == dates and len(got) == len(dates)
