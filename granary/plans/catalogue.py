@@ -211,6 +211,17 @@ def plates_with_items(spark, d):
     return nested.select("id", "date", "meal", F.size("items").cast("long").alias("n_items"), total.alias("qty"))
 
 
+@query("""
+SELECT o_orderkey AS id, o_orderdate::DATE AS date, o_orderpriority AS meal, o_orderstatus = 'P' AS planned, count(l_orderkey) AS n_items, coalesce(sum(l_quantity), 0)::DOUBLE AS qty
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
+def plates_with_items_all(spark, d):
+    """Every plate, eaten or planned; plates_with_items shows the date bound."""
+    p = analog.plates(spark, d)
+    nested = plates.with_items(p, plates.items_of(analog.items(spark, d), p))
+    total = F.aggregate("items", F.lit(0.0), lambda a, x: a + x["qty"])
+    return nested.select("id", "date", "meal", "planned", F.size("items").cast("long").alias("n_items"), total.alias("qty"))
+
+
 @query("SELECT o_orderkey AS id FROM orders WHERE NOT (o_orderstatus = 'P' AND o_orderdate::DATE BETWEEN DATE '1998-01-01' AND DATE '1998-12-31')")
 def menu_clear(spark, d):
     return plates.clear_menu(analog.plates(spark, d), "1998-01-01", "1998-12-31").select("id")

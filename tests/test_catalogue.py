@@ -52,3 +52,11 @@ def test_rolling_covers_every_date_of_orders(spark, duck):
     dates = {r[0] for r in duck.execute("SELECT DISTINCT o_orderdate::DATE FROM orders").fetchall()}
     got = catalogue.QUERIES["rolling_7day_all"](spark, DATA).collect()
     assert {r.date for r in got} == dates and len(got) == len(dates)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+def test_nesting_covers_every_order_and_line(spark, duck):
+    got = catalogue.QUERIES["plates_with_items_all"](spark, DATA).collect()
+    assert {r.id for r in got} == {r[0] for r in duck.execute("SELECT o_orderkey FROM orders").fetchall()}
+    lines = duck.execute("SELECT count(*) FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders)").fetchone()[0]
+    assert sum(r.n_items for r in got) == lines
