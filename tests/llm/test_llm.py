@@ -177,6 +177,21 @@ def test_near_copies_of_short_and_long_texts(spark):
     assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == want
 
 
+def test_near_copies_do_not_hang_on_fingerprint_links(spark, monkeypatch):
+    """Of fingerprints only a forest's links are tested at 0.8; texts at 0.8 link
+    without any of them."""
+    monkeypatch.setattr(simhash, "links", lambda fps, radius: fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0))
+    rng = np.random.default_rng(11)
+    texts = []
+    for _ in range(60):
+        words = [f"v{i}" for i in rng.integers(0, 4000, 9)]
+        texts += [" ".join(words), " ".join(words[:8]), " ".join(words[1:])]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == set(roots(len(texts), pairs))
+
+
 @pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
 def test_prefixes_and_counts_lose_no_similar_pair(similarity):
     rng = np.random.default_rng(10)
