@@ -18,7 +18,10 @@ Defined results: vectors that are null or empty or hold a null or non-finite
 component take no part; vectors of different lengths have no score with each
 other; a query has fewer than k rows where fewer exist; ties go to the smaller
 vec_id; a null vec_id takes no part; of rows that repeat a vec_id, each is a
-candidate, but none for a query of that id; extra columns are ignored.
+candidate, but none for a query of that id; a query row that is stored more than
+once, or two with one vec_id, have a list each with ``per_row``, and otherwise
+(as the SQL has it) one list under their query_id, in which a candidate comes
+once for each of them; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,6 +75,11 @@ def _pair(f, i: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.
     return np.frombuffer(f["row_ids"][i], "<i8"), np.frombuffer(f["query_ids"][i], "<i8"), part(a), part(b)
 
 
+def _first(f, i: int) -> int:
+    """Number of the first query row of row i's block."""
+    return int(f["block"][i]) * QUERY_BLOCK
+
+
 def _partials(rows: list[np.ndarray], queries: list[np.ndarray]) -> list[np.ndarray]:
     return [q @ r.T for q, r in zip(queries, rows)]
 
@@ -95,7 +103,7 @@ def _phase1(k: int):
                 again[:, 1:] = seen[:, 1:] == seen[:, :-1]
                 again |= np.take_along_axis(own, seen, 1)
                 q, c = np.nonzero(~again)
-                yield pd.DataFrame({"query_id": qids[q], "score": total[q, seen[q, c]].astype("i8")})
+                yield pd.DataFrame({"query_row": _first(f, i) + q, "score": total[q, seen[q, c]].astype("i8")})
 
     return run
 
@@ -119,16 +127,17 @@ def _phase23(k: int):
                 q, r = q[keep], r[keep]
                 score = sum((b[q] * a[r]).sum(axis=1) for a, b in zip(rows, queries)).astype("i8")
                 keep = score >= cutoff[q]
-                out = pd.DataFrame({"query_id": qids[q][keep], "vec_id": ids[r][keep], "score": score[keep]})
-                out = out.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-                yield out.groupby("query_id").head(k)
+                out = pd.DataFrame({"query_row": _first(f, i) + q[keep], "query_id": qids[q][keep], "vec_id": ids[r][keep], "score": score[keep]})
+                out = out.sort_values(["query_row", "score", "vec_id"], ascending=[True, False, True])
+                yield out.groupby("query_row").head(k)
 
     return run
 
 
-def search(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE, per_row: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score for every row of ``vectors`` (vec_id,
-    embedding) where the Column ``is_query`` holds, against all rows."""
+    embedding) where the Column ``is_query`` holds, against all rows.  With
+    ``per_row`` ranks are each query row's own, whose number comes first."""
     spark = vectors.sparkSession
     inf = F.lit(float("inf"))
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == inf)
@@ -144,27 +153,27 @@ def search(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE) -> Da
     query_blocks = written(query_blocks, "queries")
     all_shards = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
     pairs = row_blocks.join(query_blocks.select("*", all_shards), ["dim", "shard"])
-    scores = pairs.mapInPandas(_phase1(k), "query_id long, score long")
+    scores = pairs.mapInPandas(_phase1(k), "query_row long, score long")
     # Spark keeps k rows of each query before it shuffles them.
-    top = Window.partitionBy("query_id").orderBy(F.desc("score"))
-    cut = scores.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k).groupBy("query_id")
+    top = Window.partitionBy("query_row").orderBy(F.desc("score"))
+    cut = scores.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k).groupBy("query_row")
     cut = cut.agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("cutoff"))
     # Where fewer than k rows were seen, nothing is safe to leave out.
-    asked = query_blocks.select("block", "query_ids").mapInPandas(_unpacked, "block long, at int, query_id long")
-    by_block = asked.join(cut, "query_id", "left").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("cutoff", F.lit(-(1 << 62))).alias("cutoff")))).alias("c"))
+    asked = query_blocks.select("block", "query_ids").mapInPandas(_unpacked, "block long, at int, query_row long")
+    by_block = asked.join(cut, "query_row", "left").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("cutoff", F.lit(-(1 << 62))).alias("cutoff")))).alias("c"))
     by_block = by_block.mapInPandas(_packed, "block long, cutoffs binary")
     armed = query_blocks.join(by_block, "block").select("*", all_shards)
-    found = row_blocks.join(armed, ["dim", "shard"]).mapInPandas(_phase23(k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = row_blocks.join(armed, ["dim", "shard"]).mapInPandas(_phase23(k), "query_row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_row" if per_row else "query_id").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found.select("query_id", "rank", "vec_id", "score")
+    return found.select(*["query_row"] * per_row, "query_id", "rank", "vec_id", "score")
 
 
 def _unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
         for block, ids in zip(f["block"], f["query_ids"]):
-            ids = np.frombuffer(ids, "<i8")
-            yield pd.DataFrame({"block": block, "at": np.arange(len(ids), dtype="i4"), "query_id": ids})
+            at = np.arange(len(ids) // 8)
+            yield pd.DataFrame({"block": block, "at": at.astype("i4"), "query_row": int(block) * QUERY_BLOCK + at})
 
 
 def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -330,6 +330,27 @@ def test_topk_against_brute_force(spark):
         assert [got[q, k + 1] for k in range(5)] == [(i, -x) for x, i in order]
 
 
+def test_topk_repeated_queries(spark):
+    rng = np.random.default_rng(5)
+    m = rng.normal(size=(60, 4)).astype("f4")
+    rows = [(i, x.tolist()) for i, x in enumerate(m)] + [(0, m[0].tolist()), (50, (-m[50]).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    z = [(i, np.floor(256 * np.array(x)).astype("i8")) for i, x in rows]
+
+    def best(q):
+        return tuple((i, -x) for x, i in sorted((-int(z[q][1] @ v), i) for i, v in z if i != z[q][0])[:5])
+
+    lists = {}
+    for r in topk.search(df, F.col("vec_id") % 50 == 0, per_row=True).orderBy("query_row", "rank").collect():
+        lists.setdefault((r.query_row, r.query_id), []).append((r.vec_id, r.score))
+    assert Counter((q, tuple(x)) for (_, q), x in lists.items()) == Counter((z[q][0], best(q)) for q in (0, 50, 60, 61))
+    # As the SQL: one list of a query_id, of both rows' candidates.
+    got = {}
+    for r in topk.search(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == {q: sorted(best(q) + best(p), key=lambda x: (-x[1], x[0]))[:5] for q, p in ((0, 60), (50, 61))}
+
+
 # ---- 6 language -------------------------------------------------------------
 
 
