@@ -58,3 +58,11 @@ def n_words(text: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tidy(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are written."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()

@@ -32,7 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import written
+from granary.llm.batches import PLACE_BITS, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
+from granary.llm.batches import stored as store_texts
+from granary.llm.common import dropped, partitions, tidy, written
 from granary.llm.components import components
 
 WORDS = 4
@@ -224,125 +226,389 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, p
 
 # ---- one document of each group of similar texts ----------------------------
 
-#: Bins of hash values in which a text's shingles are counted.
-BINS = 512
-#: Texts that are sampled for frequent shingles, in how many of them one is
-#: frequent, and how many are kept.  They set an order, never a result.
-SAMPLED, SEEN, FREQUENT = 8192, 3, 100_000
-#: Rows of one side of a block, and partners a row names in the first round.
-BLOCK, PARTNERS = 1024, 32
+#: Text bytes of a stored batch, and of all texts that one bucket counts for.
+BATCH, BUCKET = 8 << 20, 24 << 20
+#: Rows of one side of a block.
+BLOCK = 1024
 SIMILARITY = 0.8
+#: Bytes that are hashed at a time.
+_SLICE = 1 << 20
+#: The shingle set of a text without words.
+_EMPTY = np.array([0x9E3779B97F4A7C15], np.uint64)
+#: Fixed odd multipliers: of a byte's place, of a word's place, of mixing.
+_PLACE, _WORD, _MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingle_hashes(text: str | None, words: int) -> np.ndarray:
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * _MIX
+    return x ^ (x >> np.uint64(29))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def word_hashes(text: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash of each word, its text) of joined texts, A-Z lower-cased.
+
+    A word's hash is a polynomial in its bytes, from running sums of the whole
+    block, so a slice of bytes is one pass however many words it has.
+    """
+    n = len(text)
+    low = np.frombuffer(text.tobytes().translate(_LOWER), np.uint8)
+    inside = np.ones(256, bool)
+    inside[[32, *range(9, 14)]] = False
+    word = np.zeros(n + 2, bool)
+    word[1:-1] = inside[low]
+    # A text's first byte starts a word even where the text before has no space.
+    cut = np.cumsum(lens)[:-1]
+    new = np.zeros(n + 1, bool)
+    new[cut] = True
+    start = np.flatnonzero(word[1:] & (~word[:-1] | new))
+    end = np.flatnonzero(word[:-1] & (~word[1:] | new))
+    value = _mixed(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+    power, back = _powers(_PLACE, min(n, _SLICE) + 1), _powers(pow(_PLACE, -1, 1 << 64), min(n, _SLICE) + 1)
+    head, tail, inverse = (np.zeros(len(start), np.uint64) for _ in range(3))
+    total, up, down = 0, 1, 1
+    for at in range(0, n, _SLICE):
+        part = value[low[at : at + _SLICE]]
+        m = len(part)
+        part *= power[:m]
+        run = np.zeros(m + 1, np.uint64)
+        np.cumsum(part, out=run[1:])
+        run *= np.uint64(up)
+        run += np.uint64(total)
+        i, j = np.searchsorted(start, (at, at + m))
+        head[i:j] = run[start[i:j] - at]
+        inverse[i:j] = back[start[i:j] - at] * np.uint64(down)
+        i, j = np.searchsorted(end, (at, at + m), side="right")
+        tail[i:j] = run[end[i:j] - at]
+        total = int(run[m])
+        up, down = up * int(power[m]) & (1 << 64) - 1, down * int(back[m]) & (1 << 64) - 1
+    return _mixed((tail - head) * inverse), np.searchsorted(cut, start, side="right")
+
+
+def shingles(text: np.ndarray, lens: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(64-bit hash, text) of every word shingle of joined texts, in their order;
+    a text of fewer words is one shingle, one of none has a hash of its own."""
+    h, doc = word_hashes(text, lens)
+    many = np.bincount(doc, minlength=len(lens))
+    first = np.cumsum(many) - many
+    n = np.maximum(1, many - words + 1)
+    owner = np.repeat(np.arange(len(lens)), n)
+    at = first[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    out = np.zeros(len(owner), np.uint64)
+    left = many[owner]
+    for i in range(words):
+        here = np.flatnonzero(left > i)
+        out[here] = out[here] * np.uint64(_WORD) + h[at[here] + i]
+    out = _mixed(out)
+    out[left == 0] = _EMPTY
+    return out, owner
+
+
+def token_sets(text: np.ndarray, lens: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes of all texts, sorted; places in them of each text's
+    distinct hashes, ascending, text after text; how many each text has)."""
+    h, doc = shingles(text, lens, words)
+    order = np.argsort(h)
+    kinds, of = _ranks(h[order])
+    doc = doc[order].astype(np.uint32 if len(lens) > 1 << 16 else np.uint16)
+    by = np.argsort(doc, kind="stable")
+    of, doc = of[by], doc[by]
+    new = np.ones(len(of), bool)
+    new[1:] = (of[1:] != of[:-1]) | (doc[1:] != doc[:-1])
+    return kinds, of[new], np.bincount(doc[new], minlength=len(lens))
+
+
+def _ranks(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array and each one's place in them."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new], np.cumsum(new) - 1
+
+
+def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Distinct 64-bit hashes of a text's word shingles, sorted."""
-    return np.unique(_hashes(text, words))
+    raw = np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
+    return token_sets(raw, np.array([len(raw)]), words)[0]
+
 
+def overlap_needed(sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """The least number of common hashes for two sets of ``sizes`` together."""
+    return np.ceil(sizes * (similarity / (1 + similarity)) - 1e-6).astype(np.int64)
 
-def prefix(h: np.ndarray, often: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
-    """The first of a text's distinct hashes, in the order of all texts: frequent
-    ones last.  Sets at ``similarity`` share at least ceil(similarity * size)
-    hashes, so the first of those is within the first size + 1 less that many of
-    both.  Texts without words have one hash in common."""
-    if not len(h):
-        return np.zeros(1, np.uint64)
-    keep = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
-    if not len(often):
-        return h[:keep]
-    at = np.minimum(np.searchsorted(often, h), len(often) - 1)
-    return h[np.argsort(np.where(often[at] == h, rank[at], 0), kind="stable")[:keep]]
 
+def prefix_length(size: np.ndarray, similarity: float) -> np.ndarray:
+    """Sets at ``similarity`` share at least ceil(similarity * size) hashes, so in
+    any one order of all hashes both have the first they share among so many."""
+    return size - np.ceil(similarity * size - 1e-6).astype(np.int64) + 1
 
-def bin_counts(h: np.ndarray) -> bytes:
-    """Number of distinct hashes in each bin, 255 where there are more."""
-    return np.minimum(np.bincount((h >> np.uint64(55)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
 
+def prefixes(of: np.ndarray, size: np.ndarray, often: np.ndarray, kinds: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in ``of``, text, rank in its text) of each text's prefix in the
+    order of ``often`` and then of the hash; hashes that no other text has
+    (``often`` 0) take their ranks but are left out."""
+    doc = np.repeat(np.arange(len(size)), size)
+    order = np.lexsort((kinds[of], often[of], doc))
+    rank = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+    keep = (rank < prefix_length(size, similarity)[doc]) & (often[of[order]] > 0)
+    return order[keep], doc[keep], rank[keep]
+
+
+def _bucket_keys(kinds: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order by bucket, and where each bucket begins in it.  Inside a bucket
+    hashes ascend, and 32 of their upper bits tell them apart."""
+    bucket = (kinds % np.uint64(buckets)).astype(np.uint32)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _steps(values: np.ndarray) -> bytes:
+    """Ascending 32-bit numbers as compressed differences, byte plane by plane."""
+    step = np.diff(values, prepend=np.uint32(0))
+    return squeeze(len(values).to_bytes(8, "little") + step.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unsteps(data: bytes) -> np.ndarray:
+    raw = unsqueeze(data)
+    n = int.from_bytes(raw[:8], "little")
+    step = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 8).reshape(4, n).T).view(np.uint32).ravel()
+    return np.cumsum(step, dtype=np.uint32)
+
+
+def _representatives(text: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """The first of a batch's texts that is byte for byte each text, by 128-bit digest."""
+    import xxhash
+
+    ends, view, seen = np.cumsum(lens), memoryview(text), {}
+    return np.array([seen.setdefault(xxhash.xxh3_128_digest(view[b - n : b]), i) for i, (b, n) in enumerate(zip(ends.tolist(), lens.tolist()))], np.int64)
+
+
+def _distinct_sets(docs: bytes, texts: bytes, words: int) -> tuple[np.ndarray, ...]:
+    """A batch's ids, each row's distinct text, and the token sets of those."""
+    key, null, lens, text = opened(docs, texts)
+    first = _representatives(text, lens)
+    some, of = np.unique(first, return_inverse=True)
+    if len(some) < len(lens):
+        ends = np.cumsum(lens)
+        text = np.concatenate([text[ends[i] - lens[i] : ends[i]] for i in some.tolist()])
+    return key, null, of, *token_sets(text, lens[some], words)
+
+
+def _ask(words: int, buckets: int):
+    """Stored batches to rows (bucket, batch, data): the batch's distinct hashes
+    of the bucket, and those that several of its texts have with how many."""
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows:
+            for batch, docs, texts in zip(*(c.to_pylist() for c in b.columns)):
+                *_, kinds, of, _ = _distinct_sets(docs, texts, words)
+                texts_with = np.bincount(of, minlength=len(kinds))
+                order, cut = _bucket_keys(kinds, buckets)
+                short, texts_with = (kinds >> np.uint64(32)).astype(np.uint32)[order], texts_with[order]
+                out = []
+                for k in np.flatnonzero(np.diff(cut)).tolist():
+                    n = texts_with[cut[k] : cut[k + 1]]
+                    many = np.flatnonzero(n > 1)
+                    out.append((k, _steps(short[cut[k] : cut[k + 1]]), pack(many.astype("<u4"), n[many].astype("<u4"))))
+                if out:
+                    k, data, more = zip(*out)
+                    yield record(bucket=k, batch=[batch] * len(k), data=data, more=more)
+
+    return run
 
-def most_common(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
-    """At most so many hashes can be common: the smaller count of each bin, and
-    of what the counts leave out."""
-    over = np.minimum(size_x - x.sum(axis=-1, dtype=np.int64), size_y - y.sum(axis=-1, dtype=np.int64))
-    return np.minimum(x, y).sum(axis=-1, dtype=np.int64) + over
 
+def _answer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (batch, bucket, data): for each hash that the batch asked for, 0 if
+    no other text has it, else eighths of the logarithm of how many have it."""
+    for bucket, asked in by_bucket(rows):
+        parts = [_unsteps(r["data"]) for r in asked]
+        sizes = np.array([len(p) for p in parts])
+        keys = np.concatenate(parts)
+        count = np.ones(len(keys), np.int64)
+        for base, r in zip((np.cumsum(sizes) - sizes).tolist(), asked):
+            many, n = unpack(r["more"], "<u4", "<u4")
+            count[base + many.astype(np.int64)] = n
+        order = np.argsort(keys)
+        _, of = _ranks(keys[order])
+        total = np.bincount(of, count[order])
+        often = np.empty(len(keys), np.uint8)
+        often[order] = np.minimum(255, np.ceil(8 * np.log2(total))).astype(np.uint8)[of]
+        cut = np.cumsum(sizes)
+        yield record(batch=[r["batch"] for r in asked], bucket=[bucket] * len(asked), data=[squeeze(often[b - n : b].tobytes(), 1) for b, n in zip(cut.tolist(), sizes.tolist())])
+
+
+MARKS = "rid long, id long, digest binary, size int, fp long, keys array<long>, ranks array<int>, hashes binary"
+
+
+def _mark(words: int, buckets: int, similarity: float):
+    """Batches and answers to MARKS rows, of texts that may have a partner: those
+    with a hash of their prefix that another text has, and rows whose set of
+    shingles another row of the batch has (these without keys, but for one)."""
+
+    def one(batch: int, docs: bytes, texts: bytes, answers: list[dict]) -> pa.RecordBatch:
+        import xxhash
+
+        key, null, text_of, kinds, of, size = _distinct_sets(docs, texts, words)
+        order, cut = _bucket_keys(kinds, buckets)
+        often = np.zeros(len(kinds), np.uint8)
+        for a in answers or []:
+            k = a["bucket"]
+            often[order[cut[k] : cut[k + 1]]] = np.frombuffer(unsqueeze(a["data"]), np.uint8)
+        at, doc, rank = prefixes(of, size, often, kinds, similarity)
+        has = np.bincount(doc, minlength=len(size))
+        first_key = np.cumsum(has) - has
+        ends = np.cumsum(size)
+        rows_of = np.bincount(text_of, minlength=len(size))
+        out: dict[str, list] = {c.split()[0]: [] for c in MARKS.split(", ")}
+        seen: dict[bytes, int] = {}
+        twice = (has > 0) | (rows_of > 1)
+        by_text = np.argsort(text_of, kind="stable")
+        begin = np.cumsum(rows_of) - rows_of
+        for t in np.flatnonzero(twice).tolist():
+            mine = kinds[of[ends[t] - size[t] : ends[t]]]
+            digest = xxhash.xxh3_128_digest(mine.tobytes())
+            lead = seen.setdefault(digest, t) == t
+            for i in by_text[begin[t] : begin[t] + rows_of[t]].tolist():
+                full = lead
+                lead = False
+                a, b = first_key[t], first_key[t] + has[t]
+                out["rid"].append((batch << PLACE_BITS) + i)
+                out["id"].append(None if null[i] else int(key[i]))
+                out["digest"].append(digest)
+                out["size"].append(len(mine) if full else None)
+                out["fp"].append(int(np.uint64(majority(mine)).view(np.int64)) if full else None)
+                out["keys"].append(kinds[of[at[a:b]]].view(np.int64) if full else None)
+                out["ranks"].append(rank[a:b].astype(np.int32) if full else None)
+                out["hashes"].append(mine.tobytes() if full else None)
+        types = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), types)], list(out))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows:
+            for i in range(b.num_rows):
+                yield one(*(b.column(c)[i].as_py() for c in range(4)))
 
-def may_reach(common: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
-    """Whether ``common`` hashes of two sets of ``sizes`` together can be enough."""
+    return run
+
+
+def _hash_sets(blobs) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in blobs]
+
+
+def reaches(common: np.ndarray, sizes: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether two sets of ``sizes`` together with so many ``common`` hashes are similar."""
     return common >= similarity * (sizes - common) - 1e-9
 
 
-def jaccard(a: str | None, b: str | None, words: int) -> float:
-    x, y = shingle_hashes(a, words), shingle_hashes(b, words)
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both / max(1, len(x) + len(y) - both) if len(x) or len(y) else 1.0
-
-
-def _across(similarity: float):
-    """Of one block, pairs of different components that may be similar: each
-    visitor's most alike nodes, at most ``partners``, and whether it had more."""
-
-    def run(partners: int):
-        def block(table: pa.Table) -> pa.Table:
-            here = table["here"].to_numpy()
-            node, root, size = (table[c].to_numpy() for c in ("node", "root", "size"))
-            bins = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8).reshape(-1, BINS)
-            a, b = np.flatnonzero(here), np.flatnonzero(~here)
-            out: list[tuple[int, int, bool]] = []
-            for at in b.tolist():
-                fits = may_reach(np.minimum(size[a], size[at]), size[a] + size[at], similarity)
-                others = a[fits & (root[a] != root[at])]
-                common = most_common(bins[others], bins[at], size[others], size[at])
-                sizes = size[others] + size[at]
-                near = np.flatnonzero(may_reach(common, sizes, similarity))
-                share = common[near] / np.maximum(1, sizes[near])
-                best = near[np.lexsort((node[others[near]], -share))][:partners]
-                mine, more = int(node[at]), len(near) > partners
-                out += [(max(mine, x), min(mine, x), more) for x in node[others[best]].tolist()]
-            u, v, more = zip(*out) if out else ((), (), ())
-            return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64()), "more": pa.array(more, pa.bool_())})
-
-        return block
+def _possible(similarity: float):
+    """Of one block, the rows that may reach the similarity with a row of the
+    other side and of another component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        here = table["here"].to_numpy()
+        root, size, left = (table[c].to_numpy() for c in ("root", "size", "left"))
+        a, b = np.flatnonzero(here), np.flatnonzero(~here)
+        keep = np.zeros(len(here), bool)
+        for at in range(0, len(b), 64):
+            v = b[at : at + 64, None]
+            ok = (root[v] != root[a]) & (np.minimum(left[v], left[a]) >= overlap_needed(size[v].astype(np.int64) + size[a], similarity))
+            keep[a] |= ok.any(axis=0)
+            keep[v.ravel()] |= ok.any(axis=1)
+        return table.filter(pa.array(keep)).select(["key", "i", "j", "here", "node", "root"])
 
     return run
 
 
-def _meetings(band: DataFrame, marks: DataFrame, roots: DataFrame, partners: int, similarity: float) -> DataFrame:
-    """(u, v, more) of texts that share a ``key`` but no component.
+def _similar(similarity: float):
+    """Of one block, links that connect what all its similar pairs of different
+    components connect.  Common hashes are counted by an index of one side."""
+
+    def run(table: pa.Table) -> pa.Table:
+        here, node, root = (table[c].to_numpy() for c in ("here", "node", "root"))
+        a, b = np.flatnonzero(here), np.flatnonzero(~here)
+        sets = _hash_sets(table["hashes"].to_pylist())
+        size = np.array([len(s) for s in sets])
+        tokens = np.concatenate([sets[i] for i in a.tolist()]) if len(a) else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(a)), size[a])
+        order = np.argsort(tokens)
+        tokens, owner = tokens[order], owner[order]
+        label, out = {int(r): int(r) for r in root.tolist()}, []
+
+        def top(x: int) -> int:
+            while label[x] != x:
+                label[x] = x = label[label[x]]
+            return x
+
+        for v in b.tolist():
+            lo, hi = np.searchsorted(tokens, sets[v]), np.searchsorted(tokens, sets[v], side="right")
+            n = hi - lo
+            hit = np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())
+            common = np.bincount(owner[hit], minlength=len(a))
+            for i in a[reaches(common, size[a] + size[v], similarity)].tolist():
+                x, y = top(int(root[i])), top(int(root[v]))
+                if x != y:
+                    label[max(x, y)] = min(x, y)
+                    out.append((int(node[i]), int(node[v])))
+        u, v = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(u, pa.int64()), "b": pa.array(v, pa.int64())})
+
+    return run
+
+
+def _meetings(band: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between similar texts that share a key but no component.
 
     A key of one component gives nothing.  The rest are cut into blocks of about
     BLOCK nodes by BLOCK visitors; members of a key's largest component are only
-    nodes, since they need not meet each other.
+    nodes, since they need not meet each other.  Rows that no row of the other
+    side can reach by size and rank leave a block before the sets are sent, and
+    of blocks with the same rows one stays.
     """
-    at = band.select("node", "key").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    at = band.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kinds = at.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
     keys = kinds.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("n")).where("n > top.n")
-    blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("n", "rest"))
-    keys = keys.select("key", F.col("top.root").alias("main"), "n", (F.col("n") - F.col("top.n")).alias("rest"))
-    keys = keys.select("key", "main", *(b.alias(c) for b, c in zip(blocks, ("rows", "columns"))))
+    rows, columns = (F.ceil(x / BLOCK).cast("int").alias(c) for x, c in ((F.col("n"), "rows"), (F.col("n") - F.col("top.n"), "columns")))
+    keys = keys.select("key", F.col("top.root").alias("main"), rows, columns)
     own_row = F.pmod(F.xxhash64("node", F.lit("row")), F.col("rows")).cast("int")
     own_column = F.pmod(F.xxhash64("node", F.lit("column")), F.col("columns")).cast("int")
     as_node = F.transform(F.sequence(F.lit(0), F.col("columns") - 1), lambda j: F.struct(own_row.alias("i"), j.alias("j"), F.lit(True).alias("here")))
     as_visitor = F.transform(F.sequence(F.lit(0), F.col("rows") - 1), lambda i: F.struct(i.alias("i"), own_column.alias("j"), F.lit(False).alias("here")))
     places = F.when(F.col("root") == F.col("main"), as_node).otherwise(F.concat(as_node, as_visitor))
-    placed = at.join(keys, "key").join(marks, "node").select("key", "node", "root", "size", "bins", F.explode(places).alias("p"))
-    placed = placed.select("key", "p.i", "p.j", "p.here", "node", "root", "size", "bins")
-    return placed.groupBy("key", "i", "j").applyInArrow(_across(similarity)(partners), "u long, v long, more boolean")
-
-
-def _frequent(texts: DataFrame, many: int, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of shingles that are frequent in a sample of the texts
-    (digest, text), and in how many of it each is."""
+    placed = at.join(keys, "key").select("key", "node", "root", "size", "left", F.explode(places).alias("p"))
+    placed = placed.select("key", "p.i", "p.j", "p.here", "node", "root", "size", "left")
+    block = ["key", "i", "j"]
+    placed = written(placed.groupBy(*block).applyInArrow(_possible(similarity), "key long, i int, j int, here boolean, node long, root long"), "blocks")
+    of = placed.groupBy(*block).agg(F.count(F.lit(1)).alias("n"), *(F.bit_xor(F.xxhash64("node", "here", F.lit(x))).alias(f"x{x}") for x in (0, 1)))
+    once = of.groupBy("n", "x0", "x1").agg(F.min(F.struct(*block)).alias("b")).select("b.*")
+    placed = placed.join(once, block, "left_semi").join(sets, "node")
+    return placed.groupBy(*block).applyInArrow(_similar(similarity), "a long, b long")
+
+
+def _kept_rows(text_at: int, schema_names: int):
+    """Batches with the places of rows that go, to the rows that stay."""
+
+    def one(docs: bytes, texts: bytes, rest: bytes, gone: list[int] | None) -> pa.RecordBatch:
+        _, _, lens, text = opened(docs, texts)
+        keep = np.ones(len(lens), bool)
+        keep[gone or []] = False
+        arrays = rest_columns(rest)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int64())
+        whole = pa.Array.from_buffers(pa.large_binary(), len(lens), [None, offsets.buffers()[1], pa.py_buffer(text)])
+        null = arrays.pop()
+        body = pa.array([None if n else t.as_buffer().to_pybytes() for t, n in zip(whole, null.to_pylist())], pa.binary()).view(pa.string())
+        arrays.insert(text_at, body)
+        return pa.RecordBatch.from_arrays(arrays, [str(i) for i in range(schema_names)]).filter(pa.array(keep))
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows:
+            for i in range(b.num_rows):
+                yield one(*(b.column(c)[i].as_py() for c in range(4)))
 
-    @F.pandas_udf("array<long>")
-    def shingles(texts: pd.Series) -> pd.Series:
-        return pd.Series([shingle_hashes(t, words).view(np.int64) for t in texts])
-
-    share = min(1 << 20, int(SAMPLED / max(1, many) * (1 << 20)) + 1)
-    sample = texts.where(F.pmod(F.xxhash64("digest"), F.lit(1 << 20)) < share).dropDuplicates(["digest"])
-    n = sample.select(F.explode(shingles("text")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    top = n.where(F.col("n") >= SEEN).orderBy(F.desc("n"), "h").limit(FREQUENT).toPandas()
-    h, n = top["h"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
+    return run
 
 
 def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similarity: float = SIMILARITY) -> DataFrame:
@@ -351,92 +617,78 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
 
     A pair is a link if the share of common shingles, counted on whole texts, is
     at least ``similarity``; groups are the links' components, as a comparison
-    of all pairs gives them.  Every such pair shares a hash of both texts'
-    :func:`prefix`, so texts that share one are candidates; of keys that the same
-    texts share, one is kept.  Fingerprints within ``radius`` bits are candidates
-    too, as a head start: they link nothing that the keys would not.  Of a shared
-    key each text first meets the key's first and the first of its own 16th,
-    which joins large groups; then texts of a key that are still in different
-    components meet, in blocks, until no pair of them is left untested whose
-    shingle counts allow the similarity.
+    of all pairs gives them.
+
+    1. How many texts have each shingle is counted over all texts.  In the order
+       of that number, rarest first, similar texts share a hash of both texts'
+       first fifth (:func:`prefixes`); a text whose first fifth no other text has
+       is alone and goes no further.
+    2. Candidates are texts with fingerprints within ``radius`` bits (BK-trees),
+       and each text with the first text of each key, a hash of its prefix.
+    3. Texts of a key that are still in different components then meet in blocks,
+       every pair of them that sizes and ranks allow, so no link is left out.
+
+    Defined results: texts without words are alike; null texts are empty and come
+    out null; rows with one doc_id are rows like any other; extra columns come
+    out as they are; an empty table gives no row.
     """
-
     spark = docs.sparkSession
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    table = docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("long").alias("id"), F.unhex(F.md5(text)).alias("digest"), row)
-    rows = written(table, "rows")
-    texts = rows.select("rid", "digest", F.coalesce("row.text", F.lit("")).alias("text"))
+    at = docs.columns.index("text")
+    rest = [c for i, c in enumerate(docs.columns) if i != at]
+    null = "_no_text"
+    while null in docs.columns:
+        null += "_"
+    stored = store_texts(docs.withColumn(null, F.col("text").isNull()), [*rest, null], BATCH, 3)
+    total = stored.agg(F.sum(F.octet_length("texts")).alias("n")).head().n or 0
+    # Texts take about a quarter of their bytes where they are stored.
+    buckets = max(partitions(spark), 4 * total // BUCKET)
+    message = "bucket int, batch long, data binary, more binary"
+    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(_ask(words, buckets), message)).mapInArrow(_answer, "batch long, bucket int, data binary"), "often", "uncompressed")
+    tidy(spark)
+    answers = told.groupBy("batch").agg(F.collect_list(F.struct("bucket", "data")).alias("answers"))
+    marks = written(stored.select("batch", "docs", "texts").join(answers, "batch", "left").mapInArrow(_mark(words, buckets, similarity), MARKS), "marks", "uncompressed")
+    dropped(told)
+    tidy(spark)
+    # Rows with one set of shingles are one node, by 128-bit digest.
     first = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
-    classes = rows.groupBy("digest").agg(F.min(first).alias("first"))
-    classes = written(classes.select(F.col("first.rid").alias("node"), "first", F.xxhash64("digest").alias("mark")), "classes")
-    frequent = spark.sparkContext.broadcast(_frequent(texts.drop("rid"), classes.count(), words))
-
-    @F.pandas_udf("fp long, size long, bins binary, keys array<long>")
-    def marked(texts: pd.Series) -> pd.DataFrame:
-        out = []
-        for t in texts:
-            h = _hashes(t, words)
-            fp, h = majority(h), np.unique(h)
-            out.append((np.uint64(fp).view(np.int64), len(h), bin_counts(h), prefix(h, *frequent.value, similarity).view(np.int64)))
-        return pd.DataFrame(out, columns=["fp", "size", "bins", "keys"])
-
-    @F.pandas_udf("boolean")
-    def possible(a: pd.Series, b: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, BINS) for s in (a, b))
-        m, n = m.to_numpy(), n.to_numpy()
-        return pd.Series(may_reach(most_common(x, y, m, n), m + n, similarity))
+    full = F.when(F.col("size").isNotNull(), F.col("rid"))
+    classes = written(marks.groupBy("digest").agg(F.min(first).alias("first"), F.min(full).alias("node"), F.count(F.lit(1)).alias("rows")), "classes")
+    texts = marks.where("size IS NOT NULL").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
+    sets = texts.select("node", "hashes")
+    band = texts.select("node", "size", F.explode(F.arrays_zip("keys", "ranks")).alias("k"))
+    band = written(band.select("node", "size", F.col("k.keys").alias("key"), (F.col("size") - F.col("k.ranks")).cast("int").alias("left")), "band")
+    # Candidates by fingerprint: distinct ones within the radius, and equal ones.
+    prints = texts.select("node", "fp", "size")
+    by_fp = written(prints.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("of")).select("fp", "of.*"), "fp")
+    near = links(by_fp.select("fp"), radius)
+    u, v = (by_fp.toDF(f, x, n) for f, x, n in (("a", "u", "n1"), ("b", "v", "n2")))
+    pairs = near.join(u, "a").join(v, "b").select("u", "n1", "v", "n2")
+    pairs = pairs.unionByName(prints.toDF("u", "a", "n1").join(v.withColumnRenamed("b", "a"), "a").select("u", "n1", "v", "n2"))
+    pairs = pairs.withColumn("left", F.least("n1", "n2"))
+    # Candidates by key: each text with the key's first.
+    head = band.groupBy("key").agg(F.min(F.struct("node", "size", "left")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    with_head = band.join(head, "key").select(F.col("node").alias("u"), F.col("size").alias("n1"), F.col("h.node").alias("v"), F.col("h.size").alias("n2"), F.least("left", "h.left").alias("left"))
+    least = F.ceil((F.col("n1") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-6)
+    pairs = pairs.unionByName(with_head).where((F.col("u") != F.col("v")) & (F.col("left") >= least))
+    pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
     @F.pandas_udf("boolean")
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([jaccard(x, y, words) >= similarity for x, y in zip(a, b)])
-
-    marks = texts.join(classes.select(F.col("node").alias("rid"), "mark"), "rid").select(F.col("rid").alias("node"), "mark", marked("text").alias("m"))
-    marks = written(marks.select("node", "mark", "m.*"), "marks")
-    # Candidates by fingerprint: distinct ones within the radius, and equal ones.
-    by_fp = marks.groupBy("fp").agg(F.min("node").alias("of_fp"))
-    near = links(by_fp.select("fp"), radius)
-    a = near.join(by_fp.select(F.col("fp").alias("a"), F.col("of_fp").alias("u")), "a").join(by_fp.select(F.col("fp").alias("b"), F.col("of_fp").alias("v")), "b").select("u", "v")
-    same = marks.join(by_fp, "fp").select(F.col("node").alias("u"), F.col("of_fp").alias("v"))
-    # Candidates by key.  Keys that the same texts share are told by their number
-    # and 128 bits of hashes.
-    every = marks.select("node", "mark", F.explode("keys").alias("key"))
-    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
-    keys = written(keys.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key", "n"), "keys")
-    # Who is first differs from key to key and depends on texts alone, so a text
-    # meets many others and reruns agree.
-    band = written(every.join(keys, "key").withColumn("order", F.xxhash64("mark", "key")), "band")
-    band = band.withColumn("part", F.pmod("order", F.lit(16)))
-    parts = band.groupBy("key", "part").agg(F.min_by("node", "order").alias("part_least"), F.min("order").alias("order"))
-    wholes = parts.groupBy("key").agg(F.min_by("part_least", "order").alias("least"))
-    heads = parts.drop("order").join(wholes, "key")
-    met = band.join(heads, ["key", "part"]).select("node", F.explode(F.array("part_least", "least")).alias("other"))
-    met = met.where("node <> other").select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v")).distinct()
-    s = marks.select("node", "size", "bins")
-    met = met.join(s.toDF("u", "n1", "b1"), "u").join(s.toDF("v", "n2", "b2"), "v").where(possible("b1", "b2", "n1", "n2")).select("u", "v")
-    pairs = a.unionByName(same).unionByName(met).where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    pairs = written(pairs, "pairs")
-    bodies = texts.select("rid", "text")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return pairs.join(bodies.toDF("u", "t1"), "u").join(bodies.toDF("v", "t2"), "v").where(alike("t1", "t2")).select(F.col("u").alias("a"), F.col("v").alias("b"))
-
-    roots, partners = components(linked(pairs)), PARTNERS
-    # Two texts of a key have met.
-    larger = band.where("n > 2")
-    while True:
-        found = written(_meetings(larger, s, roots, partners, similarity), "meetings")
-        left = found.agg(F.max(F.col("more").cast("int")).alias("more")).head().more
-        if left is None:
-            break
-        new = written(found.select("u", "v").distinct().join(pairs, ["u", "v"], "left_anti"), "pairs")
-        roots = components(linked(new).unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-        if not left:  # no text had more partners than it named
-            break
-        pairs, partners = pairs.unionByName(new), 8 * partners
-    of = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    stay = of.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.rid").alias("rid"))
-    return rows.select("rid", "row").join(stay, "rid", "left_semi").select("row.*")
+        both = ((x, y) for x, y in zip(_hash_sets(a), _hash_sets(b)))
+        return pd.Series([bool(reaches(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y), similarity)) for x, y in both])
+
+    found = pairs.join(sets.toDF("u", "s1"), "u").join(sets.toDF("v", "s2"), "v").where(alike("s1", "s2")).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    roots = components(found)
+    new = _meetings(band, roots, sets, similarity)
+    roots = components(new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    # Of each group of more than one row, all but the first go.
+    of = classes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
+    stay = of.groupBy("root").agg(F.min("first").alias("stay"))
+    stay = of.join(stay, "root").select("digest", F.col("stay.rid").alias("stay"))
+    gone = marks.select("rid", "digest").join(stay, "digest").where("rid <> stay")
+    gone = gone.groupBy(F.shiftright("rid", PLACE_BITS).alias("batch")).agg(F.collect_list((F.col("rid") % (1 << PLACE_BITS)).cast("int")).alias("gone"))
+    last = stored.join(gone, "batch", "left").select("docs", "texts", "rest", "gone")
+    return last.mapInArrow(_kept_rows(at, len(docs.columns)), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

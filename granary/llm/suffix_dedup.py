@@ -43,7 +43,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import dropped, partitions, written
+from granary.llm.batches import stored as store_texts
+from granary.llm.batches import NULL, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
+from granary.llm.common import dropped, partitions, tidy, written
 
 LEAST = 50
 GRAM = 16
@@ -55,7 +57,6 @@ HOT = 1 << 14
 RUN = 47
 #: Suffixes of a shard's array at most, but for the last key's.
 SHARD = 200_000
-_NULL = np.iinfo(np.int64).max
 _SLICE = 1 << 16
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -214,86 +215,6 @@ def spans(rows: np.ndarray, lens: np.ndarray, low: np.ndarray, high: np.ndarray)
 # ---- batches ----------------------------------------------------------------
 
 
-def _z(data: bytes, level: int = 3) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdCompressor(level=level).compress(data)
-
-
-def _unz(data: bytes) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdDecompressor().decompress(data)
-
-
-def _arrays(blob: bytes, *types: str) -> list[np.ndarray]:
-    """What :func:`_pack` joined."""
-    raw = _unz(blob)
-    n = int.from_bytes(raw[:8], "little")
-    out, at = [], 8
-    for t in types:
-        size = np.dtype(t).itemsize * n
-        out.append(np.frombuffer(raw, t, n, at))
-        at += size
-    return out
-
-
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Columns of one length, compressed."""
-    return _z(len(arrays[0]).to_bytes(8, "little") + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
-
-
-def _rows(**columns) -> pa.RecordBatch:
-    kinds = {"batch": pa.int64(), "bucket": pa.int32(), "kind": pa.int32(), "least": pa.int64(), "n": pa.int64()}
-    return pa.RecordBatch.from_arrays([pa.array(v, kinds.get(k, pa.binary())) for k, v in columns.items()], list(columns))
-
-
-STORED = "batch long, docs binary, texts binary, rest binary"
-
-
-def _ipc(slices: list[pa.RecordBatch]) -> bytes:
-    """Columns that only travel along, as an Arrow stream."""
-    if not slices or not slices[0].num_columns:
-        return b""
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, slices[0].schema) as out:
-        for x in slices:
-            out.write_batch(x)
-    return _z(sink.getvalue().to_pybytes())
-
-
-def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
-    made, ids, texts, rest, size = TaskContext.get().partitionId() << 32, [], [], [], 0
-
-    def close() -> pa.RecordBatch:
-        null = np.array([i is None for i in ids], bool)
-        key = np.array([_NULL if i is None else i for i in ids], "<i8")
-        lens = np.array([len(t) for t in texts], "<i8")
-        return _rows(batch=[made], docs=[_pack(key, null, lens)], texts=[_z(b"".join(texts), 9)], rest=[_ipc(rest)])
-
-    for b in batches:
-        more, done = pa.RecordBatch.from_arrays(b.columns[2:], [str(i) for i in range(b.num_columns - 2)]), 0
-        for at, (i, t) in enumerate(zip(b.column(0), b.column(1)), 1):
-            ids.append(i.as_py())
-            texts.append(t.as_buffer().to_pybytes() if t.is_valid else b"")
-            size += len(texts[-1])
-            if size >= BATCH:
-                rest.append(more.slice(done, at - done))
-                yield close()
-                made, ids, texts, rest, size, done = made + 1, [], [], [], 0, at
-        if done < b.num_rows:
-            rest.append(more.slice(done))
-    if ids:
-        yield close()
-
-
-def _open(docs: bytes, texts: bytes) -> tuple[np.ndarray, ...]:
-    key, null, lens = _arrays(docs, "<i8", "?", "<i8")
-    return key, null, lens, np.frombuffer(_unz(texts), np.uint8)
-
-
 def _digests(text: np.ndarray, lens: np.ndarray) -> np.ndarray:
     import xxhash
 
@@ -350,7 +271,7 @@ def _ask(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for batch, docs, texts in zip(*(c.to_pylist() for c in b.columns)):
-                key, _, lens, text = _open(docs, texts)
+                key, _, lens, text = opened(docs, texts)
                 digest = _digests(text, lens)
                 first, least, of = _first_here(digest, key)
                 again = key > least[of]
@@ -364,7 +285,7 @@ def _ask(buckets: int):
                     # 48 bits of a key are enough to find which ones are shared.
                     short = keys[rows].view(np.uint8).reshape(-1, 8)[:, :6]
                     many = np.flatnonzero(count[rows] > 1).astype("<u4")
-                    out.append((k, 0, short.tobytes(), _pack(many, np.minimum(count[rows][many], 1 << 30).astype("<u4"))))
+                    out.append((k, 0, short.tobytes(), pack(many, np.minimum(count[rows][many], 1 << 30).astype("<u4"))))
                 d = _hex(digest)[first]
                 place = (d[:, 1] % np.uint64(buckets)).astype(np.int64)
                 long_enough = lens[first] >= LEAST
@@ -373,29 +294,15 @@ def _ask(buckets: int):
                     out.append((k, 1, np.ascontiguousarray(d[rows]).tobytes(), least[rows].astype("<i8").tobytes()))
                 if out:
                     k, kind, keys, more = zip(*out)
-                    yield _rows(bucket=k, kind=kind, batch=[batch] * len(k), data=keys, more=more)
+                    yield record(bucket=k, kind=kind, batch=[batch] * len(k), data=keys, more=more)
 
     return run
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
-    """Rows sorted by bucket, one bucket at a time."""
-    at, held = None, []
-    for b in batches:
-        for row in b.to_pylist():
-            if row["bucket"] != at and held:
-                yield at, held
-                held = []
-            at = row["bucket"]
-            held.append(row)
-    if held:
-        yield at, held
-
-
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket and batch: the keys that others have too (kind 0; with a mark
     for hot ones) and the texts that an earlier document has (kind 1)."""
-    for bucket, rows in _by_bucket(batches):
+    for bucket, rows in by_bucket(batches):
         out = []
         mine = [r for r in rows if r["kind"] == 0]
         if mine:
@@ -408,7 +315,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, who = np.concatenate(parts), np.repeat(np.arange(len(mine)), sizes)
             count = np.ones(len(keys), np.int64)
             for base, r in zip(np.cumsum(sizes) - sizes, mine):
-                many, n = _arrays(r["more"], "<u4", "<u4")
+                many, n = unpack(r["more"], "<u4", "<u4")
                 count[base + many.astype(np.int64)] = n
             order = np.argsort(keys, kind="stable")
             new = np.ones(len(order), bool)
@@ -425,7 +332,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, r in enumerate(mine):
                 a, b = cut[k], cut[k + 1]
                 if a < b:
-                    out.append((r["batch"], 0, _pack(_short(keys[at[a:b]], bucket), flag[a:b])))
+                    out.append((r["batch"], 0, pack(_short(keys[at[a:b]], bucket), flag[a:b])))
         whole = [r for r in rows if r["kind"] == 1]
         if whole:
             sizes = [len(r["data"]) // 16 for r in whole]
@@ -437,14 +344,14 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k, r in enumerate(whole):
                 rows_ = late[cut[k] : cut[k + 1]]
                 if len(rows_):
-                    out.append((r["batch"], 1, _pack(d[rows_][:, 0], d[rows_][:, 1])))
+                    out.append((r["batch"], 1, pack(d[rows_][:, 0], d[rows_][:, 1])))
         if out:
             batch, kind, data = zip(*out)
-            yield _rows(batch=batch, kind=kind, data=data)
+            yield record(batch=batch, kind=kind, data=data)
 
 
 def _said(answers: list[dict] | None, kind: int, *types: str) -> list[np.ndarray]:
-    parts = [_arrays(a["data"], *types) for a in answers or [] if a["kind"] == kind]
+    parts = [unpack(a["data"], *types) for a in answers or [] if a["kind"] == kind]
     return [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, t) for t in types]
 
 
@@ -453,7 +360,7 @@ def _segments(buckets: int):
     where each stands in the batch, and which texts are gone whole."""
 
     def one(batch: int, docs: bytes, texts: bytes, answers) -> pa.RecordBatch:
-        key, _, lens, text = _open(docs, texts)
+        key, _, lens, text = opened(docs, texts)
         first, least, of = _first_here(_digests(text, lens), key)
         again = (key > least[of]) & (lens >= LEAST)
         gone = _said(answers, 1, "<u8", "<u8")
@@ -494,7 +401,7 @@ def _segments(buckets: int):
         content[:, -1] = long_
         kinds, some, j = np.unique(content.view(f"S{content.shape[1]}").ravel(), return_index=True, return_inverse=True) if len(start) else (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
         del content
-        low, high = np.full(len(kinds), _NULL), np.full(len(kinds), np.iinfo(np.int64).min)
+        low, high = np.full(len(kinds), NULL), np.full(len(kinds), np.iinfo(np.int64).min)
         np.minimum.at(low, j, key[doc])
         np.maximum.at(high, j, key[doc])
         # A segment is one item, or one for each window where its key is hot.
@@ -512,14 +419,14 @@ def _segments(buckets: int):
         bucket = ((route >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((begin, bucket))
         cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        out = [((batch ^ batch >> 32) % buckets, 1, _pack(start.astype("<i8"), doc.astype("<i4"), j.astype("<i4")), np.packbits(again).tobytes())]
+        out = [((batch ^ batch >> 24) % buckets, 1, pack(start.astype("<i8"), doc.astype("<i4"), j.astype("<i4")), np.packbits(again).tobytes())]
         for k in np.flatnonzero(np.diff(cut)).tolist():
             rows = order[cut[k] : cut[k + 1]]
             n = length[rows]
             flat = text[np.arange(n.sum()) + np.repeat(begin[rows] - np.cumsum(n) + n, n)]
-            out.append((k, 0, _pack(item[rows].astype("<i4"), base[rows].astype("u1"), n.astype("u1"), route[rows].astype("<u4"), low[item[rows]].astype("<i8"), high[item[rows]].astype("<i8")), _z(flat.tobytes())))
+            out.append((k, 0, pack(item[rows].astype("<i4"), base[rows].astype("u1"), n.astype("u1"), route[rows].astype("<u4"), low[item[rows]].astype("<i8"), high[item[rows]].astype("<i8")), squeeze(flat.tobytes())))
         k, kind, data, more = zip(*out)
-        return _rows(bucket=k, kind=kind, batch=[batch] * len(k), data=data, more=more)
+        return record(bucket=k, kind=kind, batch=[batch] * len(k), data=data, more=more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -532,18 +439,18 @@ def _segments(buckets: int):
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A bucket's segments to spans for each batch that has them (kind 0); the
     batches' own places (kind 1) pass through."""
-    for _, rows in _by_bucket(batches):
+    for _, rows in by_bucket(batches):
         own = [r for r in rows if r["kind"] == 1]
         if own:
-            yield _rows(batch=[r["batch"] for r in own], kind=[1] * len(own), data=[r["data"] for r in own], more=[r["more"] for r in own])
+            yield record(batch=[r["batch"] for r in own], kind=[1] * len(own), data=[r["data"] for r in own], more=[r["more"] for r in own])
         rows = [r for r in rows if r["kind"] == 0]
         if not rows:
             continue
-        cols = [_arrays(r["data"], "<i4", "u1", "u1", "<u4", "<i8", "<i8") for r in rows]
+        cols = [unpack(r["data"], "<i4", "u1", "u1", "<u4", "<i8", "<i8") for r in rows]
         who = np.repeat(np.arange(len(rows)), [len(c[0]) for c in cols])
         j, base, size, route, low, high = (np.concatenate(c) for c in zip(*cols))
         size = size.astype(np.int64)
-        flat = np.frombuffer(b"".join(_unz(r["more"]) for r in rows), np.uint8)
+        flat = np.frombuffer(b"".join(unsqueeze(r["more"]) for r in rows), np.uint8)
         begin = np.cumsum(size) - size
         found: list[list] = [[] for _ in rows]
         order = np.argsort(route, kind="stable")
@@ -562,7 +469,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             body[:, :width] = np.where(step < size[part, None], flat[np.minimum(begin[part, None] + step, len(flat) - 1)], 0)
             body[:, width] = size[part]
             kinds, first, of = np.unique(body.view(f"S{width + 1}").ravel(), return_index=True, return_inverse=True)
-            least, most = np.full(len(kinds), _NULL), np.full(len(kinds), np.iinfo(np.int64).min)
+            least, most = np.full(len(kinds), NULL), np.full(len(kinds), np.iinfo(np.int64).min)
             np.minimum.at(least, of, low[part])
             np.maximum.at(most, of, high[part])
             seg, off, length, doc = spans(body[first, :width], size[part][first], least, most)
@@ -582,10 +489,10 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for k in np.flatnonzero(np.diff(ends)).tolist():
                 a, b = ends[k], ends[k + 1]
                 found[k].append((j[part][row[a:b]], (off[at[a:b]] + base[part][row[a:b]]).astype("u1"), length[at[a:b]].astype("u1"), doc[at[a:b]]))
-        out = [(r["batch"], _pack(*(np.concatenate(c) for c in zip(*f)))) for r, f in zip(rows, found) if f]
+        out = [(r["batch"], pack(*(np.concatenate(c) for c in zip(*f)))) for r, f in zip(rows, found) if f]
         if out:
             batch, data = zip(*out)
-            yield _rows(batch=batch, kind=[0] * len(batch), data=data, more=[None] * len(batch))
+            yield record(batch=batch, kind=[0] * len(batch), data=data, more=[None] * len(batch))
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -596,11 +503,11 @@ def _apply(text_at: int | None = None):
     text that is left, without bytes of characters that were cut apart."""
 
     def one(docs: bytes, texts: bytes, rest: bytes, where: bytes, gone: bytes, answers) -> pa.RecordBatch:
-        key, null, lens, text = _open(docs, texts)
-        start, doc, j = _arrays(where, "<i8", "<i4", "<i4")
+        key, null, lens, text = opened(docs, texts)
+        start, doc, j = unpack(where, "<i8", "<i4", "<i4")
         change = np.zeros(len(text) + 1, np.int32)
         if answers and len(j):
-            seg, off, length, least = (np.concatenate(c) for c in zip(*(_arrays(a, "<i4", "u1", "u1", "<i8") for a in answers)))
+            seg, off, length, least = (np.concatenate(c) for c in zip(*(unpack(a, "<i4", "u1", "u1", "<i8") for a in answers)))
             order = np.argsort(seg, kind="stable")
             cut = np.searchsorted(seg[order], np.arange(int(j.max()) + 2))
             n = np.diff(cut)[j]
@@ -623,8 +530,7 @@ def _apply(text_at: int | None = None):
             left = text[a:b][~c] if removed[-1] else text[a:b]
             kept.append(left.tobytes().decode("utf-8", "ignore") if text_at is not None else hashlib.sha256(left).hexdigest())
         if text_at is not None:
-            table = pa.ipc.open_stream(_unz(rest)).read_all() if rest else pa.table({})
-            arrays = [c.combine_chunks() for c in table.columns]
+            arrays = rest_columns(rest)
             arrays.insert(text_at, pa.array(kept, pa.string()))
             return pa.RecordBatch.from_arrays(arrays, [str(i) for i in range(len(arrays))])
         return pa.RecordBatch.from_arrays([pa.array(key, mask=null), pa.array(lens), pa.array(removed, pa.int64()), pa.array(pieces, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -654,36 +560,24 @@ def cleaned(docs: DataFrame) -> DataFrame:
 def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
     """Each stored batch with the spans found for it."""
     spark = docs.sparkSession
-    stored = written(docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"), *(F.col(f"`{c}`") for c in rest)).mapInArrow(_store, STORED), "texts", "uncompressed")
+    stored = store_texts(docs, rest, BATCH)
     # A bucket has the segments of at most some 64 batches' worth of text.
     buckets = max(partitions(spark), stored.count() // 64)
     message = "bucket int, kind int, batch long, data binary, more binary"
     # No name holds the shuffled frames, so their files go once they are written.
-    told = written(_by_key(stored.select("batch", "docs", "texts").mapInArrow(_ask(buckets), message)).mapInArrow(_answer, "batch long, kind int, data binary"), "keys", "uncompressed")
-    _tidy(spark)
+    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(_ask(buckets), message)).mapInArrow(_answer, "batch long, kind int, data binary"), "keys", "uncompressed")
+    tidy(spark)
     answers = told.groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
-    found = written(_by_key(stored.join(answers, "batch", "left").select("batch", "docs", "texts", "answers").mapInArrow(_segments(buckets), message)).mapInArrow(_search, "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
+    found = written(to_buckets(stored.join(answers, "batch", "left").select("batch", "docs", "texts", "answers").mapInArrow(_segments(buckets), message)).mapInArrow(_search, "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
     del answers
     dropped(told)
-    _tidy(spark)
+    tidy(spark)
     where = found.where("kind = 1").select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
     found = found.where("kind = 0").groupBy("batch").agg(F.collect_list("data").alias("found"))
     last = stored.join(where, "batch").join(found, "batch", "left")
     return last.select("docs", "texts", "rest", "at", "gone", "found")
 
 
-def _by_key(rows: DataFrame) -> DataFrame:
-    return rows.repartition("bucket").sortWithinPartitions("bucket")
-
-
-def _tidy(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are written."""
-    import gc
-
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 

@@ -83,6 +83,11 @@ def brute_fp(text, n=4):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
+def word_shingles(text, n=5):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(w[i : i + n]) for i in range(max(1, len(w) - n + 1))}
+
+
 def roots(n, pairs):
     p = list(range(n))
 
@@ -132,7 +137,7 @@ def test_bk_tree_search():
 def test_near_copies_are_the_similar_pairs(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
-    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for _, t in rows]
+    sets = [word_shingles(t) for _, t in rows]
     pairs = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     want = {rows[r][0] for r in roots(len(rows), pairs)}
     assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == want
@@ -141,7 +146,6 @@ def test_near_copies_are_the_similar_pairs(spark):
 def test_near_copies_that_only_the_first_text_links(spark, monkeypatch):
     """Copies that are at 0.8 with one text but not with each other, in small blocks."""
     monkeypatch.setattr(simhash, "BLOCK", 8)
-    monkeypatch.setattr(simhash, "PARTNERS", 1)
     rng = np.random.default_rng(8)
     texts = []
     for group in range(2):
@@ -151,7 +155,7 @@ def test_near_copies_that_only_the_first_text_links(spark, monkeypatch):
             for at in rng.choice(np.arange(5, 195, 10), 4, replace=False) if copy != 12 else ():
                 words[at] = f"x{group}c{copy}a{at}"
             texts.append(" ".join(words))
-    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    sets = [word_shingles(t) for t in texts]
     pairs = [(i, j) for i in range(50) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     want = set(roots(50, pairs))
     assert len(want) == 2 and len(pairs) < 300
@@ -169,7 +173,7 @@ def test_near_copies_of_short_and_long_texts(spark):
             words = [f"v{i}" for i in rng.integers(0, 4000, n + 4)]
             cut = int(n * 0.2 + 1e-9) + copy % 4 // 3
             texts += [" ".join(words), " ".join(words[: len(words) - cut] if copy % 2 else words[cut:])]
-    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    sets = [word_shingles(t) for t in texts]
     alike = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     want = set(roots(len(texts), alike))
     assert 20 < len(texts) - len(want) < len(texts) // 2
@@ -186,34 +190,52 @@ def test_near_copies_do_not_hang_on_fingerprint_links(spark, monkeypatch):
     for _ in range(60):
         words = [f"v{i}" for i in rng.integers(0, 4000, 9)]
         texts += [" ".join(words), " ".join(words[:8]), " ".join(words[1:])]
-    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for t in texts]
+    sets = [word_shingles(t) for t in texts]
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id for r in simhash.deduplicated(docs).collect()} == set(roots(len(texts), pairs))
 
 
 @pytest.mark.parametrize("similarity", [0.5, 0.8, 1.0])
-def test_prefixes_and_counts_lose_no_similar_pair(similarity):
+def test_prefixes_and_ranks_lose_no_similar_pair(similarity):
     rng = np.random.default_rng(10)
-    often = np.sort(rng.choice(1 << 62, 300, replace=False).astype(np.uint64))
-    rank = rng.integers(3, 50, 300)
+    kinds = np.sort(rng.choice(1 << 62, 900, replace=False).astype(np.uint64))
+    often = np.where(np.arange(900) % 3, rng.integers(8, 60, 900), 0).astype(np.uint8)
     hits = 0
     for _ in range(2000):
-        n = int(rng.integers(1, 90))
-        pool = np.concatenate([often, rng.integers(0, 1 << 62, 200).astype(np.uint64) << np.uint64(2)])
-        x = np.unique(rng.choice(pool, n))
-        y = np.unique(np.concatenate([rng.permutation(x)[int(rng.integers(0, 2 + len(x) // 3)) :], rng.choice(pool, int(rng.integers(0, 2 + len(x) // 5)))]))
+        x = np.unique(rng.choice(900, int(rng.integers(1, 90))))
+        y = np.unique(np.concatenate([rng.permutation(x)[int(rng.integers(0, 2 + len(x) // 3)) :], rng.choice(900, int(rng.integers(0, 2 + len(x) // 5)))]))
+        seen = np.where(np.isin(np.arange(900), np.intersect1d(x, y)), np.maximum(often, 8), often)
+        at, doc, rank = simhash.prefixes(np.concatenate([x, y]), np.array([len(x), len(y)]), seen, kinds, similarity)
         common = len(np.intersect1d(x, y))
-        a, b = (np.frombuffer(simhash.bin_counts(h), np.uint8) for h in (x, y))
-        most = simhash.most_common(a, b, np.int64(len(x)), np.int64(len(y)))
-        assert most >= common
         if common >= similarity * (len(x) + len(y) - common):
             hits += 1
-            assert simhash.may_reach(most, len(x) + len(y), similarity)
-            assert np.intersect1d(simhash.prefix(x, often, rank, similarity), simhash.prefix(y, often, rank, similarity)).size
+            of = np.concatenate([x, y])[at]
+            shared = np.intersect1d(of[doc == 0], of[doc == 1])
+            assert len(shared)
+            # At the first shared key the ranks leave room for all common hashes.
+            room = [min(len(x) - rank[doc == 0][of[doc == 0] == k][0], len(y) - rank[doc == 1][of[doc == 1] == k][0]) for k in shared]
+            assert max(room) >= common >= simhash.overlap_needed(len(x) + len(y), similarity)
     assert hits > 20
-    many = (np.arange(600, dtype=np.uint64), np.arange(400, dtype=np.uint64))
-    assert simhash.most_common(*(np.frombuffer(simhash.bin_counts(h), np.uint8) for h in many), *map(len, many)) == 400
+
+
+def test_shingles_of_joined_texts(monkeypatch):
+    """Equal words have equal hashes wherever they stand, whatever the slices."""
+    monkeypatch.setattr(simhash, "_SLICE", 7)
+    texts = ["a b c d e f", "", "  ", "A b\tc d e\u00e9 f", "f", "longer-than-a-slice x", "f longer-than-a-slice", "b c d e f a", "x" * 40]
+    raw = [t.encode() for t in texts]
+    lens = np.array([len(r) for r in raw])
+    text = np.frombuffer(b"".join(raw), np.uint8)
+    h, doc = simhash.word_hashes(text, lens)
+    words = [w for t in texts for w in t.lower().split()]
+    assert len(words) == len(h) and [texts[d].lower().split() for d in sorted(set(doc.tolist()))] == [t.lower().split() for t in texts if t.split()]
+    assert len({(w, x) for w, x in zip(words, h.tolist())}) == len(set(words)) == len(set(h.tolist()))
+    kinds, of, size = simhash.token_sets(text, lens, 2)
+    want = [word_shingles(t, 2) for t in texts]
+    assert size.tolist() == [len(w) for w in want] and len(kinds) == len(set().union(*want))
+    ends = np.cumsum(size)
+    got = [set(of[b - n : b].tolist()) for b, n in zip(ends.tolist(), size.tolist())]
+    assert all(len(got[i] & got[j]) == len(want[i] & want[j]) for i in range(len(texts)) for j in range(len(texts)))
 
 
 def test_components_of_a_chain(spark):
