@@ -3,13 +3,21 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Whitespace that a text is stripped of.
+_BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
+
 #: What counts as a number: digits with optional sign, point and exponent.
 NUMBER = r"^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
 
 
+def stripped(c: Column) -> Column:
+    """Text without whitespace at its ends, tabs and line ends too."""
+    return F.btrim(c, F.lit(_BLANKS))
+
+
 def num(c: Column, default: float = 0.0) -> Column:
     """Text to double; the default where it is blank or no number."""
-    plain = F.regexp_replace(F.trim(c), "_", "")
+    plain = F.regexp_replace(stripped(c), "_", "")
     return F.coalesce(F.when(c.rlike(NUMBER), plain.try_cast("double")), F.lit(default))
 
 
@@ -17,9 +25,12 @@ def truncated(c: Column, default: float = 0.0) -> Column:
     return num(c, default).cast("int")
 
 
-def falsy(c: Column, default) -> Column:
-    """``x or default``: null, 0 and '' are all replaced."""
-    return F.when(c.isNull() | c.cast("string").isin("", "0", "0.0"), F.lit(default)).otherwise(c)
+def falsy(c: Column, default, zero: bool = True) -> Column:
+    """``c or default``: null, the empty text and, with ``zero``, 0 are replaced."""
+    none = c.isNull() | (c.cast("string") == "")
+    if zero:
+        none = none | (c.try_cast("double") == 0)
+    return F.when(F.coalesce(none, F.lit(False)), F.lit(default)).otherwise(c)
 
 
 def tokens(c: Column) -> Column:
@@ -29,7 +40,7 @@ def tokens(c: Column) -> Column:
 
 def joined(c: Column) -> Column:
     """Array of names to trimmed text, blanks dropped."""
-    return F.concat_ws(" ", F.filter(F.transform(c, lambda x: F.trim(x)), lambda x: x != ""))
+    return F.concat_ws(" ", F.filter(F.transform(c, stripped), lambda x: x != ""))
 
 
 def pairs(c: Column) -> Column:
@@ -46,10 +57,26 @@ def half_up(c: Column, places: int = 1) -> Column:
     return F.floor(c * scale + 0.5) / scale
 
 
+def half_even(c: Column, places: int) -> Column:
+    """The nearest multiple of 10^-places to the exact binary value, ties to
+    even, as the server layer rounds: 2.675 is below its tie, 0.25 is one."""
+    scale = float(10**places)
+    p = c * scale
+    # What the product lost in rounding, by splitting ``c`` into two halves.
+    big = c * 134217729.0
+    high = big - (big - c)
+    lost = (high * scale - p) + (c - high) * scale
+    low = F.floor(p).cast("double")
+    part = p - low
+    up = (part > 0.5) | ((part == 0.5) & ((lost > 0) | ((lost == 0) & (low % 2 != 0))))
+    return F.when(F.abs(p) >= 2.0**52, c).otherwise(F.when(up, low + 1).otherwise(low) / scale)
+
+
 def trimmed(c: Column, places: int) -> Column:
-    """Decimal text without trailing zeros."""
-    text = F.format_string(f"%.{places}f", c)
-    return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    """Rounded text without trailing zeros, never with an exponent; null for null."""
+    text = F.format_string(f"%.{places}f", half_even(c, places))
+    text = F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+    return F.when(text == "-0", "0").when(c.isNotNull(), text)
 
 
 def name_contains(c: Column, q: str) -> Column:

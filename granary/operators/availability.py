@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from granary.functions.parsing import name_contains
+from granary.functions.ranges import range_of
+
 
 def core_status(recipes: DataFrame, ingredients: DataFrame, stock: DataFrame, carry: list[str] = ()) -> DataFrame:
     """id, core_size, n_missing, missing: how each recipe's core stands.
@@ -42,20 +45,30 @@ def unlocks(near: DataFrame, k: int = 3, ties: tuple[str, ...] = ("id",)) -> Dat
 
 
 def kitchen_rank(stock: DataFrame, by: Column, order: Column, shards: int = 64) -> DataFrame:
-    """Dense position by quantity, then file order, without one task sorting all.
-
-    Rows are range-partitioned; a row's position is its place in its partition
-    plus the sizes of the partitions before it (one small row each)."""
-    parts = stock.withColumn("_by", by).withColumn("_o", order).repartitionByRange(shards, F.desc("_by"), F.asc("_o"))
-    parts = parts.withColumn("_p", F.spark_partition_id())
+    """Dense position by quantity (greatest first, nulls last), then file order,
+    without one task sorting all.
+
+    Rows are cut into ranges by literal bounds; a row's position is its place in
+    its range plus the sizes of the ranges before it (one small row each).
+    ``order`` must tell rows of one quantity apart."""
+    keyed = stock.withColumn("_by", by.cast("double")).withColumn("_o", order)
+    parts = keyed.withColumn("_p", range_of(keyed, [F.col("_by").isNull(), -F.col("_by"), F.col("_o")], shards))
     sizes = parts.groupBy("_p").count()
     before = F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select("_p", F.coalesce(before, F.lit(0)).alias("_before"))
-    w = Window.partitionBy("_p").orderBy(F.desc("_by"), F.asc("_o"))
+    w = Window.partitionBy("_p").orderBy(F.desc_nulls_last("_by"), F.asc("_o"))
     out = parts.withColumn("_n", F.row_number().over(w)).join(F.broadcast(sizes), "_p")
     return out.withColumn("rank", (F.col("_n") + F.col("_before")).cast("long")).drop("_p", "_n", "_before", "_by", "_o")
 
 
+def kitchen_rows(ranked: DataFrame, q: str = "", expanded: bool = False, limit: int = 12) -> DataFrame:
+    """Ranked kitchen rows, those whose name has ``q``; the first ``limit`` unless
+    searching or expanded."""
+    rows = ranked.where(name_contains(F.col("name"), q)) if q.strip() else ranked
+    rows = rows.orderBy("rank")
+    return rows if q.strip() or expanded else rows.limit(limit)
+
+
 def unpinned(recipes: DataFrame, pins: DataFrame) -> DataFrame:
     return recipes.join(pins.select(F.col("recipe_id").alias("id")), "id", "left_anti")
 

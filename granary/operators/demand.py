@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,19 +22,31 @@ def _per_day(plates: DataFrame, items: DataFrame, name: str) -> DataFrame:
     return total.crossJoin(F.broadcast(days)).select("ing_id", F.try_divide("_q", "_days").alias(name))
 
 
-def trailing(plates: DataFrame, as_of: DataFrame, days: int) -> DataFrame:
-    """Plates of the last ``days`` dates up to the one row of ``as_of``."""
-    return plates.join(F.broadcast(as_of), F.col("date").between(F.date_sub("as_of", days - 1), F.col("as_of"))).drop("as_of")
+def trailing(plates: DataFrame, as_of: date | None, days: int) -> DataFrame:
+    """Plates of the last ``days`` dates up to ``as_of``; none without a date.
+
+    Both bounds are literals, so the scan prunes row groups and partitions."""
+    if as_of is None:
+        return plates.where("false")
+    return plates.where(F.col("date").between(F.lit(as_of - timedelta(days=days - 1)), F.lit(as_of)))
 
 
-def latest(plates: DataFrame) -> DataFrame:
-    return plates.agg(F.max("date").alias("as_of"))
+def latest(plates: DataFrame) -> date | None:
+    """The last date of the plates: the as-of date where none is given."""
+    return plates.agg(F.max("date").alias("d")).head().d
 
 
-def observed_rate(plates: DataFrame, items: DataFrame, as_of: DataFrame, days: int = 14) -> DataFrame:
+def observed_rate(plates: DataFrame, items: DataFrame, as_of: date | None, days: int = 14) -> DataFrame:
     return _per_day(trailing(plates.where("not planned"), as_of, days), items, "rate")
 
 
+def header_counts(stock: DataFrame, pins: DataFrame, plates: DataFrame, as_of: date | None, days: int = 14) -> DataFrame:
+    """One row: items in stock, pinned dishes, and dates logged of the last ``days``."""
+    logged = trailing(plates.where("not planned"), as_of, days).agg(F.countDistinct("date").alias("logged_days"))
+    stocked = stock.agg(F.count_if(F.coalesce("qty", F.lit(0.0)) > 0).alias("stocked"))
+    return stocked.crossJoin(pins.agg(F.countDistinct("recipe_id").alias("pinned"))).crossJoin(logged)
+
+
 def menu_rate(plates: DataFrame, items: DataFrame, from_date: Column | None = None) -> DataFrame:
     """All planned plates; past ones too unless ``from_date`` is given."""
     planned = plates.where("planned")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from granary.functions.parsing import NUMBER, num, tokens
+from granary.functions.parsing import NUMBER, num, stripped, tokens
 from granary.operators.nutrition import IRON, ZINC, molar_ratio
 from granary.sources.schema import FLAGS, NUTRIENTS
 
@@ -27,6 +27,23 @@ def wrong_width(ragged: DataFrame, file: str, rule: str) -> DataFrame:
     return violation(ragged.withColumn("id", F.col("cells")[0]), F.col("wrong_width"), "E", file, rule, detail=F.col("width"))
 
 
+#: The rule that reports rows of a wrong width in each file.
+WIDTH_RULES = {"ingredients": "DQ1", "forms": "DQ14", "phytate": "DQ25", "retention": "DQ30", "recipes": "DQ32"}
+
+
+def width_rules(files: dict[str, DataFrame]) -> list[DataFrame]:
+    """Rows of a wrong width, by file of :func:`granary.sources.files.ragged`
+    rows.  Those of the target file are skipped without a word (DQ20), see
+    :func:`right_width`."""
+    return [wrong_width(files[f], f, rule) for f, rule in WIDTH_RULES.items() if f in files]
+
+
+def right_width(ragged: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows of the header's width as named text columns; all other rules look
+    at these alone."""
+    return ragged.where(~F.col("wrong_width")).select(*(F.col("cells")[i].alias(c) for i, c in enumerate(columns)))
+
+
 def duplicates(df: DataFrame, file: str, rule: str, key: str = "id") -> DataFrame:
     return violation(df.groupBy(key).count(), F.col("count") > 1, "E", file, rule, key, F.col("count"))
 
@@ -41,7 +58,7 @@ def dangling(df: DataFrame, ref: Column, known: DataFrame, file: str, rule: str,
 def numbers(df: DataFrame, columns: list[str], file: str, negative: str, unparsed: str, key: str = "id", most: float | None = None, blank: bool = True) -> DataFrame:
     """Text cells that are no number, or out of [0, most]."""
     long_ = df.select(key, F.expr("stack({}, {}) as (column, cell)".format(len(columns), ", ".join(f"'{c}', `{c}`" for c in columns))))
-    cell = F.coalesce(F.trim("cell"), F.lit(""))
+    cell = F.coalesce(stripped(F.col("cell")), F.lit(""))
     bad = (cell != "") & ~F.col("cell").rlike(NUMBER) if blank else ~F.coalesce(F.col("cell").rlike(NUMBER), F.lit(False))
     value = num(F.col("cell"), 0.0)
     out_of = ~bad & ((value < 0) | (value > most) if most is not None else value < 0)
@@ -69,10 +86,10 @@ def ingredient_rules(raw: DataFrame, numeric: list[str]) -> list[DataFrame]:
     kcal, p, c = (num(F.col(x)) for x in ("kcal", "protein", "carbs"))
     macro = 4 * p + 4 * c
     impossible = (kcal > 0) & (macro > 1.12 * kcal) & (macro - kcal > 3)
-    flags = reduce(lambda a, b: a | b, (~F.coalesce(F.trim(x), F.lit("")).isin("0", "1", "") for x in FLAGS))
+    flags = reduce(lambda a, b: a | b, (~F.coalesce(stripped(F.col(x)), F.lit("")).isin("0", "1", "") for x in FLAGS))
     ids = raw.select("id")
     makes = raw.select("id", F.explode(tokens(F.col("makes"))).alias("_r"))
-    blank = lambda x: F.coalesce(F.trim(x), F.lit("")) == ""
+    blank = lambda x: F.coalesce(stripped(F.col(x)), F.lit("")) == ""
     fat = F.greatest(F.lit(0.0), kcal - macro)
     return [
         duplicates(raw, f, "DQ2"),
@@ -83,7 +100,7 @@ def ingredient_rules(raw: DataFrame, numeric: list[str]) -> list[DataFrame]:
         violation(raw, impossible, "E", f, "DQ8", detail=macro),
         violation(raw, ~impossible & (kcal > 60) & (macro < 0.25 * kcal) & ~F.coalesce(F.col("role"), F.lit("")).isin("seed", "condiment"), "W", f, "DQ9", detail=fat),
         dangling(makes, F.col("_r"), ids, f, "DQ10"),
-        violation(raw, (F.trim("keep") == "1") & blank("makes"), "W", f, "DQ11"),
+        violation(raw, (stripped(F.col("keep")) == "1") & blank("makes"), "W", f, "DQ11"),
     ]
 
 
@@ -98,7 +115,7 @@ def form_rules(ingredients: DataFrame, forms: DataFrame) -> list[DataFrame]:
     n = F.size("gated")
     gates = ingredients.select("id", F.explode("gated").alias("_g"))
     far = unreachable(ingredients)
-    measured = F.coalesce(F.trim(F.col("phyt_red").cast("string")), F.lit("")) != ""
+    measured = F.coalesce(stripped(F.col("phyt_red").cast("string")), F.lit("")) != ""
     return [
         dangling(ingredients, form, forms, i, "DQ15"),
         violation(ingredients, (n > 0) & (form == ""), "E", i, "DQ16"),
@@ -135,7 +152,7 @@ def recipe_rules(recipes: DataFrame, ingredients: DataFrame) -> list[DataFrame]:
     f = "recipes"
     refs = recipes.select("id", F.explode(F.concat("core", "opt")).alias("_r"))
     meals = recipes.select("id", F.explode("meals").alias("_m"))
-    effort = F.coalesce(F.trim("effort"), F.lit(""))
+    effort = F.coalesce(stripped(F.col("effort")), F.lit(""))
     whole = effort.rlike(r"^[+-]?\d+$")
     minutes = F.when(whole, effort.try_cast("int"))
     both = F.array_intersect("core", "opt")
@@ -151,22 +168,20 @@ def recipe_rules(recipes: DataFrame, ingredients: DataFrame) -> list[DataFrame]:
 
 
 def store_rules(file_rows: DataFrame, store_rows: DataFrame, numeric: list[str], exact: list[str], name: str, tolerance: float = 0.001, level: str = "E") -> DataFrame:
-    """A file against a store: row counts, missing ids, differing columns."""
+    """A file against a store: row counts, ids that either side lacks, differing
+    columns.  Null and blank numbers count as 0, null texts as empty."""
     n = file_rows.agg(F.count(F.lit(1)).alias("_a")).crossJoin(store_rows.agg(F.count(F.lit(1)).alias("_b"))).withColumn("id", F.lit(name))
-    a = file_rows.select("id", *(F.col(c).alias(f"a_{c}") for c in numeric + exact))
+    a = file_rows.select(F.col("id").alias("a_id"), *(F.col(c).alias(f"a_{c}") for c in numeric + exact))
     b = store_rows.select(F.col("id").alias("b_id"), *(F.col(c).alias(f"b_{c}") for c in numeric + exact))
-    j = a.join(b, F.col("id") == F.col("b_id"), "left")
-    here = F.col("b_id").isNotNull()
-    out = [violation(n, F.col("_a") != F.col("_b"), level, name, "DQ39", detail=F.concat_ws("/", "_a", "_b")), violation(j, ~here, "E", name, "DQ40", detail=F.lit("missing"))]
-    out += [violation(j, here & (F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")) > tolerance), "E", name, "DQ40", detail=F.lit(c)) for c in numeric]
-    out += [violation(j, here & ~F.col(f"a_{c}").eqNullSafe(F.col(f"b_{c}")), "E", name, "DQ40", detail=F.lit(c)) for c in exact]
-    return union(out)
+    j = a.join(b, F.col("a_id") == F.col("b_id"), "full_outer").withColumn("id", F.coalesce("a_id", "b_id"))
+    here = F.col("a_id").isNotNull() & F.col("b_id").isNotNull()
+    off = lambda c: F.abs(F.coalesce(f"a_{c}", F.lit(0.0)) - F.coalesce(f"b_{c}", F.lit(0.0))) > tolerance
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    # All findings of a row in one pass over the join.
+    found = [F.when(F.col("b_id").isNull(), "missing"), F.when(F.col("a_id").isNull(), "not in file"), *(F.when(here & off(c), c) for c in numeric), *(F.when(here & (blank(f"a_{c}") != blank(f"b_{c}")), c) for c in exact)]
+    rows = j.select("id", F.explode(F.array_compact(F.array(*found))).alias("_what"))
+    return union([violation(n, F.col("_a") != F.col("_b"), level, name, "DQ39", detail=F.concat_ws("/", "_a", "_b")), violation(rows, F.lit(True), "E", name, "DQ40", detail=F.col("_what"))])
 
 
 def summary(violations: DataFrame) -> DataFrame:
     return violations.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
-
-
-def first_of(df: DataFrame, key: str, *order: str) -> DataFrame:
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")

@@ -78,9 +78,18 @@ def protein_pass(days: DataFrame, goal: float) -> DataFrame:
 
 
 def trim(items: DataFrame, ceiling: float) -> DataFrame:
-    """The largest fat contributor of each day above its ceiling (SP6)."""
-    day = items.groupBy("date").agg(F.sum("kcal").alias("kcal"), F.max_by("ing_id", F.struct("fat", "ing_id")).alias("cut"))
-    return day.where(F.col("kcal") > ceiling).select("date", "kcal", "cut")
+    """Days above their ceiling, cut until they are not (SP6): the items that go,
+    largest fat contributor first, with the energy left after each.
+
+    ``items``: date, ing_id, kcal, fat, of whole contributions.  A day's items
+    are ranked once; an item goes while those before it leave the day above the
+    ceiling, so the loop is a running sum."""
+    day = Window.partitionBy("date")
+    order = day.orderBy(F.desc("fat"), "ing_id")
+    left = F.sum("kcal").over(day) - F.sum("kcal").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    out = items.withColumn("left", left).withColumn("before", F.col("left") + F.col("kcal"))
+    rank = F.row_number().over(order)
+    return out.withColumn("rank", rank).where(F.col("before") > ceiling).select("date", "rank", F.col("ing_id").alias("cut"), F.col("before").alias("kcal"), "left")
 
 
 def optional_cap(options: DataFrame, most: int = 3) -> DataFrame:

@@ -86,10 +86,38 @@ def atwater_fat(kcal: Column, protein: Column, carbs: Column) -> Column:
     return (kcal - 4 * protein - 4 * carbs) / 9
 
 
+#: Shares of the day that the four slots carry.
+SHARES = {"breakfast": 0.3, "lunch": 0.3, "dinner": 0.3, "snack": 0.1}
+
+
 def meal_targets(targets: DataFrame, share: float = 0.3) -> DataFrame:
     return targets.withColumn("meal", F.round(F.col("daily") * share, 6))
 
 
+def slot_targets(targets: DataFrame) -> DataFrame:
+    """A row per target and slot: the slot's share of the day."""
+    shares = F.explode(F.create_map(*(F.lit(x) for kv in SHARES.items() for x in kv)))
+    return targets.select("*", shares.alias("slot", "share")).withColumn("slot_target", F.round(F.col("daily") * F.col("share"), 6))
+
+
+def day_report(items: DataFrame, ingredients: DataFrame, targets: DataFrame, energy: float = 1775.0) -> DataFrame:
+    """(scope, name, got, wanted, pct, status) of a day: energy and protein of
+    every slot against its budget, then every nutrient against its target.
+
+    ``items``: meal, ing_id, qty.  Energy of the day is ``OVER`` above 105 % of
+    ``energy``; a slot fails above 115 % of its energy and warns under 80 % of its
+    protein; a per-meal target fails under 50 %."""
+    slots = slot_check(totals(items, ingredients, ["meal"], ["kcal", "protein"]))
+    budget = F.create_map(*(F.lit(x) for k, v in SLOTS.items() for x in (k, F.array(F.lit(v[0]), F.lit(v[1])))))
+    want = F.element_at(budget, F.col("meal"))
+    per_slot = slots.select(F.col("meal").alias("scope"), F.explode(F.array(F.struct(F.lit("kcal").alias("name"), F.col("kcal").alias("got"), want[0].alias("wanted"), F.when(F.col("failed"), "failed").otherwise("ok").alias("status")), F.struct(F.lit("protein").alias("name"), F.col("protein").alias("got"), want[1].alias("wanted"), F.when(F.col("warned"), "warned").otherwise("ok").alias("status")))).alias("r"))
+    per_slot = per_slot.select("scope", "r.name", "r.got", "r.wanted", F.try_divide(100 * F.col("r.got"), F.col("r.wanted")).alias("pct"), "r.status")
+    day = totals(items.withColumn("day", F.lit("day")), ingredients, ["day"])
+    found = target_status(unpivot(day, ["day"]), targets)
+    status = F.when(F.col("failed"), "failed").when((F.col("nkey") == "kcal") & (F.col("total") > 1.05 * energy), "OVER").when(F.col("nkey") == "kcal", "ok").otherwise(F.col("status"))
+    return per_slot.unionByName(found.select(F.col("day").alias("scope"), F.col("nkey").alias("name"), F.col("total").alias("got"), F.col("daily").alias("wanted"), "pct", status.alias("status")))
+
+
 def energy(weight: Column, fat: Column, bmr: Column, pal: Column, target: Column) -> dict[str, Column]:
     tdee = bmr * pal
     return {"ffm": weight - fat, "tdee": tdee, "deficit": tdee - target}

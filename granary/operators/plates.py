@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary.operators import merge
@@ -73,7 +73,31 @@ def clear_menu(plates: DataFrame, lo, hi) -> DataFrame:
     return merge.clear_range(plates, "date", lo, hi, F.col("planned"))
 
 
+def with_id(plates: DataFrame, now_ms: Column) -> DataFrame:
+    """Plates without an id get the default one: ``m`` or ``p`` and a time (MG4)."""
+    mark = F.concat(F.when(F.col("planned"), "m").otherwise("p"), now_ms.cast("string"))
+    return plates.withColumn("id", F.coalesce(F.nullif(F.col("id").cast("string"), F.lit("")), mark))
+
+
 def import_plates(plates: DataFrame, incoming: DataFrame) -> DataFrame:
     """Bulk import without stock movement; rows lacking date or meal are skipped."""
-    good = incoming.where(F.col("date").isNotNull() & F.col("meal").isNotNull() & (F.col("meal") != ""))
-    return merge.merge(plates, good, "id")
+    return merge.merge(plates, _complete(incoming), "id")
+
+
+def _complete(incoming: DataFrame) -> DataFrame:
+    return incoming.where(F.col("date").isNotNull() & F.col("meal").isNotNull() & (F.col("meal") != ""))
+
+
+def import_local(state: dict[str, DataFrame], incoming: DataFrame, items: DataFrame, recipes: DataFrame, now_ms: Column) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Bulk import of plates with their items, and of recipes; stock stays.
+
+    Returns the new state and one row of counts, of what came in and not of what
+    was kept.  Plates lacking date or meal are skipped with their items; a missing
+    quantity is 1; importing again changes nothing."""
+    good = _complete(incoming).withColumn("planned", F.lit(False))
+    ids = good.select(F.col("id").alias("plate_id"))
+    rest = state["plate_items"].join(ids, "plate_id", "left_anti")
+    new = items.join(ids.distinct(), "plate_id", "left_semi").withColumn("qty", F.coalesce("qty", F.lit(1.0)))
+    counts = incoming.agg(F.count(F.lit(1)).alias("plates")).crossJoin(recipes.agg(F.count(F.lit(1)).alias("recipes")))
+    kept = {"plates": merge.merge(state["plates"], good, "id"), "plate_items": rest.unionByName(new.select(*rest.columns)), "recipes": merge.save_recipe(state["recipes"], merge.user_recipes(recipes, now_ms))}
+    return state | kept, counts

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions.parsing import half_up, pairs, run_of, tokens
-from granary.operators import availability, demand, dq, ledger, merge, nutrition, plates, reference_layer
+from granary.operators import availability, demand, dq, ledger, menu, merge, nutrition, plates, projections, reference_layer
 from granary.sources import analog, files
+from granary.sources.schema import FLAGS
 
 QUERIES = {}
 SQL = {}
@@ -481,3 +482,253 @@ def pairs_map(spark, d):
 @query("SELECT p_partkey AS id, floor(p_retailprice * 10 + 0.5) / 10 AS price, CASE WHEN p_size <= 3 THEN 'fresh' WHEN p_size <= 14 THEN 'weekly' ELSE 'staple' END AS run FROM part")
 def half_up_runs(spark, d):
     return analog.ingredients(spark, d).select("id", half_up(F.col("kcal")).alias("price"), run_of(F.col("shelf")).alias("run"))
+
+
+# ---- what clients read ------------------------------------------------------
+
+
+@query("""
+SELECT p_partkey::VARCHAR AS id, CASE WHEN p_partkey % 3 = 0 THEN 1.0 ELSE p_partkey % 3 END::DOUBLE AS "default", CASE WHEN p_partkey % 4 = 0 OR p_size = 0 THEN 30 ELSE p_size END AS shelf, CASE WHEN p_partkey % 3 = 0 THEN 1.0 ELSE p_partkey % 3 END::DOUBLE AS pack,
+  CASE WHEN p_partkey % 6 = 0 THEN 8.0 ELSE 0.0 END::DOUBLE AS lead, CASE WHEN p_partkey % 2 = 0 THEN '' ELSE 'n' END AS note, CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE 0 END::BIGINT AS n_makes,
+  CASE WHEN p_partkey % 11 = 0 THEN 2 ELSE 0 END::BIGINT AS n_gated, p_partkey % 5 = 0 AS pantry, p_partkey % 11 = 0 AS topper, coalesce(CASE WHEN p_partkey % 8 = 0 THEN NULL ELSE 'c' || p_partkey END, '') AS ifct_code, p_retailprice AS kcal FROM part""")
+def project_ingredients(spark, d):
+    out = projections.ingredients(analog.ingredient_table(spark, d), client=True)
+    return out.select("id", "default", "shelf", "pack", "lead", "note", F.size("makes").cast("long").alias("n_makes"), F.size("gated").cast("long").alias("n_gated"), "pantry", "topper", "ifct_code", "kcal")
+
+
+@query("SELECT n_name AS fname, 'k' || n_nationkey AS key, n_regionkey::DOUBLE AS daily, n_nationkey % 2 = 0 AS permeal FROM nation")
+def project_targets(spark, d):
+    k = F.col("n_nationkey")
+    rows = analog.table(spark, d, "nation").select(F.col("n_name").alias("fname"), F.concat(F.lit("k"), k.cast("string")).alias("nkey"), F.col("n_name").alias("name"), F.lit("g").alias("unit"), F.lit("day").alias("cadence"), F.col("n_regionkey").cast("double").alias("daily"), F.lit(0.0).alias("meal"), F.when(k % 2 == 0, True).alias("permeal"), (-k).cast("int").alias("sort"))
+    return projections.targets(rows).select("fname", "key", "daily", "permeal")
+
+
+@query("""
+SELECT l_orderkey::VARCHAR AS id, 2::BIGINT AS n_meals, count(*) FILTER (l_linenumber <= 3) AS n_core, count(*) FILTER (l_linenumber > 3) AS n_opt, CASE WHEN l_orderkey % 2 = 0 THEN 'stir' ELSE '' END AS method, CASE WHEN l_orderkey % 3 <> 0 THEN 'neutral' ELSE '' END AS cuisine,
+  CASE WHEN l_orderkey % 4 <> 0 THEN l_orderkey % 60 ELSE 0 END::INTEGER AS effort, CASE WHEN l_orderkey % 5 = 0 THEN 1.5 END::DOUBLE AS a, CASE WHEN l_orderkey % 5 = 0 THEN 2 ELSE 0 END::BIGINT AS n_amounts, l_orderkey % 7 = 0 AS user FROM lineitem GROUP BY l_orderkey""".replace("AS user", 'AS "user"'))
+def project_recipes(spark, d):
+    r = projections.recipes(analog.recipe_table(spark, d))
+    n = lambda c: F.size(c).cast("long").alias(f"n_{c}")
+    return r.select("id", *map(n, ("meals", "core", "opt")), "method", "cuisine", "effort", F.col("amounts")["a"].alias("a"), n("amounts"), "user")
+
+
+@query("""
+SELECT p_partkey AS ing_id, (p_partkey % 5)::DOUBLE AS qty, CASE WHEN p_partkey % 2 = 0 THEN '2024-01-01T00:00:00' WHEN p_partkey % 3 = 0 THEN '2023-01-01T00:00:00' ELSE '' END AS bought, p_partkey % 7 = 0 AS useup FROM part""")
+def project_stock(spark, d):
+    k = F.col("ing_id")
+    s = analog.stock(spark, d).select("ing_id", "qty", F.when(k % 2 == 0, "2024-01-01T00:00:00").otherwise("").alias("bought_at"), F.when(k % 3 == 0, "2023-01-01T00:00:00").alias("updated_at"), F.when(k % 7 == 0, True).alias("useup"))
+    return projections.stock(s)
+
+
+@query("SELECT o_orderkey AS recipe_id, 1.0::DOUBLE + o_orderkey % 3 AS perweek FROM orders WHERE o_orderkey % 97 = 0")
+def project_pins(spark, d):
+    return projections.pins(analog.pins(spark, d))
+
+
+@query("""
+SELECT (SELECT count(*) FROM part WHERE p_partkey % 5 > 0) AS stocked, (SELECT count(*) FROM orders WHERE o_orderkey % 97 = 0) AS pinned,
+  (SELECT count(DISTINCT o_orderdate::DATE) FROM orders WHERE o_orderstatus <> 'P' AND o_orderdate::DATE BETWEEN (SELECT max(o_orderdate)::DATE - 13 FROM orders) AND (SELECT max(o_orderdate)::DATE FROM orders)) AS logged_days""")
+def header_counts(spark, d):
+    p = analog.plates(spark, d)
+    return demand.header_counts(analog.stock(spark, d), analog.pins(spark, d), p, demand.latest(p))
+
+
+def _ranked_kitchen(spark, d) -> DataFrame:
+    s = analog.stock_by_size(spark, d).withColumnRenamed("ing_id", "id").join(analog.ingredients(spark, d).select("id", "name"), "id")
+    return availability.kitchen_rank(s, F.col("qty"), F.col("id"))
+
+
+@query("SELECT p_partkey AS id, p_size::DOUBLE AS qty, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS rank FROM part ORDER BY rank LIMIT 12")
+def kitchen_top12(spark, d):
+    return availability.kitchen_rows(_ranked_kitchen(spark, d)).select("id", "qty", "rank")
+
+
+@query("WITH r AS (SELECT p_partkey AS id, p_name, row_number() OVER (ORDER BY p_size DESC, p_partkey) AS rank FROM part) SELECT id, rank FROM r WHERE lower(p_name) LIKE '%t 1%'")
+def kitchen_search(spark, d):
+    return availability.kitchen_rows(_ranked_kitchen(spark, d), " T 1").select("id", "rank")
+
+
+# ---- files ------------------------------------------------------------------
+
+_FILE = ["id", "name", "shelf", "pantry", "makes"]
+
+
+@query("""
+WITH l AS (SELECT *, row_number() OVER (ORDER BY p_partkey) - 1 AS sort FROM part)
+SELECT p_partkey::VARCHAR AS id, CASE WHEN p_partkey % 9 <> 0 THEN p_name || ', x' END AS name, CASE WHEN p_partkey % 9 = 0 OR p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN '5d' ELSE p_size::VARCHAR END AS shelf, sort::INTEGER AS sort FROM l""")
+def csv_rows(spark, d):
+    """A commented file's rows with their ordinals, short rows and blank cells."""
+    lines = files.numbered(files.content_lines(analog.ingredient_lines(spark, d)))
+    return files.parse_lines(lines, _FILE, "sort").select("id", "name", "shelf", "sort")
+
+
+@query("""
+WITH l AS (SELECT p_partkey, p_partkey % 9 = 0 AS short, p_name, p_size, row_number() OVER (ORDER BY p_partkey) - 1 AS sort FROM part),
+f AS (SELECT p_partkey::VARCHAR AS id, CASE WHEN short THEN NULL ELSE p_name || ', x' END AS name, 1.0::DOUBLE AS default_qty, CASE WHEN short OR p_partkey % 4 < 2 THEN 30 ELSE p_size END::INTEGER AS shelf, NOT short AND p_partkey % 3 = 0 AS pantry, CASE WHEN short THEN 0 ELSE 2 END::BIGINT AS n_makes, 0.0::DOUBLE AS kcal, sort FROM l WHERE p_partkey % 5 <> 1)
+SELECT id, name, default_qty, shelf, pantry, n_makes, kcal, sort::INTEGER AS sort FROM f
+UNION ALL SELECT p_partkey::VARCHAR, p_name, (p_partkey % 3)::DOUBLE, CASE WHEN p_partkey % 4 <> 0 THEN p_size ELSE 0 END::INTEGER, p_partkey % 5 = 0, CASE WHEN p_partkey % 10 = 0 THEN 1 ELSE 0 END, p_retailprice, -p_partkey::INTEGER FROM part WHERE p_partkey % 5 = 1""")
+def import_ingredients(spark, d):
+    """The file replaces what it has; rows that it lacks stay."""
+    lines = files.numbered(files.content_lines(analog.ingredient_lines(spark, d)))
+    raw = files.parse_lines(lines, _FILE, "sort").where(F.col("id").cast("long") % 5 != 1)
+    state = analog.ingredient_table(spark, d).where(F.col("id").cast("long") % 2 == 1)
+    state = state.unionByName(analog.ingredient_table(spark, d).where((F.col("id").cast("long") % 2 == 0) & (F.col("id").cast("long") % 5 == 1)))
+    out = merge.import_ingredients(state, raw)
+    return out.select("id", "name", "default_qty", "shelf", "pantry", F.coalesce(F.size("makes"), F.lit(0)).cast("long").alias("n_makes"), "kcal", "sort")
+
+
+@query("""
+SELECT n_name AS fname, CASE WHEN n_nationkey % 3 = 0 THEN 'k' || n_nationkey ELSE 'old' END AS nkey, CASE WHEN n_nationkey % 3 <> 0 THEN 1.0 WHEN n_nationkey % 2 = 0 THEN 0.0 ELSE n_nationkey END::DOUBLE AS daily, CASE WHEN n_nationkey % 3 = 0 THEN n_nationkey % 2 = 0 ELSE FALSE END AS permeal FROM nation""")
+def import_targets(spark, d):
+    k = F.col("n_nationkey")
+    n = analog.table(spark, d, "nation")
+    state = n.select(F.col("n_name").alias("fname"), F.lit("old").alias("nkey"), F.col("n_name").alias("name"), F.lit("g").alias("unit"), F.lit("day").alias("cadence"), F.lit(1.0).alias("daily"), F.lit(0.0).alias("meal"), F.lit(False).alias("permeal"), k.cast("int").alias("sort"))
+    raw = n.where(k % 3 == 0).select(F.col("n_name").alias("fname"), F.concat(F.lit("k"), k.cast("string")).alias("key"), F.col("n_name").alias("name"), F.when(k % 2 == 0, "none").otherwise(k.cast("string")).alias("daily"), F.when(k % 2 == 0, "").otherwise("0").alias("permeal"), k.alias("sort"))
+    return merge.import_targets(state, raw).select("fname", "nkey", "daily", "permeal")
+
+
+def _text_sql(x: str, places: int) -> str:
+    return f"regexp_replace(printf('%.{places}f', ({x})::DOUBLE), '\\.?0+$', '')" if places else f"printf('%.0f', ({x})::DOUBLE)"
+
+
+_EXPORT = ["id", "name", "default", "pantry", "kcal", "protein", "carbs", "iron", "calcium", "zinc", "shelf", "pack", "lead", "gated", "grams"]
+
+
+@query(f"""
+SELECT concat_ws(',', p_partkey, p_name, {_text_sql('p_partkey % 3', 4)}, CASE WHEN p_partkey % 5 = 0 THEN '1' ELSE '0' END, {_text_sql('p_retailprice', 0)}, {_text_sql('p_size / 8.0', 1)}, {_text_sql('(p_partkey % 40) / 4.0', 1)}, {_text_sql('(p_partkey % 13) / 8.0', 2)}, {_text_sql('p_partkey % 9 + 0.5', 0)},
+  {_text_sql('(p_partkey % 17) / 16.0', 2)}, CASE WHEN p_partkey % 4 <> 0 THEN p_size ELSE 0 END, {_text_sql('p_partkey % 3', 4)}, CASE WHEN p_partkey % 6 = 0 THEN '8' ELSE '' END, CASE WHEN p_partkey % 11 = 0 THEN 'fe zn' ELSE '' END, {_text_sql('p_partkey % 50 + 0.5', 0)}) AS line FROM part
+UNION ALL SELECT '# kept' UNION ALL SELECT '{",".join(_EXPORT)}'""")
+def export_ingredients(spark, d):
+    return files.ingredient_lines(analog.ingredient_table(spark, d), _EXPORT, ["# kept"])
+
+
+@query("""
+WITH r AS (SELECT l_orderkey AS k, string_agg(l_partkey::VARCHAR, ' ' ORDER BY l_linenumber, l_partkey) FILTER (l_linenumber <= 3) AS core, string_agg(l_partkey::VARCHAR, ' ' ORDER BY l_linenumber, l_partkey) FILTER (l_linenumber > 3) AS opt FROM lineitem GROUP BY 1)
+SELECT concat(k, ',"Dish ""', k, '"", hot",lunch dinner,', coalesce(core, ''), ',', coalesce(opt, ''), ',', CASE WHEN k % 2 = 0 THEN 'stir' ELSE '' END, ',', CASE WHEN k % 3 <> 0 THEN 'neutral' ELSE '' END, ',', CASE WHEN k % 4 <> 0 THEN (k % 60)::VARCHAR ELSE '' END) AS line FROM r
+UNION ALL SELECT 'id,name,meals,core,opt,method,cuisine,effort'""")
+def export_recipes(spark, d):
+    return files.recipe_lines(analog.recipe_table(spark, d))
+
+
+@query("""
+SELECT 'E' AS level, f AS file, p_partkey::VARCHAR AS key, rule, '2' AS detail FROM part, (VALUES ('ingredients', 'DQ1', 7), ('forms', 'DQ14', 11), ('phytate', 'DQ25', 13), ('retention', 'DQ30', 17), ('recipes', 'DQ32', 19)) v(f, rule, n) WHERE p_partkey % n = 0""")
+def dq_widths(spark, d):
+    """Rows of a wrong width in each file; those of targets are not reported."""
+    k = F.col("p_partkey")
+
+    def rows(n: int) -> DataFrame:
+        line = F.when(k % n == 0, F.concat(k.cast("string"), F.lit(",x"))).otherwise(F.concat(k.cast("string"), F.lit(',"a, b",y')))
+        return files.ragged(analog.table(spark, d, "part").select(line.alias("value")), 3)
+
+    every = {"ingredients": 7, "forms": 11, "phytate": 13, "retention": 17, "recipes": 19, "targets": 23}
+    return dq.union(dq.width_rules({f: rows(n) for f, n in every.items()}))
+
+
+@query("SELECT p_partkey::VARCHAR AS id FROM part WHERE p_partkey % 23 <> 0")
+def dq_right_width(spark, d):
+    k = F.col("p_partkey").cast("string")
+    line = F.when(F.col("p_partkey") % 23 == 0, F.concat(k, F.lit(",x"))).otherwise(F.concat(k, F.lit(",p,g")))
+    return dq.right_width(files.ragged(analog.table(spark, d, "part").select(line.alias("value")), 3), ["id", "key", "unit"]).select("id")
+
+
+@query("""
+SELECT 'E' AS level, 'part' AS file, p_partkey::VARCHAR AS key, 'DQ40' AS rule, 'missing' AS detail FROM part WHERE p_partkey % 40 = 0
+UNION ALL SELECT 'E', 'part', p_partkey::VARCHAR, 'DQ40', 'not in file' FROM part WHERE p_partkey % 40 = 1
+UNION ALL SELECT 'E', 'part', p_partkey::VARCHAR, 'DQ40', 'needform' FROM part WHERE p_partkey % 40 > 1 AND p_partkey % 33 = 0
+UNION ALL SELECT 'E', 'part', 'part', 'DQ39', (SELECT count(*) FROM part WHERE p_partkey % 40 <> 1) || '/' || (SELECT count(*) FROM part WHERE p_partkey % 40 <> 0) WHERE (SELECT count(*) FROM part WHERE p_partkey % 40 <> 1) <> (SELECT count(*) FROM part WHERE p_partkey % 40 <> 0)""")
+def dq_store_both_sides(spark, d):
+    i = analog.ingredients(spark, d).select("id", "iron", "needform")
+    store = i.where(F.col("id") % 40 != 0).withColumn("needform", F.when(F.col("id") % 33 == 0, "").otherwise(F.col("needform")))
+    key = lambda df: df.select(F.col("id").cast("string").alias("id"), "iron", "needform")
+    return dq.store_rules(key(i.where(F.col("id") % 40 != 1)), key(store), ["iron"], ["needform"], "part")
+
+
+@query("""
+SELECT 'E' AS level, 'ingredients' AS file, p_partkey::VARCHAR AS key, 'DQ8' AS rule, (4 * p_size + 4 * (p_partkey % 40))::DOUBLE::VARCHAR AS detail FROM part
+WHERE 4 * p_size + 4 * (p_partkey % 40) > 1.12 * (p_partkey % 200) AND 4 * p_size + 4 * (p_partkey % 40) - p_partkey % 200 > 3 AND p_partkey % 200 > 0
+UNION ALL SELECT 'W', 'ingredients', p_partkey::VARCHAR, 'DQ7', '' FROM part WHERE p_partkey % 6 = 0
+UNION ALL SELECT 'E', 'ingredients', p_partkey::VARCHAR, 'DQ6', '' FROM part WHERE p_partkey % 9 = 0
+UNION ALL SELECT 'W', 'ingredients', p_partkey::VARCHAR, 'DQ9', greatest(0, p_partkey % 200 - 4 * p_size - 4 * (p_partkey % 40))::DOUBLE::VARCHAR FROM part WHERE p_partkey % 200 > 60 AND 4 * p_size + 4 * (p_partkey % 40) < 0.25 * (p_partkey % 200)
+UNION ALL SELECT 'E', 'ingredients', p_partkey::VARCHAR, 'DQ10', 'nobody' FROM part WHERE p_partkey % 25 = 0
+UNION ALL SELECT 'W', 'ingredients', p_partkey::VARCHAR, 'DQ11', '' FROM part WHERE p_partkey % 21 = 0 AND p_partkey % 25 <> 0""")
+def dq_ingredients(spark, d):
+    """All rules on an ingredient file's cells."""
+    k = F.col("p_partkey")
+    cell = lambda c: c.cast("string")
+    raw = analog.table(spark, d, "part").select(
+        cell(k).alias("id"), cell(k % 200).alias("kcal"), cell(F.col("p_size")).alias("protein"), cell(k % 40).alias("carbs"), F.when(k % 9 == 0, " \t").otherwise("g").alias("unit"), F.when(k % 6 != 0, "base").alias("role"), F.when(k % 25 == 0, "nobody").otherwise("").alias("makes"), F.when(k % 21 == 0, "1").otherwise("0").alias("keep"), *(F.lit("0").alias(c) for c in FLAGS)
+    )
+    return dq.union(dq.ingredient_rules(raw, ["kcal", "protein", "carbs"]))
+
+
+# ---- the fixed day ----------------------------------------------------------
+
+#: The day's plates in servings.
+DAY = {
+    "breakfast": "egg:3 poha:0.5 onion:1 curd:0.5 lemon:0.5 gchilli:1",
+    "lunch": "rice:0.5 dal:1 soya:1 spinach:1 tomato:1 onion:1 lemon:0.5 ghee:0.5",
+    "snack": "curd:0.5 flax:0.5",
+    "dinner": "atta:0.5 rajma:1 paneer:0.5 methi:1 tomato:1 onion:1 lemon:0.5 pumpkin:1",
+}
+
+
+def _day_items(spark) -> DataFrame:
+    rows = spark.createDataFrame(list(DAY.items()), "meal string, items string")
+    return rows.select("meal", F.explode(pairs(F.col("items"))).alias("ing_id", "qty"))
+
+
+_DAY_SQL = "(VALUES " + ", ".join(f"('{m}', '{x.split(':')[0]}', {x.split(':')[1]}::DOUBLE)" for m, t in DAY.items() for x in t.split()) + ") i(meal, id, qty)"
+_DAY_NAMES = sorted({x.split(":")[0] for t in DAY.values() for x in t.split()})
+_DAY_PARTS = "(VALUES " + ", ".join(f"({n + 1}, '{x}')" for n, x in enumerate(_DAY_NAMES)) + ") m(k, id)"
+
+
+@query(f"""
+WITH t AS (SELECT i.meal, i.qty, p_retailprice / 10 AS kcal, CASE WHEN p_partkey % 11 = 0 THEN 0 ELSE p_size / 4.0 END AS protein FROM {_DAY_SQL} JOIN {_DAY_PARTS} ON m.id = i.id JOIN part ON p_partkey = m.k),
+s AS (SELECT meal, sum((kcal * qty)::DECIMAL(24,6))::DOUBLE AS kcal, sum((protein * qty)::DECIMAL(24,6))::DOUBLE AS protein FROM t GROUP BY 1),
+b AS (SELECT * FROM (VALUES ('breakfast', 475.0, 30.0), ('lunch', 625.0, 32.0), ('snack', 100.0, 8.0), ('dinner', 575.0, 30.0)) v(meal, e, p)),
+y AS (SELECT sum((kcal * qty)::DECIMAL(24,6))::DOUBLE AS kcal, sum((protein * qty)::DECIMAL(24,6))::DOUBLE AS protein FROM t),
+r AS (SELECT meal AS scope, 'kcal' AS name, kcal AS got, e::DOUBLE AS wanted, CASE WHEN kcal > 1.15 * e THEN 'failed' ELSE 'ok' END AS status FROM s JOIN b USING (meal)
+  UNION ALL SELECT meal, 'protein', protein, p::DOUBLE, CASE WHEN protein < 0.8 * p THEN 'warned' ELSE 'ok' END FROM s JOIN b USING (meal)
+  UNION ALL SELECT 'day', 'kcal', kcal, 1775.0, CASE WHEN kcal > 1.05 * 1775 THEN 'OVER' ELSE 'ok' END FROM y
+  UNION ALL SELECT 'day', 'p', protein, 100.0, CASE WHEN protein < 50 THEN 'failed' WHEN protein < 70 THEN 'LOW' WHEN protein > 200 THEN 'over' ELSE 'ok' END FROM y)
+SELECT scope, name, round(got, 6) AS got, wanted, round(100 * got / wanted, 6) AS pct, status FROM r""")
+def day_report(spark, d):
+    """The fixed day's plates, with parts standing for its ingredients."""
+    names = spark.createDataFrame([(i + 1, x) for i, x in enumerate(_DAY_NAMES)], "k long, id string")
+    k = F.col("p_partkey")
+    ing = analog.table(spark, d, "part").join(F.broadcast(names), k == F.col("k"))
+    ing = ing.select("id", (F.col("p_retailprice") / 10).alias("kcal"), (F.col("p_size") / 4.0).alias("protein"), F.when(k % 11 == 0, "soak").alias("needform"), F.array(F.lit("p")).alias("gated"))
+    targets = spark.createDataFrame([("kcal", 1775.0, False), ("p", 100.0, True)], "nkey string, daily double, permeal boolean")
+    out = nutrition.day_report(_day_items(spark), ing, targets)
+    return out.select("scope", "name", F.round("got", 6).alias("got"), "wanted", F.round("pct", 6).alias("pct"), "status")
+
+
+@query("""
+WITH i AS (SELECT o_orderdate::DATE AS date, l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_quantity::INTEGER AS ing_id, l_quantity::DECIMAL(18,2) AS kcal, (l_partkey % 9)::DOUBLE AS fat FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+u AS (SELECT date, ing_id, sum(kcal) AS kcal, max(fat) AS fat FROM i GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER w AS rank, sum(kcal) OVER (PARTITION BY date) - sum(kcal) OVER (w ROWS UNBOUNDED PRECEDING) AS rest FROM u WINDOW w AS (PARTITION BY date ORDER BY fat DESC, ing_id))
+SELECT date, rank::INTEGER AS rank, ing_id AS cut, (rest + kcal)::DOUBLE AS kcal, rest::DOUBLE AS "left" FROM r WHERE rest + kcal > 400""")
+def day_trim(spark, d):
+    items = analog.items(spark, d).join(analog.plates(spark, d).select(F.col("id").alias("plate_id"), "date"), "plate_id")
+    name = F.concat_ws("-", "plate_id", "line", "ing_id", F.col("qty").cast("int"))
+    days = items.groupBy("date", name.alias("ing_id")).agg(F.sum(F.col("qty").cast("decimal(18,2)")).alias("kcal"), F.max((F.col("ing_id") % 9).cast("double")).alias("fat"))
+    return menu.trim(days, 400.0).select("date", "rank", "cut", F.col("kcal").cast("double").alias("kcal"), F.col("left").cast("double").alias("left"))
+
+
+@query("SELECT n_name AS fname, slot, round(n_nationkey * share, 6)::DOUBLE AS slot_target FROM nation, (VALUES ('breakfast', 0.3::DOUBLE), ('lunch', 0.3::DOUBLE), ('dinner', 0.3::DOUBLE), ('snack', 0.1::DOUBLE)) v(slot, share)")
+def slot_targets(spark, d):
+    t = analog.table(spark, d, "nation").select(F.col("n_name").alias("fname"), F.col("n_nationkey").cast("double").alias("daily"))
+    return nutrition.slot_targets(t).select("fname", "slot", "slot_target")
+
+
+@query("SELECT count(*) AS plates, (SELECT count(DISTINCT l_orderkey) FROM lineitem WHERE l_orderkey % 97 = 0) AS recipes, count(*) FILTER (o_orderkey % 4 <> 0 AND o_orderkey % 6 <> 0) AS kept FROM orders")
+def import_local(spark, d):
+    """Counts are of what came in; plates lacking date or meal are not kept."""
+    k = F.col("id")
+    p = analog.plates(spark, d)
+    incoming = p.withColumn("date", F.when(k % 4 != 0, F.col("date"))).withColumn("meal", F.when(k % 6 != 0, F.col("meal")).otherwise(""))
+    saved = analog.recipe_table(spark, d)
+    new = saved.where(F.col("id").cast("long") % 97 == 0)
+    state = {"plates": p.limit(0), "plate_items": analog.items(spark, d).select("plate_id", "ing_id", "qty").limit(0), "recipes": saved.drop("amounts", "src")}
+    after, counts = plates.import_local(state, incoming, analog.items(spark, d), new, F.lit(1))
+    return counts.crossJoin(after["plates"].agg(F.count(F.lit(1)).alias("kept")))

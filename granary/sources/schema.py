@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: column -> (short key, name among targets, decimals)
+#: Column -> (short key, name among targets, decimals)
 NUTRIENTS = {
     "kcal": ("kcal", "kcal", 0),
     "protein": ("p", "protein", 1),

@@ -1,7 +1,9 @@
 """Streaming stock: floored state per item over an unbounded event stream.
 
-Beyond the reference, which keeps only current state.  Late events within the
-watermark are ordered inside each batch by (ts, event_id)."""
+An addition: the domain itself keeps only current state.  Events are ordered by
+(ts, event_id) inside a micro-batch; one that arrives in a later batch than
+events after it is applied when it arrives, since the floor cannot be undone.
+No watermark is set, and an item's state is kept for good."""
 
 from __future__ import annotations
 
@@ -14,7 +16,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 def floored_stock(events: DataFrame, key: str = "item") -> DataFrame:
     """(item, qty) after each micro-batch, for events (item, ts, event_id,
-    delta, is_set)."""
+    delta, is_set); the item keeps its type."""
+    kind = dict(events.dtypes)[key]
 
     def step(keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         qty = state.get[0] if state.exists else 0.0
@@ -24,4 +27,4 @@ def floored_stock(events: DataFrame, key: str = "item") -> DataFrame:
         state.update((qty,))
         yield pd.DataFrame({key: [keys[0]], "qty": [qty]})
 
-    return events.groupBy(key).applyInPandasWithState(step, f"{key} long, qty double", "qty double", "update", GroupStateTimeout.NoTimeout)
+    return events.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, qty double", "qty double", "update", GroupStateTimeout.NoTimeout)

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from granary.functions import parsing
-from granary.operators import availability, demand, dq, ledger, menu, merge, nutrition, plates, reference_layer
+from granary.operators import availability, demand, dq, ledger, menu, merge, nutrition, plates, projections, reference_layer
 from granary.sources import files, schema
 
 D = dt.date
@@ -281,3 +281,185 @@ def test_menu(spark):
     assert [(r.nkey, r.gap, r.blocks) for r in menu.gaps(t, tot).collect()] == [("zn", 4.0, False), ("fe", 10.0, True)]
     d = spark.createDataFrame([("x", 0), ("y", 10), ("z", 50)], "id string, effort int")
     assert [r.id for r in menu.within_effort(d, 40).collect()] == ["y", "x"]
+
+
+# ---- rounding, files and projections ----------------------------------------
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.floats(-1e6, 1e6), st.integers(-4000, 4000).map(lambda i: i / 8), st.integers(-9999, 9999).map(lambda i: i / 1000)), min_size=1, max_size=40), st.sampled_from([0, 1, 2, 4]))
+def test_half_even_is_the_exact_rounding(spark, values, places):
+    got = spark.createDataFrame([(v,) for v in values], "v double").select("v", parsing.half_even(F.col("v"), places).alias("x")).collect()
+    assert [(r.v, r.x) for r in got] == [(v, float(round(v, places))) for v in values]
+
+
+def test_export_rounds_as_the_server_does(spark):
+    cells = [(0.25, 1, "0.2"), (0.75, 1, "0.8"), (2.675, 2, "2.67"), (0.5, 0, "0"), (1.5, 0, "2"), (2.5, 0, "2"), (-0.2, 0, "0"), (10.0, 1, "10"), (0.05, 4, "0.05"), (12345678.9, 0, "12345679")]
+    for v, places, text in cells:
+        assert one(spark, parsing.trimmed(F.lit(v), places), a="") == text
+    assert one(spark, parsing.trimmed(F.lit(None).cast("double"), 1), a="") is None
+
+
+def test_tabs_are_whitespace(spark, tmp_path):
+    p = tmp_path / "x.csv"
+    p.write_text("\t# head\nid,name\n\t \na,1\n\t#mid\nb\nc,3,9\n# end\n")
+    got = [tuple(r) for r in files.read_commented_csv(spark, str(p), ordinal="sort").orderBy("sort").collect()]
+    assert got == [("a", "1", 0), ("b", None, 1), ("c", "3", 2)]
+    assert [r.value for r in files.comment_lines(spark.read.text(str(p))).collect()] == ["\t# head", "\t#mid", "# end"]
+    (tmp_path / "none").write_text("# only\n")
+    assert files.read_commented_csv(spark, str(tmp_path / "none"), ["id"], "sort").columns == ["id", "sort"]
+    assert one(spark, parsing.num(F.col("a")), a="\t2.5\n") == 2.5
+
+
+def test_exports_keep_order_and_comments(spark):
+    rec = spark.createDataFrame([("b", "B", ["lunch"], ["x", "y"], [], None, "", None, False), ("a", 'A "q", z', [], [], ["x"], "m", "thai", 5, True), ("c", "C", [], [], [], "", "", 0, False)], "id string, name string, meals array<string>, core array<string>, opt array<string>, method string, cuisine string, effort int, is_user boolean")
+    assert [r.line for r in files.recipe_lines(rec, ["# one", "# two"]).collect()] == ["# one", "# two", "id,name,meals,core,opt,method,cuisine,effort", "b,B,lunch,x y,,,,", "c,C,,,,,,0", 'a,"A ""q"", z",,,x,m,thai,5']
+    ing = spark.createDataFrame([("b", 2, 0.25, 2.5), ("a", 1, None, 1.23456), ("c", 1, 1.0, 0.0)], "id string, sort int, protein double, default_qty double")
+    assert [r.line for r in files.ingredient_lines(ing, ["id", "default", "protein"]).collect()] == ["id,default,protein", "a,1.2346,", "c,0,1", "b,2.5,0.2"]
+
+
+def full_ingredient(spark, **cells):
+    row = {c: None for c in schema.INGREDIENTS} | {"id": "i", "name": "I", "sort": 1} | cells
+    return spark.createDataFrame([tuple(row[c] for c in schema.INGREDIENTS)], schema.schema("ingredients"))
+
+
+def test_projection_defaults(spark):
+    blank = projections.ingredients(full_ingredient(spark, default_qty=0.0, shelf=0, pack=0.0)).head()
+    assert (blank.default, blank.shelf, blank.pack, blank.lead, blank.note, blank.gated, blank.pantry, blank.keep) == (0.0, 30, 1.0, 0.0, "", [], False, False)
+    assert projections.ingredients(full_ingredient(spark, default_qty=0.0), client=True).head().default == 1.0
+    two = full_ingredient(spark, id="z", sort=0).unionByName(full_ingredient(spark, id="b")).unionByName(full_ingredient(spark, id="a"))
+    assert [r.id for r in projections.ingredients(two).collect()] == ["z", "a", "b"]
+    rec = spark.createDataFrame([("u", "U", "lunch  dinner", None, "", None, None, None, "a:1 junk b:2:3", None, True), ("s", "S", "", "x", "", "", "", 4, None, "src", False)], "id string, name string, meals string, core string, opt string, method string, cuisine string, effort int, amounts string, src string, is_user boolean")
+    got = projections.recipes(rec).collect()
+    assert [r.id for r in got] == ["s", "u"] and got[1].amounts == {"a": 1.0, "b": 2.0} and got[1].meals == ["lunch", "dinner"] and (got[1].effort, got[1].cuisine, got[0].amounts) == (0, "", {})
+    t = spark.createDataFrame([("b", "k", "B", "g", "day", 1.0, 0.0, None, 1), ("a", "k", "A", "g", "day", 1.0, 0.0, True, 1)], "fname string, nkey string, name string, unit string, cadence string, daily double, meal double, permeal boolean, sort int")
+    assert [(r.fname, r.permeal) for r in projections.dataset({"ingredients": two, "targets": t, "recipes": rec})["targets"].collect()] == [("a", True), ("b", False)]
+    s = spark.createDataFrame([("a", 1.0, "", "u", None), ("b", 1.0, "w", "u", True), ("c", 1.0, None, None, None)], "ing_id string, qty double, bought_at string, updated_at string, useup boolean")
+    assert [(r.bought, r.useup) for r in projections.stock(s).orderBy("ing_id").collect()] == [("u", False), ("w", True), ("", False)]
+
+
+def test_imports(spark):
+    state = full_ingredient(spark, id="old", default_qty=9.0).unionByName(full_ingredient(spark, id="a", default_qty=9.0, note="n"))
+    raw = spark.createDataFrame([("a", "A", "x", "1", "kg", "5.9", 0), ("a", "A2", "", "", None, "z", 1)], "id string, name string, default string, pantry string, unit string, shelf string, sort int")
+    got = {r.id: r for r in merge.import_ingredients(state, raw).collect()}
+    assert set(got) == {"old", "a"} and got["old"].default_qty == 9.0
+    assert (got["a"].name, got["a"].default_qty, got["a"].pantry, got["a"].shelf, got["a"].note, got["a"].pack, got["a"].sort) == ("A2", 1.0, False, 30, "", 1.0, 1)
+    users = spark.createDataFrame([(None, "", [" x ", ""], None, ["y"], "", None, "7.9")], "id string, name string, meals array<string>, core array<string>, opt array<string>, method string, cuisine string, effort string")
+    assert tuple(merge.user_recipes(users, F.lit(12)).head()) == ("u12", "Recipe", ["x"], [], ["y"], "Your saved recipe", "", 7)
+    p = spark.createDataFrame([("", True), (None, False), ("k", False)], "id string, planned boolean")
+    assert [r.id for r in plates.with_id(p, F.lit(5)).collect()] == ["m5", "p5", "k"]
+
+
+def test_repeated_changes_are_an_error(spark):
+    state = spark.createDataFrame([("egg", 1.0)], "id string, qty double")
+    twice = spark.createDataFrame([("egg", 2.0), ("egg", 3.0)], "id string, qty double")
+    with pytest.raises(Exception, match="more than one change for key egg"):
+        merge.merge(state, twice, "id").collect()
+    nulls = spark.createDataFrame([(None, 2.0), (None, 3.0)], "id string, qty double")
+    assert merge.merge(state, nulls, "id").count() == 3
+
+
+# ---- scale: ranges ----------------------------------------------------------
+
+
+def test_kitchen_rank_of_many_rows_and_ties(spark, tmp_path):
+    """Above what one sample sees, read from the written result."""
+    n = 60_000
+    stock = spark.range(n).select(F.col("id"), F.when(F.col("id") % 10 == 0, None).otherwise((F.col("id") * 7919 % 5).cast("double")).alias("qty"))
+    availability.kitchen_rank(stock, F.col("qty"), F.col("id")).write.parquet(str(tmp_path / "r"))
+    got = spark.read.parquet(str(tmp_path / "r")).orderBy("rank").collect()
+    assert [r.rank for r in got] == list(range(1, n + 1))
+    assert [r.id for r in got] == [r.id for r in sorted(got, key=lambda r: (r.qty is None, -(r.qty or 0), r.id))]
+
+
+def test_ledger_of_one_hot_item(spark):
+    """One item's events in many chunks, with sets here and there."""
+    random.seed(4)
+    rows = [("hot" if i % 9 else None, i // 2, i, random.randint(-900, 800) / 100, random.random() < 0.004) for i in range(4000)]
+    df = spark.createDataFrame(rows, "item string, t int, e int, delta double, is_set boolean").repartition(5)
+    got = {r.e: r.qty for r in ledger.history(df, "item", ["t", "e"], F.col("delta"), F.col("is_set"), chunks=16).collect()}
+    held = {}
+    for k, _, e, v, s in rows:
+        held[k] = max(0.0, v if s else held.get(k, 0.0) + v)
+        assert abs(got[e] - held[k]) < 1e-6
+    last = {r.item: r.qty for r in ledger.state(df, "item", ["t", "e"], F.col("delta"), F.col("is_set"), chunks=16).collect()}
+    assert last == {k: pytest.approx(v) for k, v in held.items()}
+
+
+def test_trailing_window_is_a_literal_filter(spark):
+    p = spark.createDataFrame([(1, D(2024, 1, 1), False)], "id int, date date, planned boolean")
+    plan = demand.trailing(p, D(2024, 1, 14), 14)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "2024-01-01" in plan and "2024-01-14" in plan
+    assert demand.trailing(p, None, 14).count() == 0 and demand.latest(p.limit(0)) is None
+
+
+# ---- rules and prose operators without a query ------------------------------
+
+
+def test_numbers_of_nutrition(spark):
+    x = lambda c: spark.range(1).select(c.alias("x")).head().x
+    assert x(nutrition.grams(F.lit(0.5), F.lit(80.0))) == 40.0
+    assert x(nutrition.atwater_fat(F.lit(100.0), F.lit(5.0), F.lit(10.0))) == pytest.approx(40 / 9)
+    assert [x(nutrition.zinc_class(F.lit(v))) for v in (16.0, 15.0, 5.0, 4.9)] == ["poor", "moderate", "moderate", "good"]
+    e = nutrition.energy(F.lit(80.0), F.lit(20.0), F.lit(1500.0), F.lit(1.2), F.lit(1700.0))
+    assert {k: x(v) for k, v in e.items()} == {"ffm": 60.0, "tdee": 1800.0, "deficit": 100.0}
+    t = spark.createDataFrame([("p", 100.0)], "nkey string, daily double")
+    assert nutrition.meal_targets(t).head().meal == 30.0
+    assert {r.slot: r.slot_target for r in nutrition.slot_targets(t).collect()} == {"breakfast": 30.0, "lunch": 30.0, "dinner": 30.0, "snack": 10.0}
+
+
+def test_fixed_day_report(spark):
+    """Energy and protein of the four slots as in the fixed-day fixture."""
+    energy = {"breakfast": (419.0, 26.85), "lunch": (433.5, 27.55), "snack": (104.5, 5.35), "dinner": (490.5, 27.25)}
+    ing = spark.createDataFrame([(k, v[0], v[1], "", []) for k, v in energy.items()] + [("til", 0.0, 500.0, "soak", ["protein"])], "id string, kcal double, protein double, needform string, gated array<string>")
+    items = spark.createDataFrame([(k, k, 1.0) for k in energy] + [("lunch", "til", 1.0)], "meal string, ing_id string, qty double")
+    targets = spark.createDataFrame([("kcal", 1775.0, False), ("p", 200.0, True)], "nkey string, daily double, permeal boolean")
+    got = {(r.scope, r.name): (round(r.got, 2), r.status) for r in nutrition.day_report(items, ing, targets).collect()}
+    assert {k: v[1] for k, v in got.items() if v[1] != "ok"} == {("snack", "protein"): "warned", ("day", "p"): "failed"}
+    assert got["day", "kcal"][0] == 1447.5 and got["day", "p"][0] == 87.0
+
+
+def test_prose_operators(spark):
+    r = spark.createDataFrame([("a", ["x", "x", "y"]), ("b", ["z"])], "id string, core array<string>")
+    assert {x.id: x.score for x in menu.affinity(r, spark.createDataFrame([("x",), ("x",)], "ing_id string")).collect()} == {"a": 1, "b": 0}
+    cols = "date date, meal string, ing_id string, role string, qty double, green boolean, probiotic boolean, legume boolean, iron double"
+    day = [(D(2024, 1, 1), "lunch", "egg", "protein", 3.0, True, True, True, 6.0), (D(2024, 1, 1), "dinner", "flax", "seed", 1.0, True, False, False, 0.0), (D(2024, 1, 1), "dinner", "til", "seed", 1.0, False, False, False, 0.0), (D(2024, 1, 2), "lunch", "egg", "sour", 2.0, True, None, False, 9.0)]
+    items = spark.createDataFrame(day, cols)
+    assert {x.date.day: x.broken for x in menu.daily_contract(items).collect()} == {1: [], 2: ["eggs", "legume", "green", "probiotic", "seeds"]}
+    assert [x.date.day for x in menu.sour_missing(items).collect()] == [1]
+    days = spark.createDataFrame([(1, 50.0, 3.0), (2, 50.0, 4.0), (3, 100.0, 0.0)], "date int, protein double, eggs double")
+    assert [x["add"] for x in menu.protein_pass(days, 100.0).orderBy("date").collect()] == ["egg", "whey", None]
+    cut = spark.createDataFrame([(1, "a", 300.0, 9.0), (1, "b", 300.0, 8.0), (1, "c", 300.0, 1.0), (2, "a", 100.0, 9.0)], "date int, ing_id string, kcal double, fat double")
+    assert [(x.date, x.cut, x.kcal, x.left) for x in menu.trim(cut, 500.0).orderBy("date", "rank").collect()] == [(1, "a", 900.0, 600.0), (1, "b", 600.0, 300.0)]
+    base = spark.createDataFrame([(1, "rice", "base", 2.0, 100.0, 1.5), (1, "dal", "base", 9.0, 100.0, 1.0), (1, "x", "veg", 0.0, 9.0, 1.0)], "date int, ing_id string, role string, protein double, kcal double, qty double")
+    assert [tuple(x) for x in menu.filler_shave(base).collect()] == [(1, "rice", 1.0)]
+
+
+def test_prep_and_forms(spark):
+    ing = spark.createDataFrame([("dal", 8.0, False, ["x"]), ("curd", 0.0, True, []), ("ghee", 0.0, True, [])], "id string, lead double, keep boolean, makes array<string>")
+    slots = spark.createDataFrame([(dt.datetime(2024, 1, 2, 7), "dal"), (dt.datetime(2024, 1, 2, 7), "curd")], "slot_ts timestamp, ing_id string")
+    stock = spark.createDataFrame([("ghee", 1.0), ("curd", 0.0)], "ing_id string, qty double")
+    got = {(r.ing_id, r.start_at, r.why) for r in menu.prep_queue(slots, ing, stock).collect()}
+    assert got == {("dal", dt.datetime(2024, 1, 1, 23), "lead"), ("curd", None, "empty")}
+    assert [(r.ing_id, r.delta) for r in menu.prep_done(ing.where("id = 'dal'"), F.lit("now")).collect()] == [("x", 1.0)]
+    forms = spark.createDataFrame([("soak", ["dal", "nope"])], "id string, applies array<string>")
+    assert [r.variant_id for r in menu.form_variants(forms, ing).collect()] == ["dal_soak"]
+
+
+def test_phytate_numerics_and_summary(spark):
+    ing = spark.createDataFrame([("a", 1.0, 1.0)], "id string, iron double, zinc double")
+    phy = spark.createDataFrame([("a", "x", "1", "-1", None, None)], "id string, phytate string, iron string, zinc string, phy_fe double, phy_zn double")
+    found = dq.numbers(phy.select("id", "phytate", "iron", "zinc"), ["phytate", "iron", "zinc"], "phytate", "DQ27", "DQ27", blank=False)
+    assert {(r.rule, r.detail) for r in found.collect()} == {("DQ27", "phytate"), ("DQ27", "zinc")}
+    assert {r.level: r.n for r in dq.summary(found).collect()} == {"E": 2}
+    assert ing.count() == 1
+
+
+def test_drift_report_and_bodies(spark):
+    i = spark.createDataFrame([("a", "1", 50.0, 9.0)], "id string, ifct_code string, grams double, kcal double")
+    comp = {c: 0.0 for c, _ in reference_layer.COMPONENTS.values()} | {"enerc": 418.4, "fatce": 0.0, "retol": 0.0, "cartbeq": 0.0}
+    c = spark.createDataFrame([("1", *comp.values())], ["code", *comp])
+    (row,) = reference_layer.drift_report(reference_layer.derive(i, c, ["kcal"])).collect()
+    assert row.id == "a" and row.drift[0]["column"] == "kcal" and row.drift[0]["new"] == pytest.approx(50)
+    bodies = spark.createDataFrame([('{"id": "a", "v": 2}',), ("{broken",), (None,)], "json string")
+    assert [tuple(r) for r in files.read_json_body(bodies, "json", "id string, v double").collect()] == [("a", 2.0), (None, None), (None, None)]
