@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import written
+from granary.llm.common import lean, written
 
 #: The id that null ids have inside a batch.
 NULL = np.iinfo(np.int64).max
@@ -29,7 +29,7 @@ def squeeze(data: bytes, level: int = 3) -> bytes:
     return zstandard.ZstdCompressor(level=level).compress(data)
 
 
-def unsqueeze(data: bytes) -> bytes:
+def unsqueeze(data) -> bytes:
     import zstandard
 
     return zstandard.ZstdDecompressor().decompress(data)
@@ -40,7 +40,7 @@ def pack(*arrays: np.ndarray) -> bytes:
     return squeeze(len(arrays[0]).to_bytes(8, "little") + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays))
 
 
-def unpack(blob: bytes, *types: str) -> list[np.ndarray]:
+def unpack(blob, *types: str) -> list[np.ndarray]:
     """What :func:`pack` joined."""
     raw = unsqueeze(blob)
     n = int.from_bytes(raw[:8], "little")
@@ -103,7 +103,7 @@ def stored(docs: DataFrame, rest: list[str], size: int, level: int = 9) -> DataF
     """Batches of about ``size`` bytes of the texts of ``docs`` (doc_id, text),
     the columns ``rest`` with them, as a written table of STORED rows."""
     rows = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"), *(F.col(f"`{c}`") for c in rest))
-    return written(rows.mapInArrow(_store(size, level), STORED), "texts", "uncompressed")
+    return written(rows.mapInArrow(lean(_store(size, level)), STORED), "texts", "uncompressed")
 
 
 def opened(docs: bytes, texts: bytes) -> tuple[np.ndarray, ...]:
@@ -119,19 +119,29 @@ def rest_columns(rest: bytes) -> list[pa.Array]:
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict]]]:
-    """Rows sorted by bucket, one bucket at a time."""
+    """Rows sorted by bucket, one bucket at a time.  Binary cells are views of
+    what Arrow holds, not copies."""
     at, held = None, []
     for b in batches:
-        for row in b.to_pylist():
-            if row["bucket"] != at and held:
+        binary = [pa.types.is_binary(t) for t in b.schema.types]
+        names, buckets = b.schema.names, b.column("bucket").to_pylist()
+        for i, bucket in enumerate(buckets):
+            if bucket != at and held:
                 yield at, held
                 held = []
-            at = row["bucket"]
-            held.append(row)
+            at = bucket
+            cells = (c[i].as_buffer() if binary[k] else c[i].as_py() for k, c in enumerate(b.columns))
+            held.append(dict(zip(names, cells)))
     if held:
         yield at, held
 
 
-def to_buckets(rows: DataFrame) -> DataFrame:
-    """Messages shuffled and sorted by their bucket."""
-    return rows.repartition("bucket").sortWithinPartitions("bucket")
+def to_buckets(rows: DataFrame, buckets: int) -> DataFrame:
+    """Messages shuffled and sorted by their bucket, a task for each bucket."""
+    return rows.repartitionById(buckets, F.col("bucket")).sortWithinPartitions("bucket")
+
+
+def at_batches(rows: DataFrame, parts: int) -> DataFrame:
+    """Rows shuffled to their batch, in so many partitions whatever their size:
+    a task has few batches, and rows of all tables meet without another shuffle."""
+    return rows.repartition(parts, "batch")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,3 +67,29 @@ def tidy(spark: SparkSession) -> None:
 
     gc.collect()
     spark._jvm.System.gc()
+
+
+def _release() -> None:
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # arrays of a megabyte or more are mapped, so they go when they are freed
+        libc.malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def lean(run):
+    """A function of an iterator of batches that leaves no freed memory with the
+    Python worker, which outlives the task."""
+
+    def leanly(batches: Iterator) -> Iterator:
+        _release()
+        yield from run(batches)
+        _release()
+
+    return leanly

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import written
+from granary.llm.common import lean, written
 
 TOKENIZER = "byte_bpe_50k.json"
 LENGTH = 1024
@@ -80,7 +80,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = LENGTH, end:
                         column.append(x)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(doc, pa.int64())), pa.array(out[0], pa.int32()), *(pa.array(x, pa.int64()) for x in out[1:])], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(run), PIECES)
 
 
 class _Stock:

@@ -32,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.batches import PLACE_BITS, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
+from granary.llm.batches import PLACE_BITS, at_batches, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
 from granary.llm.batches import stored as store_texts
-from granary.llm.common import dropped, partitions, tidy, written
+from granary.llm.common import dropped, lean, partitions, tidy, written
 from granary.llm.components import components
 
 WORDS = 4
@@ -210,7 +210,7 @@ def links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS, tree: int =
     own = F.pmod(F.xxhash64("fp", F.lit("tree")), F.col("trees")).cast("int")
     e = e.withColumn("own", own).select("key", F.explode(F.sequence("own", F.col("trees") - 1)).alias("chunk"), "fp", "own")
     e = e.select("key", "chunk", "fp", (F.col("own") == F.col("chunk")).alias("node"))
-    return e.repartition("key", "chunk").sortWithinPartitions("key", "chunk").mapInArrow(_forests(radius), "a long, b long")
+    return e.repartition("key", "chunk").sortWithinPartitions("key", "chunk").mapInArrow(lean(_forests(radius)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, parts: int = PARTS) -> DataFrame:
@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, p
 # ---- one document of each group of similar texts ----------------------------
 
 #: Text bytes of a stored batch, and of all texts that one bucket counts for.
-BATCH, BUCKET = 8 << 20, 24 << 20
+BATCH, BUCKET = 4 << 20, 24 << 20
 #: Rows of one side of a block.
 BLOCK = 1024
 SIMILARITY = 0.8
@@ -643,10 +643,10 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
     # Texts take about a quarter of their bytes where they are stored.
     buckets = max(partitions(spark), 4 * total // BUCKET)
     message = "bucket int, batch long, data binary, more binary"
-    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(_ask(words, buckets), message)).mapInArrow(_answer, "batch long, bucket int, data binary"), "often", "uncompressed")
+    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(lean(_ask(words, buckets)), message), buckets).mapInArrow(lean(_answer), "batch long, bucket int, data binary"), "often", "uncompressed")
     tidy(spark)
-    answers = told.groupBy("batch").agg(F.collect_list(F.struct("bucket", "data")).alias("answers"))
-    marks = written(stored.select("batch", "docs", "texts").join(answers, "batch", "left").mapInArrow(_mark(words, buckets, similarity), MARKS), "marks", "uncompressed")
+    answers = at_batches(told, buckets).groupBy("batch").agg(F.collect_list(F.struct("bucket", "data")).alias("answers"))
+    marks = written(at_batches(stored.select("batch", "docs", "texts"), buckets).join(answers, "batch", "left").mapInArrow(lean(_mark(words, buckets, similarity)), MARKS), "marks", "uncompressed")
     dropped(told)
     tidy(spark)
     # Rows with one set of shingles are one node, by 128-bit digest.
@@ -686,9 +686,9 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
     stay = of.groupBy("root").agg(F.min("first").alias("stay"))
     stay = of.join(stay, "root").select("digest", F.col("stay.rid").alias("stay"))
     gone = marks.select("rid", "digest").join(stay, "digest").where("rid <> stay")
-    gone = gone.groupBy(F.shiftright("rid", PLACE_BITS).alias("batch")).agg(F.collect_list((F.col("rid") % (1 << PLACE_BITS)).cast("int")).alias("gone"))
-    last = stored.join(gone, "batch", "left").select("docs", "texts", "rest", "gone")
-    return last.mapInArrow(_kept_rows(at, len(docs.columns)), docs.schema)
+    gone = at_batches(gone.withColumn("batch", F.shiftright("rid", PLACE_BITS)), buckets).groupBy("batch").agg(F.collect_list((F.col("rid") % (1 << PLACE_BITS)).cast("int")).alias("gone"))
+    last = at_batches(stored, buckets).join(gone, "batch", "left").select("docs", "texts", "rest", "gone")
+    return last.mapInArrow(lean(_kept_rows(at, len(docs.columns))), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,8 +44,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.llm.batches import stored as store_texts
-from granary.llm.batches import NULL, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
-from granary.llm.common import dropped, partitions, tidy, written
+from granary.llm.batches import NULL, at_batches, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
+from granary.llm.common import dropped, lean, partitions, tidy, written
 
 LEAST = 50
 GRAM = 16
@@ -56,7 +56,9 @@ HOT = 1 << 14
 #: Windows of a segment at most; longer runs are several segments.
 RUN = 47
 #: Suffixes of a shard's array at most, but for the last key's.
-SHARD = 200_000
+SHARD = 60_000
+#: Segments that are laid out as a matrix at a time.
+_ROWS = 1 << 13
 _SLICE = 1 << 16
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
@@ -436,13 +438,37 @@ def _segments(buckets: int):
     return run
 
 
+def _distinct(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct segments as a padded byte matrix, whose last byte is the length,
+    and which of them each segment is.
+
+    Slices are made distinct one by one, so a window that every batch has is
+    one row and never a matrix of all its copies."""
+    width = int(size.max()) + 1
+    step, rows, of, held = np.arange(width - 1), [], [], 0
+    for a in range(0, len(begin), _ROWS):
+        n = size[a : a + _ROWS]
+        body = np.zeros((len(n), width), np.uint8)
+        body[:, :-1] = np.where(step < n[:, None], flat[np.minimum(begin[a : a + _ROWS, None] + step, len(flat) - 1)], 0)
+        body[:, -1] = n
+        kinds, where = np.unique(body.view(f"S{width}").ravel(), return_inverse=True)
+        rows.append(kinds)
+        of.append(where + held)
+        held += len(kinds)
+    rows, of = np.concatenate(rows), np.concatenate(of)
+    if len(begin) > _ROWS:
+        rows, where = np.unique(rows, return_inverse=True)
+        of = where[of]
+    return rows.view(np.uint8).reshape(-1, width), of
+
+
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A bucket's segments to spans for each batch that has them (kind 0); the
     batches' own places (kind 1) pass through."""
     for _, rows in by_bucket(batches):
         own = [r for r in rows if r["kind"] == 1]
         if own:
-            yield record(batch=[r["batch"] for r in own], kind=[1] * len(own), data=[r["data"] for r in own], more=[r["more"] for r in own])
+            yield record(batch=[r["batch"] for r in own], kind=[1] * len(own), data=[r["data"].to_pybytes() for r in own], more=[r["more"].to_pybytes() for r in own])
         rows = [r for r in rows if r["kind"] == 0]
         if not rows:
             continue
@@ -463,16 +489,11 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 end = int(np.searchsorted(route[order], route[order[end - 1]], side="right"))
             part = order[done:end]
             done = end
-            width = int(size[part].max())
-            step = np.arange(width)
-            body = np.zeros((len(part), width + 1), np.uint8)
-            body[:, :width] = np.where(step < size[part, None], flat[np.minimum(begin[part, None] + step, len(flat) - 1)], 0)
-            body[:, width] = size[part]
-            kinds, first, of = np.unique(body.view(f"S{width + 1}").ravel(), return_index=True, return_inverse=True)
+            kinds, of = _distinct(flat, begin[part], size[part])
             least, most = np.full(len(kinds), NULL), np.full(len(kinds), np.iinfo(np.int64).min)
             np.minimum.at(least, of, low[part])
             np.maximum.at(most, of, high[part])
-            seg, off, length, doc = spans(body[first, :width], size[part][first], least, most)
+            seg, off, length, doc = spans(kinds[:, :-1], kinds[:, -1].astype(np.int64), least, most)
             # Each row gets the spans of its content that are of use to it.
             by = np.argsort(seg, kind="stable")
             seg, off, length, doc = seg[by], off[by], length[by], doc[by]
@@ -546,7 +567,7 @@ def _apply(text_at: int | None = None):
 def dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row of
     (doc_id, text)."""
-    return _applied(docs, []).mapInArrow(_apply(), RESULT)
+    return _applied(docs, []).mapInArrow(lean(_apply()), RESULT)
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
@@ -554,7 +575,7 @@ def cleaned(docs: DataFrame) -> DataFrame:
     A null text comes out empty."""
     at = docs.columns.index("text")
     rest = [c for i, c in enumerate(docs.columns) if i != at]
-    return _applied(docs, rest).mapInArrow(_apply(at), docs.schema)
+    return _applied(docs, rest).mapInArrow(lean(_apply(at)), docs.schema)
 
 
 def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
@@ -565,16 +586,16 @@ def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
     buckets = max(partitions(spark), stored.count() // 64)
     message = "bucket int, kind int, batch long, data binary, more binary"
     # No name holds the shuffled frames, so their files go once they are written.
-    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(_ask(buckets), message)).mapInArrow(_answer, "batch long, kind int, data binary"), "keys", "uncompressed")
+    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(lean(_ask(buckets)), message), buckets).mapInArrow(lean(_answer), "batch long, kind int, data binary"), "keys", "uncompressed")
     tidy(spark)
-    answers = told.groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
-    found = written(to_buckets(stored.join(answers, "batch", "left").select("batch", "docs", "texts", "answers").mapInArrow(_segments(buckets), message)).mapInArrow(_search, "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
+    answers = at_batches(told, buckets).groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
+    found = written(to_buckets(at_batches(stored, buckets).join(answers, "batch", "left").select("batch", "docs", "texts", "answers").mapInArrow(lean(_segments(buckets)), message), buckets).mapInArrow(lean(_search), "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
     del answers
     dropped(told)
     tidy(spark)
-    where = found.where("kind = 1").select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
-    found = found.where("kind = 0").groupBy("batch").agg(F.collect_list("data").alias("found"))
-    last = stored.join(where, "batch").join(found, "batch", "left")
+    where = at_batches(found.where("kind = 1"), buckets).select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
+    found = at_batches(found.where("kind = 0"), buckets).groupBy("batch").agg(F.collect_list("data").alias("found"))
+    last = at_batches(stored, buckets).join(where, "batch").join(found, "batch", "left")
     return last.select("docs", "texts", "rest", "at", "gone", "found")
 
 
