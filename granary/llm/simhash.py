@@ -10,9 +10,10 @@ many ranges and each value they take.  A shard's fingerprints become BK-trees
 of at most TREE nodes, children keyed by their Hamming distance to the parent,
 and each tree is sent to the shard's queries only (sending every tree to every
 executor would grow with the corpus).  A search follows only edges whose
-distance is within the radius of the query's own.  A large shard is several trees, and
-each fingerprint visits the later ones, so no task holds a whole hot shard.
-Of a tree's links a spanning forest is kept, never all pairs.
+distance is within the radius of the query's own.  A large shard is several trees;
+a tree meets itself and each later one in groups of their own, so no group holds
+a whole hot shard, and a very large one is sharded again by its other bits.
+Of a group's links a spanning forest is kept, never all pairs.
 
 Defined results: texts without words have fingerprint 0 and link like any
 other; null text counts as empty; identical fingerprints are one node and all
@@ -41,6 +42,8 @@ WORDS = 4
 RADIUS = 4
 PARTS = 6
 TREE = 1024
+#: Trees of one shard from which it is sharded again.
+DEEP = 16
 SEED = 42
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -158,7 +161,8 @@ def _forests(radius: int):
 
     def links(fps: np.ndarray, node: np.ndarray) -> list[tuple[int, int]]:
         fps = fps.view(np.uint64)
-        return forest(fps[node], fps, radius) if len(fps) > 1 else []
+        # A tree's own members where nobody else visits it.
+        return forest(fps[node], fps if node.all() else fps[~node], radius) if len(fps) > 1 and node.any() else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -200,17 +204,56 @@ def _forests(radius: int):
     return run
 
 
+def _deeper(radius: int, parts: int) -> list[list[int]]:
+    """For each choice of bit ranges, masks that choose again among the other bits:
+    two fingerprints in reach agree under at least one of them, too."""
+    out = []
+    for pick in combinations(_ranges(parts), parts - radius):
+        left = [i for i in range(64) if not any(a <= i < b for a, b in pick)]
+        cut = [len(left) * i // parts for i in range(parts + 1)]
+        ranges = [sum(1 << i for i in left[a:b]) for a, b in zip(cut, cut[1:])]
+        masks = [sum(again) for again in combinations(ranges, parts - radius)]
+        out.append([m - (1 << 64) if m >> 63 else m for m in masks])
+    return out
+
+
+def _counted(e: DataFrame, tree: int) -> DataFrame:
+    """``e`` with ``n``, how many fingerprints the shard has, where over ``tree``."""
+    hot = e.groupBy("key").count().where(F.col("count") > tree).select(F.col("key").alias("hot_key"), F.col("count").alias("n"))
+    return e.join(written(hot, "hot"), F.col("key") == F.col("hot_key"), "left").drop("hot_key")
+
+
+def groups(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS, tree: int = TREE) -> DataFrame:
+    """(key, chunk, fp, node): who is searched for in which tree.
+
+    A shard of over ``tree`` fingerprints is several trees, and a group is one
+    of them and the members of it or of one later tree, so it has at most about
+    2 * tree rows.  Those groups grow with the square of the shard, so a shard of
+    over DEEP trees is first sharded again by its other bits."""
+    picked = F.posexplode(shard_keys(F.col("fp"), radius, parts)).alias("pick", "key")
+    e = _counted(fps.select("fp", picked), tree)
+    deep = F.coalesce(F.col("n") > DEEP * tree, F.lit(False))
+    if e.where(deep).limit(1).count():
+        masks = F.array(*(F.array(*(F.lit(m) for m in row)) for row in _deeper(radius, parts)))
+        again = F.transform(F.element_at(masks, F.col("pick") + 1), lambda m, i: F.xxhash64("key", i, F.col("fp").bitwiseAND(m)))
+        below = e.where(deep).select("fp", F.explode(again).alias("key"))
+        e = e.where(~deep).select("fp", "key", "n").unionByName(_counted(below, tree))
+    # Trees are a little smaller than ``tree`` on average, as hashes deal them out.
+    trees = F.coalesce(F.ceil(1.25 * F.col("n") / tree), F.lit(1)).cast("int")
+    own = F.pmod(F.xxhash64("fp", F.lit("tree")), trees).cast("int")
+    e = e.select("key", "fp", trees.alias("trees"), own.alias("own"))
+    chunk = lambda i, j: F.shiftleft(i.cast("long"), 31) + j
+    as_node = F.transform(F.sequence("own", F.col("trees") - 1), lambda j: F.struct(chunk(F.col("own"), j).alias("chunk"), F.lit(True).alias("node")))
+    as_query = F.transform(F.sequence(F.lit(0), F.col("own") - 1), lambda i: F.struct(chunk(i, F.col("own")).alias("chunk"), F.lit(False).alias("node")))
+    places = F.when(F.col("own") == 0, as_node).otherwise(F.concat(as_node, as_query))
+    return e.select("key", "fp", F.explode(places).alias("p")).select("key", "p.chunk", "fp", "p.node")
+
+
 def links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS, tree: int = TREE) -> DataFrame:
     """Links (a, b) whose components are those of all links within the radius
     among the distinct fingerprints of column ``fp``."""
-    e = fps.select("fp", F.explode(shard_keys(F.col("fp"), radius, parts)).alias("key"))
-    # Only shards of over ``tree`` fingerprints are split; they are few.
-    hot = e.groupBy("key").count().where(F.col("count") > tree).select(F.col("key").alias("hot_key"), F.ceil(F.col("count") / tree).cast("int").alias("trees"))
-    e = e.join(written(hot, "hot"), F.col("key") == F.col("hot_key"), "left").withColumn("trees", F.coalesce("trees", F.lit(1)))
-    own = F.pmod(F.xxhash64("fp", F.lit("tree")), F.col("trees")).cast("int")
-    e = e.withColumn("own", own).select("key", F.explode(F.sequence("own", F.col("trees") - 1)).alias("chunk"), "fp", "own")
-    e = e.select("key", "chunk", "fp", (F.col("own") == F.col("chunk")).alias("node"))
-    return e.repartition("key", "chunk").sortWithinPartitions("key", "chunk").mapInArrow(lean(_forests(radius)), "a long, b long")
+    rows = groups(fps, radius, parts, tree)
+    return rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk").mapInArrow(lean(_forests(radius)), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, parts: int = PARTS) -> DataFrame:
