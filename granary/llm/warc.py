@@ -4,7 +4,8 @@ Archives are built in memory-bounded chunks, each a complete ``.warc.gz`` file
 of whole records, and kept as rows (archive, data) of a table in the shared
 folder, so that neither side needs a local file.  ``export`` stores them as
 files.  The reader inflates member by member and block by block, takes
-``Content-Length`` bytes of each record, and checks both digests.
+``Content-Length`` bytes of each record, and checks the digests it has; a revisit
+is held against the response that it refers to (:func:`verified`).
 
 Defined results: a null html is an empty payload; pages with a null page_id are
 written and read with a null page_id, and refer to the smallest id of their
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import written
+from granary.llm.common import lean, written
 
 #: Bytes of records after which an archive is closed.
 ARCHIVE_BYTES = 4 << 20
@@ -31,6 +33,9 @@ ARCHIVE_BYTES = 4 << 20
 BLOCK = 1 << 16
 #: Payloads of fewer bytes are always stored whole.
 LEAST_BYTES = 0
+HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+TYPE = ("Content-Type", "application/http; msgtype=response")
+_PAGE = re.compile(r"<urn:page:(-?\d+)>")
 
 
 def sha1_base32(data: bytes) -> str:
@@ -44,23 +49,83 @@ def member(headers: list[tuple[str, str]], block: bytes, level: int = 3) -> byte
     return gz.compress(head.encode()) + gz.compress(block) + gz.compress(b"\r\n\r\n") + gz.flush()
 
 
+def _fields(kind: str, page_id: int | None, url: str | None, digest: bytes, n: int, block: bytes) -> list[tuple[str, str]]:
+    target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
+    return [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"), ("WARC-Target-URI", target), ("WARC-Payload-Digest", f"sha1:{base64.b32encode(digest).decode()}"), ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"), ("X-Payload-Bytes", str(n))]
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
     """A response with the payload, or a revisit without it."""
-    kind = "response" if refers_to is None else "revisit"
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
-    block = http + (payload if refers_to is None else b"")
-    target = (url or "").replace("\r", "%0D").replace("\n", "%0A")
-    headers = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"), ("WARC-Target-URI", target), ("WARC-Payload-Digest", f"sha1:{sha1_base32(payload)}"), ("WARC-Block-Digest", f"sha1:{sha1_base32(block)}"), ("X-Payload-Bytes", str(len(payload)))]
+    digest = hashlib.sha1(payload).digest()
     if refers_to is not None:
-        headers += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", f"<urn:page:{refers_to}>")]
-    return member([*headers, ("Content-Type", "application/http; msgtype=response")], block)
+        return revisit(page_id, url, digest, len(payload), refers_to)
+    block = HTTP + payload
+    return member([*_fields("response", page_id, url, digest, len(payload), block), TYPE], block)
 
 
-class Reader:
-    """Records of a ``.warc.gz`` byte string or binary stream, in order.
+def revisit(page_id: int | None, url: str | None, digest: bytes, n: int, refers_to: int) -> bytes:
+    """A record of a payload of ``n`` bytes that another record holds."""
+    profile = ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
+    return member([*_fields("revisit", page_id, url, digest, n, HTTP), profile, ("WARC-Refers-To", f"<urn:page:{refers_to}>"), TYPE], HTTP)
+
+
+#: Bytes of a record's headers at most.
+HEADER_BYTES = 1 << 20
+#: Digest algorithms that are checked, as the format names them.
+_HASHES = {"sha1": hashlib.sha1, "sha256": hashlib.sha256, "sha512": hashlib.sha512, "md5": hashlib.md5}
+
+
+class Headers(dict):
+    """Named fields; a name's case does not matter."""
+
+    def __getitem__(self, name: str) -> str:
+        return super().__getitem__(name.lower())
+
+    def __contains__(self, name: str) -> bool:
+        return super().__contains__(name.lower())
+
+    def get(self, name: str, default: str | None = None) -> str | None:
+        return super().get(name.lower(), default)
+
+    @classmethod
+    def parsed(cls, raw: bytes) -> Headers:
+        """Of a record's head: a version line, then fields, which may be folded."""
+        lines = raw.decode("utf-8", "replace").split("\r\n")
+        if not lines[0].startswith("WARC/"):
+            raise ValueError("not a WARC record")
+        out, last = cls(), None
+        for line in lines[1:]:
+            if line[:1] in (" ", "\t") and last is not None:
+                out[last] = f"{out[last]} {line.strip()}"
+                continue
+            name, colon, value = line.partition(":")
+            if not colon or not name.strip():
+                raise ValueError(f"not a header field: {line[:80]!r}")
+            last = name.strip().lower()
+            out[last] = value.strip()
+        return out
+
+
+def digest_holds(said: str | None, data) -> bool:
+    """Whether data has the labelled digest, in base 32 or hex.  One that is
+    missing or of an unknown algorithm cannot be wrong."""
+    label, _, value = (said or "").partition(":")
+    if label.strip().lower() not in _HASHES:
+        return True
+    found = _HASHES[label.strip().lower()](data).digest()
+    value = value.strip().rstrip("=")
+    return value.upper() == base64.b32encode(found).decode().rstrip("=") or value.lower() == found.hex()
+
 
-    Holds one record's block and BLOCK inflated bytes at a time.  Raises
-    ValueError for broken framing, a truncated member or a wrong digest.
+class Reader:
+    """Records of a ``.warc.gz`` byte string or binary stream, in order, as
+    (headers, payload); the payload of an HTTP message is its body.
+
+    A member is inflated BLOCK bytes at a time: up to the end of the headers,
+    then ``Content-Length`` bytes, then the record's end.  One record's block is
+    held.  Digests are checked where the record has them.  Whatever is broken
+    (framing, headers, compression, a truncated member, a digest) raises
+    ValueError.
     """
 
     def __init__(self, source) -> None:
@@ -75,94 +140,167 @@ class Reader:
             if not feed:
                 raise ValueError("truncated gzip member")
             self.raw = b""
-            out = z.decompress(feed, BLOCK)
+            try:
+                out = z.decompress(feed, BLOCK)
+            except zlib.error as e:
+                raise ValueError(f"not a gzip member: {e}") from None
             if out:
                 yield out
         self.raw = z.unused_data
 
-    def __iter__(self) -> Iterator[tuple[dict[str, str], bytes]]:
+    def __iter__(self) -> Iterator[tuple[Headers, bytes]]:
         while self.raw or (feed := self.read(BLOCK)):
             self.raw = self.raw or feed
             blocks = self._member()
-            have = bytearray()
-            while (cut := have.find(b"\r\n\r\n")) < 0:
-                if (more := next(blocks, None)) is None:
+            have, seen = bytearray(), 0
+            while (cut := have.find(b"\r\n\r\n", max(0, seen - 3))) < 0:
+                seen = len(have)
+                if seen > HEADER_BYTES or (more := next(blocks, None)) is None:
                     raise ValueError("no end of the record's headers")
                 have += more
-            lines = bytes(have[:cut]).decode().split("\r\n")
-            if not lines[0].startswith("WARC/"):
-                raise ValueError("not a WARC record")
-            headers = dict(x.split(": ", 1) if ": " in x else (x.rstrip(":"), "") for x in lines[1:])
+            headers = Headers.parsed(bytes(have[:cut]))
             del have[: cut + 4]
-            for more in blocks:
+            said = headers.get("Content-Length") or ""
+            if not (said.isascii() and said.isdigit()):
+                raise ValueError("no Content-Length")
+            length = int(said)
+            while len(have) < length + 4 and (more := next(blocks, None)) is not None:
                 have += more
-            length = int(headers["Content-Length"])
-            if bytes(have[length:]) != b"\r\n\r\n":
+            if have[length:] != b"\r\n\r\n" or next(blocks, None) is not None:
                 raise ValueError("the block's length is not Content-Length")
-            block = bytes(have[:length])
-            if headers["WARC-Block-Digest"] != f"sha1:{sha1_base32(block)}":
-                raise ValueError("wrong block digest")
-            payload = block.partition(b"\r\n\r\n")[2]
-            if headers["WARC-Type"] == "response" and headers["WARC-Payload-Digest"] != f"sha1:{sha1_base32(payload)}":
+            with memoryview(have) as view:
+                block = view[:length]
+                if not digest_holds(headers.get("WARC-Block-Digest"), block):
+                    raise ValueError("wrong block digest")
+                http = (headers.get("Content-Type") or "").lower().startswith("application/http")
+                end = have.find(b"\r\n\r\n", 0, length) if http else -4
+                payload = bytes(block[end + 4 :]) if end >= 0 or not http else b""
+                block.release()
+            # A revisit's digest is of the payload that it refers to.
+            if headers.get("WARC-Type") != "revisit" and not digest_holds(headers.get("WARC-Payload-Digest"), payload):
                 raise ValueError("wrong payload digest")
             yield headers, payload
 
 
+DRAFTS = "batch long, meta binary, members binary"
 ARCHIVES = "archive string, n_records long, data binary"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
+_META = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("digest", pa.binary()), ("n", pa.int64()), ("stored", pa.int64())])
+
 
+def _ipc(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
 
-def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _draft(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages to batches of response records, each with what a revisit would need."""
     from pyspark import TaskContext
 
-    part, chunk, n, size, made = TaskContext.get().partitionId(), [], 0, 0, 0
+    made, rows, members, size = TaskContext.get().partitionId() << 32, [], [], 0
 
     def close() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"archive": [f"part-{part:05d}-{made:05d}.warc.gz"], "n_records": [n], "data": [b"".join(chunk)]}, pa.schema([("archive", pa.string()), ("n_records", pa.int64()), ("data", pa.binary())]))
+        meta = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _META.types)], schema=_META)
+        return pa.RecordBatch.from_arrays([pa.array([made], pa.int64()), pa.array([_ipc(meta)], pa.binary()), pa.array([b"".join(members)], pa.binary())], ["batch", "meta", "members"])
 
     for batch in batches:
-        ids, urls, payloads, refs = (batch.column(i) for i in range(4))
+        ids, urls, texts = (batch.column(i) for i in range(3))
         for i in range(batch.num_rows):
-            chunk.append(record(ids[i].as_py(), urls[i].as_py(), payloads[i].as_py() or b"", refs[i].as_py()))
-            n, size = n + 1, size + len(chunk[-1])
+            payload = texts[i].as_buffer().to_pybytes() if texts[i].is_valid else b""
+            page_id, url = ids[i].as_py(), urls[i].as_py()
+            members.append(record(page_id, url, payload, None))
+            rows.append((page_id, url, hashlib.sha1(payload).digest(), len(payload), len(members[-1])))
+            size += len(members[-1])
             if size >= ARCHIVE_BYTES:
                 yield close()
-                chunk, n, size, made = [], 0, 0, made + 1
-    if chunk:
+                made, rows, members, size = made + 1, [], [], 0
+    if rows:
         yield close()
 
 
+def _meta(blob) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob).read_next_batch()
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pages of drafted batches: (batch, at, page_id, digest, n)."""
+    for b in batches:
+        for i in range(b.num_rows):
+            meta = _meta(b.column(1)[i].as_buffer())
+            n = meta.num_rows
+            at = pa.array(range(n), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[i].as_py()] * n, pa.int64()), at, meta.column(0), meta.column(2), meta.column(3)], ["batch", "at", "page_id", "digest", "n"])
+
+
+def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drafted batches to archives: the pages named in ``refs`` as revisits."""
+    for b in batches:
+        for i in range(b.num_rows):
+            batch, refs = b.column(0)[i].as_py(), {x["at"]: x["first"] for x in b.column(3)[i].as_py() or []}
+            meta, members = _meta(b.column(1)[i].as_buffer()).to_pylist(), memoryview(b.column(2)[i].as_buffer())
+            out, upto = [], 0
+            for at, page in enumerate(meta):
+                start, upto = upto, upto + page["stored"]
+                out.append(revisit(page["page_id"], page["url"], page["digest"], page["n"], refs[at]) if at in refs else members[start:upto])
+            name = f"part-{batch >> 32:05d}-{batch & (1 << 32) - 1:05d}.warc.gz"
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(meta)], pa.int64()), pa.array([b"".join(out)], pa.binary())], ["archive", "n_records", "data"])
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import io
 
     types = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(), "url": pa.string()}
-    number = lambda urn: int(x) if (x := urn[10:-1]) else None
+
+    def number(urn: str | None) -> int | None:
+        found = _PAGE.fullmatch(urn or "")
+        return int(found[1]) if found else None
+
+    def row(h: Headers, payload: bytes) -> tuple:
+        said = (h.get("WARC-Payload-Digest") or "").partition(":")[2] or None
+        if h.get("WARC-Type") == "revisit":
+            n = int(h["X-Payload-Bytes"]) if (h.get("X-Payload-Bytes") or "").isdigit() else None
+        else:
+            n, said = len(payload), said or sha1_base32(payload)
+        return number(h.get("WARC-Record-ID")), n, said, h.get("WARC-Type"), number(h.get("WARC-Refers-To")), h.get("WARC-Target-URI")
+
     for batch in batches:
         for data in batch.column(0):
-            rows = [
-                (number(h["WARC-Record-ID"]), int(h["X-Payload-Bytes"]) if h["WARC-Type"] == "revisit" else len(payload), h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"], number(h["WARC-Refers-To"]) if "WARC-Refers-To" in h else None, h["WARC-Target-URI"])
-                for h, payload in Reader(io.BytesIO(memoryview(data.as_buffer())))
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], list(types))
+            rows = [row(h, payload) for h, payload in Reader(io.BytesIO(memoryview(data.as_buffer())))]
+            columns = list(zip(*rows)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values())], list(types))
 
 
 def write_archives(pages: DataFrame) -> DataFrame:
-    """Archive rows for (page_id, url, html); equal payloads are stored once."""
-    payload = F.coalesce(F.encode("html", "UTF-8"), F.lit(b""))
-    p = pages.select("page_id", "url", payload.alias("payload"))
-    # Digests only are shuffled; a payload that a third of all pages share is
-    # summed before it moves, and its revisits spread over the page ids.
-    d = p.select("page_id", F.unhex(F.sha1("payload")).alias("digest"), F.length("payload").alias("n")).where(F.col("n") >= LEAST_BYTES)
-    first = d.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    # A repeated page_id may carry several payloads: refer by id and payload.
-    of = d.join(first.where("first is not null"), "digest").where("page_id is null or page_id > first").select(F.col("page_id").alias("copy_id"), F.col("digest").alias("copy_digest"), F.col("first").alias("refers_to")).distinct()
-    hit = p["page_id"].eqNullSafe(of["copy_id"]) & (F.unhex(F.sha1("payload")) == of["copy_digest"])
-    p = p.join(of, hit, "left").select("page_id", "url", "payload", "refers_to")
-    return p.mapInArrow(_write, ARCHIVES)
+    """Archive rows for (page_id, url, html); equal payloads are stored once.
+
+    Payloads are compressed where they are read and then move once, compressed
+    and by batch; only digests are grouped.  A payload that a third of all pages
+    share is summed before it moves."""
+    drafts = written(pages.select(F.col("page_id").cast("long"), "url", F.encode("html", "UTF-8").alias("html")).mapInArrow(lean(_draft), DRAFTS), "drafts", "uncompressed")
+    d = drafts.select("batch", "meta").mapInArrow(_listed, "batch long, at int, page_id long, digest binary, n long").where(F.col("n") >= LEAST_BYTES)
+    first = d.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1 and first is not null")
+    refs = d.join(first, "digest").where("page_id is null or page_id > first").groupBy("batch").agg(F.collect_list(F.struct("at", "first")).alias("refs"))
+    return drafts.join(refs, "batch", "left").select("batch", "meta", "members", "refs").mapInArrow(lean(_assemble), ARCHIVES)
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
-    return archives.select("data").mapInArrow(_read, RECORDS)
+    """RECORDS of archive rows, whoever wrote them: page ids are null for records
+    that are no ``<urn:page:N>``, a missing payload digest is computed."""
+    return archives.select("data").mapInArrow(lean(_read), RECORDS)
+
+
+def verified(records: DataFrame) -> DataFrame:
+    """A written table of the records, whose revisits all refer to a response
+    with the digest and the length that they state; ValueError otherwise."""
+    records = written(records, "records")
+    said = records.where("record_type = 'revisit'").select(F.col("refers_to").alias("page_id"), "payload_digest", "payload_bytes").distinct()
+    kept = records.where("record_type = 'response'").select("page_id", "payload_digest", "payload_bytes")
+    lost = said.join(kept, ["page_id", "payload_digest", "payload_bytes"], "left_anti").head()
+    if lost is not None:
+        raise ValueError(f"a revisit refers to page {lost.page_id}, which has no such payload")
+    return records
 
 
 def export(archives: DataFrame, folder: str) -> list[str]:
@@ -179,7 +317,7 @@ def export(archives: DataFrame, folder: str) -> list[str]:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     # gzip members do not shrink further; the table is stored as it is.
-    return read_archives(written(write_archives(pages), "warc", "uncompressed")).drop("url")
+    return verified(read_archives(written(write_archives(pages), "warc", "uncompressed"))).drop("url")
 
 
 SQL = """
