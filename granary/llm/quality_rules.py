@@ -7,8 +7,8 @@ without a shuffle.
 
 Defined results: a null or empty text has no word and fails the base rule; no
 measure divides by zero (a ratio over nothing is 0); repeated rows are judged
-each for itself; extra columns are ignored.  Two windows are taken for equal
-when their 43-bit hashes and all three of their words are equal.
+each for itself; extra columns are ignored.  Two windows are equal when all three
+of their words are; hashes only bring them together.
 """
 
 from __future__ import annotations
@@ -69,22 +69,28 @@ def _covered(starts: Column) -> Column:
     return F.when(n > 0, F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), step), F.lit(0).cast("long"), lambda a, x: a + x)).otherwise(F.lit(0).cast("long"))
 
 
-def _repeated_starts(w: Column, n: Column, hashed: Column) -> Column:
+def _repeated_starts(w: Column, bits: Column, hashed: Column) -> Column:
     """Places of 3-word windows that occur twice or more, ascending.
 
-    ``hashed`` is sorted and holds a window's 43-bit hash above its 20-bit
-    place, so equal windows are neighbours; the words settle it.
-    """
-    place = lambda x: x.bitwiseAND(F.lit((1 << 20) - 1)).cast("int")
-    high = lambda x: F.shiftright(x, 20)
+    ``hashed`` is sorted and holds a window's hash above its place of ``bits``
+    bits, so equal windows are neighbours; the words settle it.  Where neighbours
+    have one hash but other words, the window is looked for among all."""
+    shift = lambda f, x: F.call_function(f, x, bits)
+    mask = shift("shiftleft", F.lit(1).cast("long")) - 1
+    place = lambda x: x.bitwiseAND(mask).cast("int")
+
+    def like(a: Column, b: Column) -> Column:
+        return F.coalesce(shift("shiftright", a) == shift("shiftright", b), F.lit(False))
 
     def same(a: Column, b: Column) -> Column:
         i, j = place(a), place(b)
-        return (high(a) == high(b)) & (w[i] == w[j]) & (w[i + 1] == w[j + 1]) & (w[i + 2] == w[j + 2])
+        return like(a, b) & (F.get(w, i) == F.get(w, j)) & (F.get(w, i + 1) == F.get(w, j + 1)) & (F.get(w, i + 2) == F.get(w, j + 2))
 
     def repeated(x: Column, i: Column) -> Column:
-        after, before = F.get(hashed, i + 1), F.get(hashed, i - 1)
-        return F.coalesce(same(x, after), F.lit(False)) | F.coalesce(same(x, before), F.lit(False))
+        near = [F.get(hashed, i + 1), F.get(hashed, i - 1)]
+        found = F.coalesce(same(x, near[0]), F.lit(False)) | F.coalesce(same(x, near[1]), F.lit(False))
+        far = F.exists(hashed, lambda y: (x != y) & same(x, y))
+        return F.when(found, True).when(like(x, near[0]) | like(x, near[1]), far).otherwise(False)
 
     return F.sort_array(F.transform(F.filter(hashed, repeated), lambda x: place(x).cast("long")))
 
@@ -96,15 +102,13 @@ def counted(docs: DataFrame) -> DataFrame:
     d = d.withColumn("n", F.size("w")).withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     d = d.withColumn("lines_n", F.size("lines"))
     w, n = F.col("w"), F.col("n")
-    key = lambda i: F.shiftleft(F.shiftrightunsigned(F.xxhash64(w[i], w[i + 1], w[i + 2]), 21), 20).bitwiseOR(i.cast("long"))
-    small = F.when((n >= 3) & (n <= 1 << 20), F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), key)))
-    d = d.withColumn("hashed", small)
-    # Texts of over 2^20 words, whose places do not fit: sort hash and place as structs.
-    pairs = F.array_sort(F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.struct(F.xxhash64(w[i], w[i + 1], w[i + 2]).alias("h"), i.cast("long").alias("i"))))
-    d = d.withColumn("pairs", F.when(n > 1 << 20, pairs))
-    ps = F.col("pairs")
-    long_starts = F.sort_array(F.transform(F.filter(ps, lambda x, i: F.coalesce(x["h"] == F.get(ps, i + 1)["h"], F.lit(False)) | F.coalesce(x["h"] == F.get(ps, i - 1)["h"], F.lit(False))), lambda x: x["i"]))
-    d = d.withColumn("starts", F.when(n > 1 << 20, long_starts).otherwise(_repeated_starts(w, n, F.col("hashed"))))
+    # As many bits as the last place has; the hash takes the rest of a long.
+    bits = F.greatest(F.lit(1), F.ceil(F.log2(n.cast("double") + 1))).cast("int")
+    hash_ = lambda i: F.xxhash64(w[i], w[i + 1], w[i + 2])
+    key = lambda i: F.call_function("shiftleft", F.call_function("shiftrightunsigned", hash_(i), F.col("bits") + 1), F.col("bits")).bitwiseOR(i.cast("long"))
+    d = d.withColumn("bits", bits)
+    d = d.withColumn("hashed", F.when(n >= 3, F.sort_array(F.transform(F.sequence(F.lit(0), n - 3), key))))
+    d = d.withColumn("starts", _repeated_starts(w, F.col("bits"), F.col("hashed")))
     space = F.translate("t", "\x20\x09\x0a\x0b\x0c\x0d", "")
     return d.select(
         "doc_id",
