@@ -169,7 +169,8 @@ def pack(table: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFram
         last = groups == 1 or r == ROUNDS - 1
         # doc_id as text: pandas would turn a column with nulls into floats.
         rows = rest.withColumn("doc_id", F.col("doc_id").cast("string"))
-        g = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.lit(r)), F.lit(groups))
+        # Also by the row's place in the written table, so rows alike are dealt out.
+        g = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id(), F.lit(r)), F.lit(groups))
         out = rows.withColumn("g", g).groupBy("g").applyInPandas(run(r, last), types.replace("doc_id bigint", "doc_id string") + packed)
         out = written(out.withColumn("doc_id", F.col("doc_id").cast("long")), "packed")
         done.append(out.where("full").drop("full"))
