@@ -1,18 +1,23 @@
 """Exact top-k inner-product search by a three-phase uniform threshold.
 
 A vector's score is the sum of partial scores that NODES slices of its
-dimensions hold.  Rows and queries are packed into blocks that meet pairwise.
-
-1. Each slice of each pair of blocks gives every query's k best rows by partial
-   score; their full scores give the query a cutoff that k rows reach.
-2. The cutoff goes back to the query.  Above its own least partial score, a
-   slice gets an equal share of what the cutoff leaves; a row below its share in
-   every slice is below the cutoff, so only entries at or above a share are
-   collected.
-3. Collected rows whose bound still reaches the cutoff get exact scores.
+dimensions hold.  Rows and queries are packed into blocks of one slice each;
+blocks of a slice meet pairwise, a slice in its own tasks.
+
+1. Every slice gives each query its NAMED * k best rows by partial score, and its least
+   and greatest partial score.  The rows seen get exact scores, and the k-th of
+   them is the query's cutoff (score, vec_id).
+2. The cutoff goes back to the slices.  Above its own least partial score, a
+   slice has an equal share of what the cutoff leaves; a row below its share in
+   every slice is below the cutoff.  A slice sends the rows at or above its
+   share that could reach the cutoff with the other slices' greatest scores; at
+   a tie, only those with a vec_id up to the cutoff's.
+3. What the slices sent is summed, with the share as the bound of a slice that
+   sent nothing; rows whose bound still reaches the cutoff get exact scores.
 
 Scores are integers: components become floor(scale * x) and are summed exactly
-(in doubles while every sum stays below 2^53, else in 64-bit integers).
+(in doubles while every sum stays below 2^53, else in 64-bit integers).  Memory:
+a task holds two blocks and the scores of STRIP queries against one block.
 
 Defined results: vectors that are null or empty or hold a null or non-finite
 component take no part; vectors of different lengths have no score with each
@@ -30,111 +35,143 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.llm.common import partitions, written
 
 K = 5
 NODES = 2
+#: How many times k rows a slice names in phase 1; more of them raise the cutoff.
+NAMED = 8
 ROW_BLOCK = 4096
 QUERY_BLOCK = 512
+#: Queries of a block whose scores are held at a time.
+STRIP = 64
 EVERY = 50
 SCALE = 256
+#: The cutoff of a query that has seen fewer than k rows.
+_OPEN = -(1 << 62)
 
 
 def _blocks(name: str, size: int):
-    """Rows (id, v) to blocks of at most ``size`` vectors of one length."""
+    """Rows (row, id, v) to blocks of at most ``size`` vectors of one length by
+    ascending id, a block for each slice."""
 
-    def pack(dim: int, rows: list) -> dict:
-        ids, mats = zip(*rows)
-        return {"dim": dim, f"{name}_ids": np.array(ids, "<i8").tobytes(), f"{name}_mat": np.concatenate(mats).astype("<i8").tobytes(), "n": len(rows)}
+    def pack(dim: int, rows: list) -> list[dict]:
+        rows.sort(key=lambda r: r[:2])
+        ids, places, vectors = zip(*rows)
+        m = np.array(vectors, "<i8")
+        cut = np.linspace(0, dim, NODES + 1).astype(int)
+        shared = {"dim": dim, f"{name}_ids": np.array(ids, "<i8").tobytes(), f"{name}_rows": np.array(places, "<i8").tobytes()}
+        return [shared | {"slice": i, f"{name}_mat": np.ascontiguousarray(m[:, x:y]).tobytes()} for i, (x, y) in enumerate(zip(cut, cut[1:]))]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
         for f in frames:
-            for i, v in zip(f["id"], f["v"]):
-                held.setdefault(len(v), []).append((i, v))
+            for row, i, v in zip(f["row"], f["id"], f["v"]):
+                held.setdefault(len(v), []).append((i, row, v))
                 if len(held[len(v)]) == size:
-                    yield pd.DataFrame([pack(len(v), held.pop(len(v)))])
-        if held:
-            yield pd.DataFrame([pack(dim, rows) for dim, rows in held.items()])
+                    yield pd.DataFrame(pack(len(v), held.pop(len(v))))
+        for dim, rows in held.items():
+            yield pd.DataFrame(pack(dim, rows))
 
     return run
 
 
-def _pair(f, i: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Ids and sliced matrices of the pair of blocks in row i."""
-    dim = int(f["dim"][i])
-    a, b = (np.frombuffer(f[c][i], "<i8").reshape(-1, dim) for c in ("row_mat", "query_mat"))
-    peak = max(1, int(abs(a).max())) * max(1, int(abs(b).max())) * dim
-    if peak < 1 << 53:
-        a, b = a.astype(float), b.astype(float)
-    cut = np.linspace(0, dim, NODES + 1).astype(int)
-    part = lambda m: [m[:, x:y] for x, y in zip(cut, cut[1:])]
-    return np.frombuffer(f["row_ids"][i], "<i8"), np.frombuffer(f["query_ids"][i], "<i8"), part(a), part(b)
+class _Pair:
+    """A pair of blocks of one slice."""
+
+    def __init__(self, f: pd.DataFrame, i: int) -> None:
+        part = lambda c: np.frombuffer(f[c][i], "<i8")
+        self.ids, self.rows, self.query_ids, self.query_rows = map(part, ("row_ids", "row_rows", "query_ids", "query_rows"))
+        a, b = part("row_mat").reshape(len(self.ids), -1), part("query_mat").reshape(len(self.query_ids), -1)
+        peak = max(1, int(abs(a).max(initial=0))) * max(1, int(abs(b).max(initial=0))) * max(1, a.shape[1])
+        kind = np.float64 if peak < 1 << 53 else np.int64
+        self.a, self.b = a.astype(kind), b.astype(kind)
 
+    def strips(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(first query, partial scores as integers, which are a query's own id)."""
+        for at in range(0, len(self.b), STRIP):
+            own = self.query_ids[at : at + STRIP, None] == self.ids
+            yield at, (self.b[at : at + STRIP] @ self.a.T).astype(np.int64), own
 
-def _first(f, i: int) -> int:
-    """Number of the first query row of row i's block."""
-    return int(f["block"][i]) * QUERY_BLOCK
 
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Which k of each row are greatest, the first ones at a tie."""
+    if scores.shape[1] <= k:
+        return np.ones(scores.shape, bool)
+    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+    take = scores > least
+    tie = scores == least
+    return take | (tie & (np.cumsum(tie, axis=1) <= k - take.sum(axis=1, keepdims=True)))
 
-def _partials(rows: list[np.ndarray], queries: list[np.ndarray]) -> list[np.ndarray]:
-    return [q @ r.T for q, r in zip(queries, rows)]
+
+LISTS = "query_row long, slice int, row long, id long, part long"
 
 
 def _phase1(k: int):
+    """Each query's best rows of a block, and, as row -1, its least partial score."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for i in range(len(f)):
-                ids, qids, rows, queries = _pair(f, i)
-                own = ids[None, :] == qids[:, None]
-                parts = _partials(rows, queries)
-                total = sum(parts)
-                best = []
-                for p in parts:
-                    p = np.where(own, p.min() - 1, p)
-                    n = min(k, len(ids))
-                    best.append(np.argpartition(p, len(ids) - n, axis=1)[:, len(ids) - n :])
-                seen = np.concatenate(best, axis=1)
-                seen.sort(axis=1)
-                again = np.zeros(seen.shape, bool)
-                again[:, 1:] = seen[:, 1:] == seen[:, :-1]
-                again |= np.take_along_axis(own, seen, 1)
-                q, c = np.nonzero(~again)
-                yield pd.DataFrame({"query_row": _first(f, i) + q, "score": total[q, seen[q, c]].astype("i8")})
+                p = _Pair(f, i)
+                for at, scores, own in p.strips():
+                    low = scores.min(axis=1)
+                    take = _best(np.where(own, _OPEN, scores), k) & ~own
+                    q, r = np.nonzero(take)
+                    n = len(low)
+                    yield pd.DataFrame({
+                        "query_row": np.concatenate([p.query_rows[at + q], p.query_rows[at : at + n]]), "slice": int(f["slice"][i]), "row": np.concatenate([p.rows[r], np.full(n, -1)]),
+                        "id": np.concatenate([p.ids[r], np.full(n, -1)]), "part": np.concatenate([scores[q, r], low]),
+                    })
 
     return run
 
 
-def _phase23(k: int):
+def _phase2() -> object:
+    """The rows of a block that its slice must send."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for i in range(len(f)):
-                ids, qids, rows, queries = _pair(f, i)
-                cutoff = np.frombuffer(f["cutoffs"][i], "<i8")
-                own = ids[None, :] == qids[:, None]
-                parts = _partials(rows, queries)
-                low = [p.min(axis=1) for p in parts]
-                share = (cutoff - sum(low)) / NODES
-                shares = [m + share for m in low]
-                sent = [p >= s[:, None] for p, s in zip(parts, shares)]
-                q, r = np.nonzero(np.logical_or.reduce(sent) & ~own)
-                # A slice that has not sent an entry holds at most its share.
-                bound = sum(np.where(s[q, r], p[q, r], t[q]) for s, p, t in zip(sent, parts, shares))
-                keep = bound >= cutoff[q]
-                q, r = q[keep], r[keep]
-                score = sum((b[q] * a[r]).sum(axis=1) for a, b in zip(rows, queries)).astype("i8")
-                keep = score >= cutoff[q]
-                out = pd.DataFrame({"query_row": _first(f, i) + q[keep], "query_id": qids[q][keep], "vec_id": ids[r][keep], "score": score[keep]})
-                out = out.sort_values(["query_row", "score", "vec_id"], ascending=[True, False, True])
-                yield out.groupby("query_row").head(k)
+                p, mine = _Pair(f, i), int(f["slice"][i])
+                cutoff, cut_id, low, rest, others = np.frombuffer(f["bounds"][i], "<i8").reshape(5, -1)
+                for at, scores, own in p.strips():
+                    s = slice(at, at + len(scores))
+                    reach = scores + others[s, None]
+                    # In integers: NODES times what is above the least is at least the rest.
+                    send = (NODES * (scores - low[s, None]) >= rest[s, None]) & ((reach > cutoff[s, None]) | ((reach == cutoff[s, None]) & (p.ids <= cut_id[s, None])))
+                    q, r = np.nonzero(send & ~own)
+                    yield pd.DataFrame({"query_row": p.query_rows[at + q], "slice": mine, "row": p.rows[r], "id": p.ids[r], "part": scores[q, r]})
 
     return run
 
 
-def search(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE, per_row: bool = False) -> DataFrame:
+def _bounds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A block's bounds in the order of its queries."""
+    for f in frames:
+        packed = []
+        for c in f["c"]:
+            packed.append(np.array([[x[k] for x in c] for k in ("cutoff", "cut_id", "low", "rest", "others")], "<i8").tobytes())
+        yield pd.DataFrame({"block": f["block"], "slice": f["slice"], "bounds": packed})
+
+
+def _exact(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """``pairs`` (query_row, row, ...) with their full ``score``."""
+    v = vectors.select("row", "v")
+    both = pairs.join(v.toDF("row", "_v"), "row").join(v.toDF("query_row", "_q"), "query_row")
+    score = F.aggregate(F.zip_with("_v", "_q", lambda x, y: x * y), F.lit(0).cast("long"), lambda a, x: a + x)
+    return both.withColumn("score", score).drop("_v", "_q")
+
+
+def _top(rows: DataFrame, by: str, k: int) -> DataFrame:
+    best = Window.partitionBy(by).orderBy(F.desc("score"), "id")
+    return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCALE, per_row: bool = False) -> DataFrame:
     """query_id, rank, vec_id, score for every row of ``vectors`` (vec_id,
     embedding) where the Column ``is_query`` holds, against all rows.  With
     ``per_row`` ranks are each query row's own, whose number comes first."""
@@ -143,42 +180,53 @@ def search(vectors: DataFrame, is_query, k: int = K, scale: float = SCALE, per_r
     bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == inf)
     v = F.col("embedding").cast("array<double>")
     good = F.col("vec_id").isNotNull() & (F.size(v) > 0) & ~F.coalesce(F.exists(v, bad), F.lit(True))
-    rows = vectors.where(good).select(F.col("vec_id").cast("long").alias("id"), F.transform(v, lambda x: F.floor(x * scale)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    block = "dim int, {0}_ids binary, {0}_mat binary, n int".format
+    rows = vectors.where(good).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("id"), F.transform(v, lambda x: F.floor(x * scale)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
+    # Written, so that a row's number is the same wherever it is used.
+    rows = written(rows, "vectors")
+    block = "dim int, slice int, {0}_ids binary, {0}_rows binary, {0}_mat binary".format
     shards = partitions(spark)
-    row_blocks = rows.select("id", "v").mapInPandas(_blocks("row", ROW_BLOCK), block("row")).drop("n")
+    row_blocks = rows.select("row", "id", "v").mapInPandas(_blocks("row", ROW_BLOCK), block("row"))
     # Rows stay in ``shards`` groups; every block of queries visits each group.
-    row_blocks = written(row_blocks.withColumn("shard", F.pmod(F.monotonically_increasing_id() + F.shiftright(F.monotonically_increasing_id(), 33), F.lit(shards)).cast("int")), "rows")
-    query_blocks = rows.where("asks").select("id", "v").mapInPandas(_blocks("query", QUERY_BLOCK), block("query")).withColumn("block", F.monotonically_increasing_id())
-    query_blocks = written(query_blocks, "queries")
+    shard = F.pmod(F.xxhash64("row_rows"), F.lit(shards)).cast("int")
+    row_blocks = written(row_blocks.withColumn("shard", shard), "rows")
+    asking = rows.where("asks")
+    query_blocks = asking.select("row", "id", "v").mapInPandas(_blocks("query", QUERY_BLOCK), block("query"))
+    query_blocks = written(query_blocks.withColumn("block", F.xxhash64("query_rows")), "queries")
     all_shards = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    pairs = row_blocks.join(query_blocks.select("*", all_shards), ["dim", "shard"])
-    scores = pairs.mapInPandas(_phase1(k), "query_row long, score long")
-    # Spark keeps k rows of each query before it shuffles them.
-    top = Window.partitionBy("query_row").orderBy(F.desc("score"))
-    cut = scores.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k).groupBy("query_row")
-    cut = cut.agg(F.when(F.count(F.lit(1)) == k, F.min("score")).alias("cutoff"))
+    meet = ["dim", "slice", "shard"]
+    # Phase 1.  Spark keeps so many rows of each query and slice before it shuffles them.
+    lists = written(row_blocks.join(query_blocks.select("*", all_shards), meet).mapInPandas(_phase1(NAMED * k), LISTS), "lists")
+    local = Window.partitionBy("query_row", "slice").orderBy(F.desc("part"), "id")
+    lists_top = lists.where("row >= 0").withColumn("r", F.row_number().over(local)).where(F.col("r") <= NAMED * k)
+    seen = _exact(lists_top.select("query_row", "row", "id").distinct(), rows)
+    cut = _top(seen, "query_row", k).where(F.col("rank") == k).select(F.col("query_row").alias("cq"), F.col("score").alias("cutoff"), F.col("id").alias("cut_id"))
+    span = lists.groupBy("query_row", "slice").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    every = span.groupBy("query_row").agg(F.sum("low").alias("lows"), F.sum("high").alias("highs")).withColumnRenamed("query_row", "sq")
     # Where fewer than k rows were seen, nothing is safe to leave out.
-    asked = query_blocks.select("block", "query_ids").mapInPandas(_unpacked, "block long, at int, query_row long")
-    by_block = asked.join(cut, "query_row", "left").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", F.coalesce("cutoff", F.lit(-(1 << 62))).alias("cutoff")))).alias("c"))
-    by_block = by_block.mapInPandas(_packed, "block long, cutoffs binary")
-    armed = query_blocks.join(by_block, "block").select("*", all_shards)
-    found = row_blocks.join(armed, ["dim", "shard"]).mapInPandas(_phase23(k), "query_row long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_row" if per_row else "query_id").orderBy(F.desc("score"), "vec_id")
-    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    bounds = span.join(every, F.col("query_row") == F.col("sq")).join(cut, F.col("query_row") == F.col("cq"), "left")
+    cutoff = F.coalesce("cutoff", F.lit(_OPEN))
+    bounds = bounds.select("query_row", "slice", "low", cutoff.alias("cutoff"), F.coalesce("cut_id", F.lit((1 << 63) - 1)).alias("cut_id"), F.when(F.col("cutoff").isNull(), F.lit(_OPEN)).otherwise(F.col("cutoff") - F.col("lows")).alias("rest"), (F.col("highs") - F.col("high")).alias("others"))
+    bounds = written(bounds, "bounds")
+    asked = query_blocks.where("slice = 0").select("block", "query_rows").mapInPandas(_unpacked, "block long, at int, query_row long")
+    packed = asked.join(bounds, "query_row").groupBy("block", "slice").agg(F.sort_array(F.collect_list(F.struct("at", "cutoff", "cut_id", "low", "rest", "others"))).alias("c"))
+    armed = query_blocks.join(packed.mapInPandas(_bounds, "block long, slice int, bounds binary"), ["block", "slice"])
+    # Phase 2.
+    sent = row_blocks.join(armed.select("*", all_shards), meet).mapInPandas(_phase2(), LISTS)
+    # Phase 3.  A slice that sent nothing holds less than its share.
+    sums = sent.groupBy("query_row", "row", "id").agg(F.sum("part").alias("part"), F.collect_list("slice").alias("slices"))
+    share = bounds.groupBy(F.col("query_row").alias("bq")).agg(F.max("cutoff").alias("cutoff"), F.map_from_entries(F.collect_list(F.struct("slice", F.col("low") + F.expr(f"rest div {NODES}") + 1))).alias("shares"))
+    silent = F.aggregate(F.array_except(F.map_keys("shares"), "slices"), F.lit(0).cast("long"), lambda a, x: a + F.element_at("shares", x))
+    kept = sums.join(share, F.col("query_row") == F.col("bq")).where((F.col("cutoff") == _OPEN) | (F.col("part") + silent >= F.col("cutoff")))
+    found = _exact(kept.select("query_row", "row", "id"), rows).join(asking.select(F.col("row").alias("ask"), F.col("id").alias("query_id")), F.col("query_row") == F.col("ask"))
+    found = _top(found.withColumnRenamed("id", "vec_id").withColumn("id", F.col("vec_id")), "query_row" if per_row else "query_id", k)
     return found.select(*["query_row"] * per_row, "query_id", "rank", "vec_id", "score")
 
 
 def _unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for f in frames:
-        for block, ids in zip(f["block"], f["query_ids"]):
-            at = np.arange(len(ids) // 8)
-            yield pd.DataFrame({"block": block, "at": at.astype("i4"), "query_row": int(block) * QUERY_BLOCK + at})
-
-
-def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for f in frames:
-        yield pd.DataFrame({"block": f["block"], "cutoffs": [np.array([x["cutoff"] for x in c], "<i8").tobytes() for c in f["c"]]})
+        for block, rows in zip(f["block"], f["query_rows"]):
+            rows = np.frombuffer(rows, "<i8")
+            yield pd.DataFrame({"block": block, "at": np.arange(len(rows), dtype="i4"), "query_row": rows})
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
