@@ -3,51 +3,74 @@
 Each language has a tree of byte contexts of up to ORDER bytes.  A byte's code
 length is taken from the longest known context; a byte that the context has not
 seen pays the context's escape probability and falls to the next shorter one,
-down to a uniform order -1 (method C, without exclusions).  The statistics are
+down to a uniform order -1 (method C, without exclusions).  Every byte of the
+sample is a symbol of its own; bytes that it lacks are one symbol, spelled out
+by the number of such bytes.  The statistics are
 frozen after training, so the code length of every (context, byte) pair is
 resolved once into a table, and a text's exact code length under a language is
 a sum of table entries.  The shortest code wins.
 
-The model is fitted on a bounded sample: about PER_LANGUAGE texts of each
-language, of at most SAMPLE_CHARS characters.  Its table holds at most CELLS
-numbers (32 MB), so its broadcast does not grow with the corpus.
+The model is fitted on a bounded sample: at most PER_LANGUAGE different texts of
+each language, of at most SAMPLE_CHARS characters, and at most SAMPLE_TEXTS (one
+of each language at least) in all; of more than LANGUAGES languages the most
+frequent are learned.  Its table holds at most CELLS numbers (32 MB) beside one
+for each symbol and language, so its broadcast does not grow with the corpus.
 
-Defined results: ``und`` with score 0 where the text is null or has no letter,
-or no labelled text exists; ties go to the language first in code point order;
+Defined results: ``und`` with score 0 where the text is null or has no letter
+(general category L: numerals are none), or no labelled text exists; ties go to the language first in code point order;
 repeated rows are judged each for itself; a null doc_id is learned from and is
 not held out; extra columns are ignored; an empty table gives no row.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import regex
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 ORDER = 3
 PER_LANGUAGE = 300
 SAMPLE_CHARS = 200_000
 CELLS = 8_000_000
-#: Byte classes: the most frequent bytes, and one class for all others.
-CLASSES = 128
-MAX_LANGUAGES = 200
-_LETTER = re.compile(r"[^\W\d_]")
+SAMPLE_TEXTS = 60_000
+LANGUAGES = 10_000
+_LETTER = regex.compile(r"\p{L}")
 _SLICE = 1 << 20
 
 
 def bounded_sample(rows: DataFrame, by: str, per: int, key: Column) -> DataFrame:
-    """About ``per`` rows of each value of ``by``, chosen by the key's hash."""
-    counts = rows.groupBy(by).count().limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} values of {by}")
-    place = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20))
-    keep = F.lit(False)
-    for r in counts:
-        keep = keep | ((F.col(by) == F.lit(r[by])) & (place < F.lit(min(1 << 20, int(per / r["count"] * (1 << 20)) + 1))))
-    return rows.where(keep)
+    """At most ``per`` rows of each value of ``by``, different in ``key``: those
+    with the smallest hashes of it.
+
+    Of more than LANGUAGES values the most frequent have a sample, and all
+    samples have at most SAMPLE_TEXTS rows, or one of each value.  Only rows
+    whose hash makes them likely are sorted; a value of which these are few, since
+    a few keys fill it, is sampled again from all of its rows."""
+    spark = rows.sparkSession
+    counts = rows.groupBy(by).count().orderBy(F.desc("count"), by).limit(LANGUAGES).collect()
+    if not counts:
+        return rows.limit(0)
+    per = max(1, min(per, SAMPLE_TEXTS // len(counts)))
+    kind = dict(rows.dtypes)[by]
+    shares = spark.createDataFrame([(r[by], min(1.0, 4 * per / r["count"])) for r in counts], f"_by {kind}, _share double")
+    place = F.xxhash64(key, F.lit("sample"))
+    placed = rows.withColumn("_place", place).join(F.broadcast(shares), F.col(by) == F.col("_by"))
+    first = Window.partitionBy(by).orderBy("_place")
+
+    def least(found: DataFrame) -> DataFrame:
+        # Equal keys are one row before anything is shuffled.
+        once = found.groupBy(by, "_place").agg(F.first(F.struct(*(F.col(f"`{c}`") for c in rows.columns))).alias("_row"))
+        return once.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per)
+
+    likely = placed.where(F.pmod("_place", F.lit(1 << 20)) < F.col("_share") * (1 << 20))
+    found = {r[by]: r["count"] for r in least(likely).groupBy(by).count().collect()}
+    few = [r[by] for r in counts if found.get(r[by], 0) < min(per, r["count"])]
+    again = placed.join(F.broadcast(spark.createDataFrame([(x,) for x in few], f"_few {kind}")), F.col(by) == F.col("_few")) if few else None
+    if again is not None:
+        likely = likely.join(F.broadcast(spark.createDataFrame([(x,) for x in few], f"_few {kind}")), F.col(by) == F.col("_few"), "left_anti").unionByName(again.drop("_few"))
+    return least(likely).select("_row.*")
 
 
 class Model:
@@ -58,11 +81,11 @@ class Model:
         self.order = order
         texts = {x: [np.frombuffer(t, np.uint8) for t in samples[x]] for x in self.languages}
         seen = sum((np.bincount(np.concatenate(t), minlength=256) for t in texts.values()), np.zeros(256, int))
-        common = np.argsort(-seen, kind="stable")[: CLASSES - 1]
-        common = np.sort(common[seen[common] > 0])
+        common = np.flatnonzero(seen > 0)
         self.code = np.zeros(256, np.int64)
         self.code[common] = np.arange(1, len(common) + 1)
         self.size = a = len(common) + 1
+        self.spelled = float(np.log2(max(1, 256 - len(common))))
         streams = {x: self._codes(t) for x, t in texts.items()}
         most = max(1, cells // (a * len(self.languages)))
         # Row 0 is the empty context; known[k] maps a packed context of k bytes to its row.
@@ -131,7 +154,7 @@ class Model:
             cell = self.row[ctx].astype(np.int64)
             cell *= self.size
             cell += codes[self.order :]
-            out += self.bits[cell].sum(axis=0, dtype=np.float64)
+            out += self.bits[cell].sum(axis=0, dtype=np.float64) + self.spelled * np.count_nonzero(codes[self.order :] == 0)
             tail = codes[n:]
         return out
 
@@ -151,7 +174,7 @@ def fit(labelled: DataFrame, per: int = PER_LANGUAGE) -> Model | None:
     """A model of (doc_id, text, lang) rows; None where there are none."""
     rows = labelled.where(F.col("lang").isNotNull() & (F.length("text") <= SAMPLE_CHARS)).select("doc_id", "text", "lang")
     samples: dict[str, list[bytes]] = {}
-    for r in bounded_sample(rows, "lang", per, F.col("doc_id")).collect():
+    for r in bounded_sample(rows, "lang", per, F.struct("doc_id", "text")).collect():
         samples.setdefault(r.lang, []).append(r.text.encode("utf-8", "replace"))
     return Model(samples) if any(map(any, samples.values())) else None
 
