@@ -2,13 +2,15 @@
 
 Folding lower-cases, maps homoglyphs and accented letters to plain letters,
 digits and signs that stand for letters to those, drops invisible characters and
-turns all else into spaces.  Lexicon entries are word beginnings with the
+turns all else into spaces.  A sign counts as a letter only before a letter:
+"!" ends a word as often as it stands for one.  Lexicon entries are word beginnings with the
 logarithm of how much oftener toxic texts use them; a word counts by its
 weightiest entry, and not at all inside an exception phrase.  The sum, as a
-share of the text's length, is turned into a probability.
+share of the text's length, and the sum of the heaviest stretch of STRETCH
+characters are turned into a probability.
 
 Entries, weights, exceptions and the final curve are learned from a bounded
-sample of labelled texts: about PER_CLASS of each label, of at most
+sample of labelled texts: at most PER_CLASS of each label, of at most
 SAMPLE_CHARS characters.  The lexicon has at most ENTRIES entries, the
 exception list as many, so what is broadcast is small whatever the corpus.
 
@@ -21,6 +23,7 @@ labels in the sample every score is 0; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 
@@ -32,16 +35,20 @@ from pyspark.sql import functions as F
 from granary.llm.langid import bounded_sample, held_out
 
 PER_CLASS = 1500
-SAMPLE_CHARS = 100_000
+SAMPLE_CHARS = 20_000
 ENTRIES = 2000
 LEAST_STEM, MOST_STEM = 4, 12
 #: An entry must be in so many toxic texts, and so many times oftener in them.
 LEAST_TEXTS, LEAST_LIFT = 3, 8.0
 THRESHOLD = 0.7
+STRETCH = 1200
 
 #: Look-alike letters, and digits and signs read as letters.
 HOMOGLYPHS = dict(zip("абвеікмнорстухѕјԁӏαβεικνορτυχ", "abbeikmhopctyxsjdlabeiknoptux"))
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
+#: Signs and digits that no letter follows, at the start of such a run.
+_LOOSE = re.compile(r"(?<![@$!0-9])[@$!0-9]++(?![^\W\d_])")
+_SIGNS_OUT = str.maketrans("@$!", "   ")
 INVISIBLE = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 
 
@@ -61,7 +68,8 @@ class _Fold(dict):
 
 
 def fold(text: str, table: dict) -> str:
-    return f" {' '.join(text.lower().translate(table).split())} "
+    text = _LOOSE.sub(lambda m: m[0].translate(_SIGNS_OUT), text.lower())
+    return f" {' '.join(text.translate(table).split())} "
 
 
 class Lexicon:
@@ -94,16 +102,34 @@ class Lexicon:
                 elif w > best.get(at, 0.0):
                     best[at] = w
         if spared and best:
-            best = {at: w for at, w in best.items() if not any(a <= at < b for a, b in spared)}
+            # Both in order of place: one walk, however many there are.
+            spared.sort()
+            upto, i, kept = -1, 0, {}
+            for at in sorted(best):
+                while i < len(spared) and spared[i][0] <= at:
+                    upto = max(upto, spared[i][1])
+                    i += 1
+                if at >= upto:
+                    kept[at] = best[at]
+            best = kept
         return best
 
     @staticmethod
-    def features(total: float, n_words: int) -> tuple[float, float]:
-        return math.log1p(100 * total / (n_words + 20)), math.log1p(total)
+    def features(hits: dict[int, float], n_words: int) -> tuple[float, float]:
+        """Weight as a share of the text's length, and weight of the heaviest
+        STRETCH characters, so neither grows with the length alone."""
+        most = held = 0.0
+        places, first = sorted(hits), 0
+        for at in places:
+            held += hits[at]
+            while places[first] <= at - STRETCH:
+                held -= hits[places[first]]
+                first += 1
+            most = max(most, held)
+        return math.log1p(100 * sum(hits.values()) / (n_words + 20)), math.log1p(most)
 
     def score(self, automaton, folded: str) -> float:
-        total = sum(self.hits(automaton, folded).values())
-        x, y = self.features(total, folded.count(" ") - 1)
+        x, y = self.features(self.hits(automaton, folded), folded.count(" ") - 1)
         b, u, v = self.curve
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, b + u * x + v * y))))
 
@@ -149,7 +175,7 @@ def learn(toxic: list[str], clean: list[str]) -> Lexicon:
     spared = [p for p, n in phrases[0].most_common() if " " in p and n >= 3 and n * size[1] > 4 * phrases[1][p] * size[0]][:ENTRIES]
     lexicon = Lexicon(chosen, spared)
     automaton = lexicon.automaton()
-    rows = [(1.0, *Lexicon.features(sum(Lexicon.hits(automaton, t).values()), t.count(" ") - 1), label) for label in (1, 0) for t in folded[label]]
+    rows = [(1.0, *Lexicon.features(Lexicon.hits(automaton, t), t.count(" ") - 1), label) for label in (1, 0) for t in folded[label]]
     x, y = np.array([r[:3] for r in rows]), np.array([r[3] for r in rows], float)
     b = np.zeros(3)
     for _ in range(30):  # Newton steps of a lightly penalised logistic fit
