@@ -1,8 +1,8 @@
 """URL filters: host and path rules, then a listed-URL block list.
 
 The list is screened by a blocked Bloom filter: every listed URL sets
-``BITS`` bits in one 64-bit block, pages whose block has all their bits are
-possible hits, and an exact hash join with the list removes the false ones.
+``BITS`` bits in one 64-bit block of a filter sized by the list, pages whose block has
+all their bits are possible hits, and an exact hash join with the list removes the false ones.
 Everything is DataFrame functions.
 
 Defined results: a null url, or one without ``://``, has an empty host and
@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm.common import written
+
 #: (verdict, rule) of the production query; the longest fitting rule wins.
 RULES = (
     ("allow", "org/"),
@@ -24,11 +26,11 @@ RULES = (
     ("block", "com/de/"),
 )
 
-#: Blocks of the filter.  At most so many rows of two longs are broadcast,
-#: about 8 MB, whatever the list's length; a longer list only passes more
-#: false hits on to the exact join.
-BLOCKS = 1 << 17
-BITS = 5
+#: Bits that a listed URL sets, and bits of the filter for each.
+BITS, BITS_PER_KEY = 5, 16
+#: Blocks (rows of two longs) of a filter that is broadcast, some 16 MB, which is
+#: enough for 4 million URLs.  A larger filter is joined block by block.
+BROADCAST_BLOCKS = 1 << 20
 
 
 def host(url: Column) -> Column:
@@ -57,8 +59,13 @@ def rule_columns(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return (none, none) if rule is F else (rule.otherwise(none), verdict.otherwise(none))
 
 
-def _block(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit(1)), F.lit(BLOCKS))
+def blocks_for(keys: int) -> int:
+    """Blocks of 64 bits that give each of so many keys BITS_PER_KEY bits."""
+    return max(1 << 10, 1 << (max(1, -(-keys * BITS_PER_KEY // 64)) - 1).bit_length())
+
+
+def _block(key: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(key, F.lit(1)), F.lit(blocks))
 
 
 def _mask(key: Column) -> Column:
@@ -71,9 +78,9 @@ def _mask(key: Column) -> Column:
     return mask
 
 
-def bloom(listed: DataFrame) -> DataFrame:
-    """Blocked filter of column ``key``: at most BLOCKS rows (block, word)."""
-    return listed.groupBy(_block(F.col("key")).alias("block")).agg(F.bit_or(_mask(F.col("key"))).alias("word"))
+def bloom(listed: DataFrame, blocks: int) -> DataFrame:
+    """Blocked filter of column ``key``: at most ``blocks`` rows (block, word)."""
+    return listed.groupBy(_block(F.col("key"), blocks).alias("block")).agg(F.bit_or(_mask(F.col("key"))).alias("word"))
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
@@ -85,10 +92,15 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     p = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     p = p.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("by_rule"))
-    keys = listed.select("key").where(F.col("key").isNotNull()).distinct()
+    keys = written(listed.select("key").where(F.col("key").isNotNull()).distinct(), "listed")
+    blocks = blocks_for(keys.count())
     key = F.when(F.col("by_rule").isNull(), canonical(F.col("host"), F.col("path")))
-    p = p.withColumn("key", key).withColumn("block", _block(F.col("key")))
-    p = p.join(F.broadcast(bloom(keys)), "block", "left")
+    p = p.withColumn("key", key)
+    # Pages that a rule decides, or that have no host, need no filter; the others
+    # are dealt out by their block where the filter is too large to broadcast.
+    filter_ = bloom(keys, blocks)
+    p = p.withColumn("block", F.when(F.col("key").isNotNull(), _block(F.col("key"), blocks)).otherwise(-1 - F.pmod(F.xxhash64("path", "page_id"), F.lit(blocks))))
+    p = p.join(F.broadcast(filter_) if blocks <= BROADCAST_BLOCKS else filter_, "block", "left")
     possible = F.col("key").isNotNull() & (F.col("word").bitwiseAND(_mask(F.col("key"))) == _mask(F.col("key")))
     p = p.withColumn("possible", F.coalesce(possible, F.lit(False)))
     # Pages that the filter clears never meet the join, so they are not shuffled.
