@@ -17,8 +17,8 @@ Defined results: null text has size 0 and is taken 0 words; the threshold falls
 on a whole document, the one that leaves the sum nearest the target; repeated
 doc_ids with the same text and null doc_ids have equal hashes and are told
 apart by their text's hash, and rows alike in both are taken or left together;
-an empty table gives no row.  The table of sources is held by the driver, as
-one row of three numbers per source (at most MAX_SOURCES).
+an empty table gives no row.  Sources may be as many as documents: their
+table is a table like others, and the driver sees a few sums of it.
 """
 
 from __future__ import annotations
@@ -26,45 +26,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from granary.functions.ranges import range_of
 from granary.llm.common import n_words, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-MAX_SOURCES = 100_000
+#: Ranges of sources that are numbered by a task each.
+RANGES = 64
 #: Bits of the hash that one level's buckets stand for, and the hash's levels.
 BITS = 10
 LEVELS = 6
 
 
-def targets(sizes: list[int], weights: list[float], budget: float, most: float = MOST) -> list[float]:
-    """Budget shared by weight, no target above ``most`` times its size."""
-    out, open_ = [0.0] * len(sizes), set(range(len(sizes)))
-    left = budget
-    while open_:
-        total = sum(weights[i] for i in open_)
-        full = [i for i in open_ if left * weights[i] / total >= most * sizes[i]]
-        if not full:
-            for i in open_:
-                out[i] = left * weights[i] / total
+def source_table(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """source, source_size, target, ``whole`` copies that the target takes of every
+    document, and ``need``, the words it takes beyond them.
+
+    The level that the budget fills the sources to, by weight, is found in rounds:
+    a source whose share is above its limit is full, and what it leaves goes to the
+    others.  A round is one aggregate of the sources."""
+    sums = written(sized.groupBy("source").agg(F.sum("size").alias("s")), "sources")
+    order = [F.col("source").isNull(), F.col("source")]
+    ranged = sums.withColumn("_p", range_of(sums, order, RANGES))
+    sizes = ranged.groupBy("_p").count()
+    before = F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(F.col("_p").alias("_q"), F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_p").orderBy(*order)) - 1
+    ranged = ranged.withColumn("_n", place).join(F.broadcast(sizes), F.col("_p") == F.col("_q"))
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), ((F.col("_n") + F.col("_before")) % len(weights) + 1).cast("int"))
+    table = written(ranged.select("source", "s", weight.alias("w")), "weights")
+    total, many = table.agg(F.sum("s"), F.sum("w")).head()
+    budget = share * float(total or 0)
+    limit = most * F.col("s").cast("double")
+    level, full = budget / many if many else 0.0, -1
+    while True:
+        is_full = F.lit(level) * F.col("w") >= limit
+        n, filled, open_ = table.agg(F.count_if(is_full), F.sum(F.when(is_full, limit)), F.sum(F.when(~is_full, F.col("w")))).head()
+        if n == full or not open_:
             break
-        for i in full:
-            out[i] = float(most * sizes[i])
-        left = max(0.0, left - sum(out[i] for i in full))
-        open_ -= set(full)
-    return out
-
-
-def _source_table(sized: DataFrame, weights, share: float) -> DataFrame:
-    """source, source_size, target; ``need`` is the part left to the threshold."""
-    rows = sized.groupBy("source").agg(F.sum("size").alias("s")).limit(MAX_SOURCES + 1).collect()
-    if len(rows) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources")
-    rows = sorted(rows, key=lambda r: (r.source is None, (r.source or "").encode()))
-    sizes = [int(r.s) for r in rows]
-    t = targets(sizes, [weights[i % len(weights)] for i in range(len(rows))], share * sum(sizes))
-    data = [(r.source, s, x, int(x // s) if s else 0, x - (x // s) * s if s else 0.0) for r, s, x in zip(rows, sizes, t)]
-    return sized.sparkSession.createDataFrame(data, "source string, source_size long, target double, whole long, need double")
+        full, level = n, max(0.0, budget - (filled or 0.0)) / open_
+    target = F.least(F.lit(level) * F.col("w"), limit) if table.head(1) else F.lit(0.0)
+    out = table.select("source", F.col("s").alias("source_size"), target.alias("target"))
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    out = out.withColumn("whole", whole).withColumn("need", F.when(F.col("source_size") > 0, F.col("target") - F.col("whole") * F.col("source_size")).otherwise(0.0))
+    return written(out, "targets")
 
 
 def _hash(doc_id, text):
@@ -80,26 +86,22 @@ def thresholds(sized: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataF
     """One row per source: src, source_size, target, ``whole`` copies of every
     document, and one more of those whose hash is below ``cut``."""
     total = BITS * LEVELS
-    sources = _source_table(sized, weights, share)
+    sources = source_table(sized, weights, share)
     # Where each source's search stands: all hashes below ``low`` are taken.
-    at = F.broadcast(sources.select(F.col("source").alias("src"), "need", F.lit(0).cast("long").alias("low"), F.lit(0.0).alias("below"), F.lit(0).cast("long").alias("last")))
+    at = sources.where("need > 0").select(F.col("source").alias("src"), "need", F.lit(0).cast("long").alias("low"), F.lit(0.0).alias("below"), F.lit(0).cast("long").alias("last"))
     for level in range(LEVELS):
         shift = total - BITS * (level + 1)
         inside = F.shiftrightunsigned(F.col("h"), shift + BITS) == F.shiftrightunsigned(F.col("low"), shift + BITS)
-        d = sized.join(at, F.col("source").eqNullSafe(F.col("src")) & inside & (F.col("size") > 0))
-        b = d.groupBy("src", F.shiftrightunsigned("h", shift).alias("bucket")).agg(F.sum("size").alias("s"))
+        d = sized.where("size > 0").join(at, F.col("source").eqNullSafe(F.col("src")) & inside)
+        b = d.groupBy("src", F.shiftrightunsigned("h", shift).alias("bucket")).agg(F.sum("size").alias("s"), F.first("need").alias("need"), F.first("below").alias("below"))
         # At most 2^BITS rows per source.
-        w = Window.partitionBy("src").orderBy("bucket")
-        b = b.withColumn("upto", F.sum("s").over(w))
-        b = b.join(at.select(F.col("src").alias("src2"), "need", "below"), F.col("src").eqNullSafe(F.col("src2")))
-        b = b.withColumn("upto", F.col("below") + F.col("upto")).where(F.col("upto") >= F.col("need"))
+        upto = F.col("below") + F.sum("s").over(Window.partitionBy("src").orderBy("bucket"))
+        b = b.withColumn("upto", upto).where(F.col("upto") >= F.col("need"))
         first = b.groupBy("src").agg(F.min_by(F.struct("bucket", "upto", "s", "need"), "bucket").alias("x"))
-        at = first.select("src", F.col("x.need").alias("need"), F.shiftleft(F.col("x.bucket"), shift).alias("low"), (F.col("x.upto") - F.col("x.s")).alias("below"), F.col("x.s").alias("last"))
-        rows = at.limit(MAX_SOURCES).collect()
-        at = F.broadcast(sized.sparkSession.createDataFrame(rows, "src string, need double, low long, below double, last long"))
+        at = written(first.select("src", F.col("x.need").alias("need"), F.shiftleft(F.col("x.bucket"), shift).alias("low"), (F.col("x.upto") - F.col("x.s")).alias("below"), F.col("x.s").alias("last")), "at")
     # The last bucket holds one hash: take it if that leaves the sum nearer.
-    rows = [(r.src, r.low + (1 if r.last - (r.need - r.below) < r.need - r.below else 0)) for r in rows]
-    cuts = sized.sparkSession.createDataFrame(rows, "src string, cut long")
+    more = F.col("last") - (F.col("need") - F.col("below")) < F.col("need") - F.col("below")
+    cuts = at.select("src", (F.col("low") + F.when(more, 1).otherwise(0)).alias("cut"))
     return sources.join(cuts, F.col("source").eqNullSafe(F.col("src")), "left").select(F.col("source").alias("src"), "source_size", "target", "whole", F.coalesce("cut", F.lit(0)).alias("cut"))
 
 
@@ -110,7 +112,7 @@ def _copies(h):
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
     sized = _sized(docs)
-    out = sized.join(F.broadcast(thresholds(sized, weights, share)), F.col("source").eqNullSafe(F.col("src")))
+    out = sized.join(written(thresholds(sized, weights, share), "cuts"), F.col("source").eqNullSafe(F.col("src")))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("h"))).alias("taken"))
 
 
@@ -118,7 +120,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken."""
     table = thresholds(_sized(docs), weights, share).toDF("_src", "_size", "_target", "whole", "cut").select("_src", "whole", "cut")
     row = docs.select(F.col("source").alias("_source"), _hash(F.col("doc_id"), F.col("text")).alias("_h"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
-    out = row.join(F.broadcast(table), F.col("_source").eqNullSafe(F.col("_src")))
+    out = row.join(written(table, "cuts"), F.col("_source").eqNullSafe(F.col("_src")))
     out = out.select("_row", _copies(F.col("_h")).cast("int").alias("_n")).where("_n > 0")
     return out.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).select("_row.*")
 
