@@ -16,11 +16,14 @@ SPACE = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a local
-    temporary folder is chosen, once per session.
+    Only where the session names none and runs in one process (tests) a local
+    temporary folder is chosen, once per session; on a cluster it must be named.
     """
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all of {master} sees")
         path = tempfile.mkdtemp(prefix="granary-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
