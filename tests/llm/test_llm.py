@@ -107,8 +107,9 @@ def test_fingerprint():
         assert simhash.fingerprint(text) == brute_fp(text)
 
 
-@pytest.mark.parametrize("tree", [3, 1024])
-def test_links_find_every_component(spark, tree):
+@pytest.mark.parametrize("tree,deep", [(3, 16), (3, 1), (1024, 16)])
+def test_links_find_every_component(spark, monkeypatch, tree, deep):
+    monkeypatch.setattr(simhash, "DEEP", deep)
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
     flip = [int(b) ^ sum(1 << int(k) for k in rng.choice(64, rng.integers(0, 6), replace=False)) for b in base for _ in range(6)]
@@ -121,6 +122,31 @@ def test_links_find_every_component(spark, tree):
     assert len(set(zip(want, mine))) == len(set(want)) == len(set(mine))
 
 
+def test_no_group_holds_a_hot_shard(spark):
+    """8,000 fingerprints that agree in one half of their bits, and 3,000 within
+    four bits of one another: no group of more than two trees."""
+    rng = np.random.default_rng(3)
+    near = {sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for _ in range(9000)}
+    half = {int(x) << 32 for x in rng.integers(0, 1 << 31, 8000)}
+    df = spark.createDataFrame([(x,) for x in np.array(sorted(near | half), np.uint64).view(np.int64).tolist()], "fp long")
+    sizes = simhash.groups(df, tree=256).groupBy("key", "chunk").agg(F.count("*").alias("n"), F.count_if("node").alias("nodes")).agg(F.max("n"), F.max("nodes")).head()
+    assert sizes[0] <= 512 and sizes[1] <= 256
+
+
+def test_query_against_brute_force(spark, tmp_path):
+    """Fingerprints, links and the smallest doc_id reachable, of a whole table."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()] if os.path.isdir(DATA) else []
+    rows += [(1000 + i, t) for i, t in enumerate([None, "", " ", "a b", "A  B", SENTENCE, SENTENCE.upper() + " ", LONG])] + [(5000, SENTENCE), (4999, SENTENCE), (4999, SENTENCE)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = Counter((r.doc_id, r.fingerprint, r.component_id) for r in simhash.query(spark, str(tmp_path)).collect())
+    fps = [brute_fp(t) for _, t in rows]
+    root = roots(len(rows), [(i, j) for i in range(len(rows)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 4])
+    least = {}
+    for (i, _), r in zip(rows, root):
+        least[r] = min(i, least.get(r, i))
+    assert got == Counter((i, f"{f:016x}", least[r]) for (i, _), f, r in zip(rows, fps, root))
+
+
 def test_bk_tree_search():
     rng = np.random.default_rng(2)
     values = [int(x) for x in rng.integers(0, 1 << 16, 300, dtype=np.uint64)]
@@ -276,9 +302,82 @@ def test_warc_reader_rejects_a_wrong_digest():
         list(warc.Reader(io.BytesIO(bad.compress(raw.replace(b"\r\n\r\npayload", b"\r\n\r\npayloaX")) + bad.flush())))
 
 
+def foreign(*records):
+    """A gzip member for each (headers, block), written as others write them."""
+    out = b""
+    for headers, block in records:
+        z = zlib.compressobj(9, zlib.DEFLATED, 31)
+        out += z.compress(b"WARC/1.0\r\n" + headers + b"\r\n\r\n" + block + b"\r\n\r\n") + z.flush()
+    return out
+
+
+def test_warc_reader_reads_other_writers_archives(spark):
+    """Optional digests, any case of names, folded and unknown fields, records
+    without HTTP, hex digests, other identifiers."""
+    body = "\u00e9".encode() * 200_000
+    http = b"HTTP/1.0 200 OK\r\nX: y\r\n\r\n" + body
+    data = foreign(
+        (b"warc-type: warcinfo\r\nCONTENT-LENGTH:  5\r\nContent-Type: application/warc-fields", b"a: b\n"),
+        (b"WARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nX-Long: one\r\n\t two\r\nContent-Type: Application/HTTP;msgtype=response\r\nWARC-Payload-Digest: sha256:" + hashlib.sha256(body).hexdigest().encode() + b"\r\nContent-Length: %d" % len(http), http),
+        (b"WARC-Type: revisit\r\nContent-Type: application/http\r\nWARC-Payload-Digest: sha1:ABC\r\nWARC-Refers-To: <urn:uuid:1>\r\nContent-Length: 19", b"HTTP/1.0 200 OK\r\n\r\n"),
+        (b"WARC-Type: resource\r\nWARC-Block-Digest: blake3:xyz\r\nContent-Length: 0", b""),
+    )
+    got = list(warc.Reader(io.BytesIO(data)))
+    assert [h["WARC-TYPE"] for h, _ in got] == ["warcinfo", "response", "revisit", "resource"]
+    assert [p for _, p in got] == [b"a: b\n", body, b"", b""] and got[1][0]["x-long"] == "one two"
+    rows = warc.read_archives(spark.createDataFrame([(data,), (b"",)], "data binary")).collect()
+    assert [(r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in rows] == [(None, 5, "warcinfo", None), (None, len(body), "response", None), (None, None, "revisit", None), (None, 0, "resource", None)]
+
+
+@pytest.mark.parametrize("headers,block", [(b"WARC-Type: a", b""), (b"Content-Length: x", b""), (b"Content-Length: -1", b""), (b"Content-Length: 3", b"four"), (b"Content-Length: 9", b"four"), (b"no colon\r\nContent-Length: 0", b""), (b"Content-Length: 1\r\nWARC-Block-Digest: sha1:AAAA", b"x"), (b"X: " + b"y" * (3 << 20), b"")])
+def test_warc_reader_raises_only_value_errors(headers, block):
+    data = foreign((headers, block))
+    with pytest.raises(ValueError):
+        list(warc.Reader(io.BytesIO(data)))
+
+
+def test_warc_reader_on_damaged_bytes():
+    data = warc.record(1, "u", b"payload" * 99, None) + warc.record(2, "u", b"", 1)
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        raw = bytearray(data[: int(rng.integers(1, len(data)))] if rng.random() < 0.5 else data)
+        for at in rng.integers(0, len(raw), int(rng.integers(0, 4))):
+            raw[at] ^= int(rng.integers(1, 256))
+        try:
+            list(warc.Reader(io.BytesIO(bytes(raw))))
+        except ValueError:
+            pass
+    for junk in (b"junk", b"\x1f\x8b\x08", data + b"tail"):
+        with pytest.raises(ValueError):
+            list(warc.Reader(io.BytesIO(junk)))
+
+
+def test_revisits_are_held_against_their_response(spark):
+    good = [(1, 5, "D", "response", None, "u"), (2, 5, "D", "revisit", 1, "u"), (2, 5, "D", "revisit", 1, "u")]
+    assert warc.verified(spark.createDataFrame(good, warc.RECORDS)).count() == 3
+    for bad in ((3, 6, "D", "revisit", 1, "u"), (3, 5, "E", "revisit", 1, "u"), (3, 5, "D", "revisit", 2, "u")):
+        with pytest.raises(ValueError, match="refers to page"):
+            warc.verified(spark.createDataFrame([*good, bad], warc.RECORDS))
+
+
 # ---- 3 quality --------------------------------------------------------------
 
 
+def test_quality_of_very_many_words(spark):
+    """One rule of equality whatever the number of words: above 2^20 of them."""
+    n = (1 << 20) + 5000
+    rows = [(1, " ".join(f"{i:x}" for i in range(n))), (2, " ".join(f"{i % 700_000:x}" for i in range(n))), (3, "a b a b a b"), (4, "a b c a b d a b c")]
+    got = {r.doc_id: (r.n_words, r.n_repeat_words) for r in quality_rules.judge_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (n, 0), 2: (n, 2 * (n - 700_000)), 3: (6, 6), 4: (9, 6)}
+
+
+def test_measures_that_rules_may_name(spark):
+    df = spark.createDataFrame([(1, SENTENCE * 4), (2, "")], "doc_id long, text string")
+    for measure in quality_rules.MEASURES:
+        assert {r.kept for r in quality_rules.judge_quality(df, [(measure, -1.0, 1e9)]).where("doc_id = 1").collect()} <= {True, False}
+        assert not any(r.kept for r in quality_rules.judge_quality(df, [(measure, 1e9, None)]).collect())
+
+
 def test_quality_counts(spark, docs):
     for r in quality_rules.judge_quality(docs).collect():
         text = next((t for i, t, *_ in ROWS if i == r.doc_id), None) or ""
@@ -352,6 +451,42 @@ def test_topk_against_brute_force(spark):
         assert [got[q, k + 1] for k in range(5)] == [(i, -x) for x, i in order]
 
 
+def test_topk_of_equal_vectors(spark, monkeypatch):
+    """20,000 equal vectors: the k smallest ids, and no slice sends the rest."""
+    rows = spark.range(20_000).select(F.col("id").alias("vec_id"), F.array(*(F.lit(0.5) for _ in range(64))).alias("embedding"))
+    sent = []
+    real = topk._exact
+    monkeypatch.setattr(topk, "_exact", lambda pairs, vectors: sent.append(pairs.count()) or real(pairs, vectors))
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(rows, F.col("vec_id") % 5000 == 0).collect())
+    score = 64 * 128 * 128
+    want = {q: [i for i in range(7) if i != q][:5] for q in range(0, 20_000, 5000)}
+    assert got == [(q, k + 1, i, score) for q in sorted(want) for k, i in enumerate(want[q])]
+    assert max(sent) <= 4 * 2 * topk.NAMED * 5
+
+
+def test_topk_prunes(spark, monkeypatch):
+    """Of random vectors, few rows get exact scores."""
+    rng = np.random.default_rng(8)
+    m = rng.normal(size=(6000, 32)).astype("f4")
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "vec_id long, embedding array<float>")
+    exact = []
+    real = topk._exact
+    monkeypatch.setattr(topk, "_exact", lambda pairs, vectors: exact.append(pairs.count()) or real(pairs, vectors))
+    got = topk.search(df, F.col("vec_id") % 1000 == 0).count()
+    assert got == 30 and sum(exact) < 6 * 6000 / 10
+
+
+def test_topk_of_large_and_short_vectors(spark):
+    """Sums beyond 2^53, and vectors with fewer components than slices."""
+    v = [(i, [float(1 << 30) + i, -float(1 << 30) - i, 3.0]) for i in range(40)] + [(50 + i, [float(i - 5)]) for i in range(20)]
+    df = spark.createDataFrame(v, "vec_id long, embedding array<double>")
+    z = {i: [int(np.floor(x)) for x in e] for i, e in v}
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.search(df, F.col("vec_id").isin(3, 55), 4, scale=1.0).collect()}
+    for q in (3, 55):
+        order = sorted((-sum(a * b for a, b in zip(z[q], z[i])), i) for i in z if i != q and len(z[i]) == len(z[q]))[:4]
+        assert [got[q, k + 1] for k in range(4)] == [(i, -x) for x, i in order]
+
+
 def test_topk_repeated_queries(spark):
     rng = np.random.default_rng(5)
     m = rng.normal(size=(60, 4)).astype("f4")
@@ -421,9 +556,76 @@ def test_language_accuracy(spark):
     assert langid.Model({"x": [b"abc"]}).predict("123 !") == ("und", 0.0)
 
 
+def test_letters_are_of_category_l():
+    m = langid.Model({"en": [b"one and two"], "el": ["\u03b1\u03b2\u03b3 \u03b4".encode()]})
+    for text in ("\u00bd \u2461 \u2167", "12 \u0663", "_ - !", "\U0001f600", "\u0301", "", None):
+        assert m.predict(text) == ("und", 0.0), text
+    assert m.predict("\u4e2d")[0] != "und" and m.predict("\u03b1\u03b2")[0] == "el" and m.predict("\u02b0")[0] != "und"
+
+
+def test_every_byte_has_its_own_code():
+    """More than 127 different bytes; bytes never seen are spelled out alike."""
+    seen = bytes(range(1, 201))
+    m = langid.Model({"a": [seen * 3], "b": [seen]}, order=1)
+    assert m.size == 201 and len(set(m.code.tolist())) == 201
+    plain = langid.Model({"a": [b"ab"], "b": [b"bc"]}, order=1)
+    one, two = plain.code_lengths(b"a"), plain.code_lengths(b"a\xff")
+    assert (two - one > np.log2(253)).all()
+
+
+def test_samples_of_repeated_and_null_ids(spark):
+    """Rows that share an id, or have none, are sampled like others; a value that
+    one text fills is not lost; no number of values is an error."""
+    rows = [(None, f"text {i}", "en") for i in range(3000)] + [(7, f"texte {i}", "fr") for i in range(3000)] + [(9, "same", "de")] * 3000 + [(i, f"t{i}", f"x{i}") for i in range(250)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = Counter(r.lang for r in langid.bounded_sample(df, "lang", 20, F.struct("doc_id", "text")).collect())
+    assert got["en"] == got["fr"] == 20 and got["de"] == 1 and len(got) == 253
+    model = langid.fit(df.where("lang in ('en', 'fr')"), 20)
+    assert model.languages == ["en", "fr"] and langid.fit(df.limit(0)) is None
+
+
 # ---- 7 toxicity -------------------------------------------------------------
 
 
+def naive_hits(weights, exceptions, folded):
+    """Weight by place, by looking at every place of a folded text."""
+    spared = [range(i, i + len(p) + 1) for p in exceptions for i in range(len(folded)) if folded.startswith(f" {p} ", i)]
+    best = {}
+    for i in range(len(folded)):
+        fits = [w for s, w in weights.items() if folded.startswith(f" {s}", i)]
+        if fits and not any(i in r for r in spared):
+            best[i] = max(fits)
+    return best
+
+
+def test_hits_against_every_place():
+    rng = np.random.default_rng(12)
+    words = ["a", "ab", "aba", "b", "ba", "bab", "no", "noa"]
+    for _ in range(300):
+        weights = {w: float(rng.integers(1, 9)) for w in rng.choice(words, 3, replace=False)}
+        exceptions = [" ".join(rng.choice(words, 2)) for _ in range(2)]
+        folded = " " + " ".join(rng.choice(words, int(rng.integers(0, 14)))) + " "
+        assert toxicity.Lexicon.hits(toxicity.Lexicon(weights, exceptions).automaton(), folded) == naive_hits(weights, exceptions, folded)
+
+
+def test_long_texts_and_signs():
+    import time
+
+    lex = toxicity.Lexicon({"idiot": 2.0, "ass": 2.0}, ["no idiot"], (-3.0, 2.0, 1.0))
+    a, table = lex.automaton(), toxicity._Fold()
+    assert lex.score(a, toxicity.fold("no idiot!", table)) < 0.3 < 0.7 < lex.score(a, toxicity.fold("a$$hole! 1d!ot", table))
+    began = time.perf_counter()
+    for text in ("no idiot! " * 1_000_000, "!1" * 2_000_000, "idiot " * 1_000_000):
+        lex.score(a, toxicity.fold(text, table))
+    assert time.perf_counter() - began < 60
+    # Clean words around a hit lower the score however long the text gets.
+    scores = [lex.score(a, toxicity.fold("an idiot " + "fine words here " * n, table)) for n in (1, 10, 100, 1000)]
+    assert scores == sorted(scores, reverse=True)
+
+
+# ---- 7 toxicity, learned ----------------------------------------------------
+
+
 def test_folding_and_exceptions():
     lex = toxicity.Lexicon({"idiot": 2.0, "idiotic": 3.0}, ["no idiot"], (-3.0, 2.0, 1.0))
     a, table = lex.automaton(), {}
@@ -517,18 +719,64 @@ def test_url_rules_and_list(spark):
 
 def test_bloom_has_no_false_negatives(spark):
     keys = spark.range(3000).select(F.concat(F.lit("h/"), F.col("id").cast("string")).alias("key"))
-    f = url_filter.bloom(keys)
-    hit = keys.withColumn("block", url_filter._block(F.col("key"))).join(f, "block").where(F.col("word").bitwiseAND(url_filter._mask(F.col("key"))) == url_filter._mask(F.col("key")))
+    blocks = url_filter.blocks_for(3000)
+    f = url_filter.bloom(keys, blocks)
+    hit = keys.withColumn("block", url_filter._block(F.col("key"), blocks)).join(f, "block").where(F.col("word").bitwiseAND(url_filter._mask(F.col("key"))) == url_filter._mask(F.col("key")))
     assert hit.count() == 3000
+    # Sized by the list, whatever its length: few bits of a block are set.
+    assert f.agg(F.avg(F.bit_count("word"))).head()[0] < 24
+    assert [url_filter.blocks_for(n) for n in (0, 4096, 4097, 10**7)] == [1 << 10, 1 << 10, 1 << 11, 1 << 22]
+
+
+def test_a_filter_too_large_to_broadcast(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"http://h{i % 50}.net/p{i % 7}") for i in range(400)] + [(400, None), (401, "http://x.com/de/")], "page_id long, url string")
+    listed = spark.createDataFrame([(f"h{i}.net/p{i % 7}",) for i in range(0, 50, 3)], "key string")
+    want = Counter(map(tuple, url_filter.judge_urls(df, listed).collect()))
+    monkeypatch.setattr(url_filter, "BROADCAST_BLOCKS", 0)
+    assert Counter(map(tuple, url_filter.judge_urls(df, listed).collect())) == want
 
 
 # ---- 10 mixing --------------------------------------------------------------
 
 
-def test_targets():
-    assert mixing.targets([10, 10], [3, 1], 30) == [20.0, 10.0]
-    assert mixing.targets([100, 100, 100], [3, 1, 2], 450) == [200.0, 250 / 3, 500 / 3]
-    assert mixing.targets([], [], 0) == [] and mixing.targets([0, 5], [1, 1], 7.5) == [0.0, 7.5]
+def brute_targets(sizes, weights, budget, most=2):
+    """Shares by weight; a source above its limit is full and leaves the rest."""
+    out, open_, left = [0.0] * len(sizes), set(range(len(sizes))), budget
+    while open_:
+        total = sum(weights[i] for i in open_)
+        full = {i for i in open_ if left * weights[i] / total >= most * sizes[i]}
+        for i in full or open_:
+            out[i] = float(most * sizes[i]) if full else left * weights[i] / total
+        left -= sum(out[i] for i in full)
+        open_ = open_ - full if full else set()
+    return out
+
+
+@pytest.mark.parametrize("sizes,weights,share", [([10, 10], [3, 1], 1.5), ([100, 100, 100], [3, 1, 2], 1.5), ([0, 5], [1, 1], 1.5), ([1, 2, 900, 4, 70], [3, 1, 2], 1.5), ([5, 5], [1, 9], 2.0)])
+def test_targets(spark, sizes, weights, share):
+    names = ["a", "b", "\u00e9", "\U0001f600", None][: len(sizes)] if len(sizes) > 2 else ["Z", "a"]
+    df = spark.createDataFrame([(n, s, 1) for n, s in zip(names, sizes)], "source string, size long, h long")
+    got = {r.source: r.target for r in mixing.source_table(df, weights, share).collect()}
+    want = brute_targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], share * sum(sizes))
+    assert [got[n] for n in names] == pytest.approx(want)
+    assert mixing.source_table(df.limit(0)).count() == 0
+
+
+def test_mix_of_many_sources(spark):
+    """As many sources as documents allow; each near its target."""
+    rng = np.random.default_rng(15)
+    rows = [(i, "w " * int(rng.integers(1, 9)), f"s{int(rng.integers(0, 1500)):04d}") for i in range(6000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)).collect()
+    size, taken, target = Counter(), Counter(), {}
+    for r in got:
+        s = rows[r.doc_id][2]
+        size[s] += r.size
+        taken[s] += r.taken
+        target[s] = r.target
+        assert r.taken in (0, r.size, 2 * r.size)
+    names = sorted(size)
+    assert [target[s] for s in names] == pytest.approx(brute_targets([size[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))], 1.5 * sum(size.values())))
+    assert all(abs(taken[s] - target[s]) <= 8 for s in names)
 
 
 def test_mix(spark):
@@ -544,7 +792,7 @@ def test_mix(spark):
         taken[source[r.doc_id]] += r.taken
         assert r.size == rows[r.doc_id][1].count("w") and r.taken <= 2 * r.size
     order = ["a", "b", "é", None]
-    want = mixing.targets([size[s] for s in order], [3, 1, 2, 3], 1.5 * sum(size.values()))
+    want = brute_targets([size[s] for s in order], [3, 1, 2, 3], 1.5 * sum(size.values()))
     for s, t in zip(order, want):
         assert abs(taken[s] - t) <= 60
     assert mixing.mixed(df).columns == df.columns
