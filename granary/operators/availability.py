@@ -15,6 +15,12 @@ def core_status(recipes: DataFrame, ingredients: DataFrame, stock: DataFrame, ca
     A core item is there if stock holds one serving; an unknown id is missing;
     repeats in core count each; a recipe with no core is left out."""
     core = recipes.select("id", *carry, F.posexplode("core").alias("pos", "ing_id"))
+    return core_rows_status(core, ingredients, stock, carry)
+
+
+def core_rows_status(core: DataFrame, ingredients: DataFrame, stock: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """:func:`core_status` of core items that are rows (id, pos, ing_id) already,
+    so they are not grouped into lists first."""
     have = ingredients.select(F.col("id").alias("ing_id"), "default").join(stock.select("ing_id", "qty"), "ing_id", "left")
     have = have.select("ing_id", (F.coalesce("qty", F.lit(0.0)) >= F.col("default")).alias("ok"))
     seen = core.join(have, "ing_id", "left").withColumn("ok", F.coalesce("ok", F.lit(False)))

@@ -115,7 +115,7 @@ _MISS = "m AS (SELECT DISTINCT s.*, l_partkey AS ing_id FROM s JOIN lineitem ON
 
 def _status(spark, d) -> DataFrame:
     servings = analog.ingredients(spark, d).withColumn("default", F.lit(25.0))
-    return availability.core_status(analog.recipes(spark, d), servings, analog.stock_by_size(spark, d))
+    return availability.core_rows_status(analog.core_rows(spark, d), servings, analog.stock_by_size(spark, d))
 
 
 @query(f"WITH {_STATUS} SELECT id, core_size, n_missing, n_missing = 0 AS makeable FROM s")

@@ -42,6 +42,11 @@ def recipes(spark, d) -> DataFrame:
     return table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(*lists.values())
 
 
+def core_rows(spark, d) -> DataFrame:
+    """The recipes' core items, a row each."""
+    return table(spark, d, "lineitem").where("l_linenumber <= 3").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("pos"), F.col("l_partkey").alias("ing_id"))
+
+
 def pins(spark, d) -> DataFrame:
     k = F.col("o_orderkey")
     return table(spark, d, "orders").where(k % 97 == 0).select(k.alias("recipe_id"), (1.0 + k % 3).alias("perweek"))
