@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm import mixing, packing, simhash, suffix_dedup, toxicity
-from granary.llm.common import written
+from granary.llm.common import scratch, written
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,5 +54,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch() as keep:
+            docs = keep(written(stage(spark, docs, sf_dir), name))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,10 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Folders written so far, by the scratch they are of; the first is the session's.
+_made: list[list[tuple[SparkSession, str]]] = [[]]
+
+
 def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -37,17 +43,55 @@ def written(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/granary-{name}-{uuid.uuid4().hex}"
+    _made[-1].append((spark, path))
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def dropped(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`written`."""
-    spark = df.sparkSession
-    jvm = spark._jvm
-    for f in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(df.sparkSession, df._written)
+    for made in _made:
+        made[:] = [x for x in made if x[1] != df._written]
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside are deleted at the end, but for those given to the
+    function that this yields, which a lazy result still reads."""
+    kept: set[str] = set()
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.add(df._written)
+        return df
+
+    _made.append([])
+    try:
+        yield keep
+    finally:
+        for spark, path in _made.pop():
+            if path in kept:
+                _made[-1].append((spark, path))
+            else:
+                _delete(spark, path)
+
+
+@atexit.register
+def _clean() -> None:
+    """What lazy results may have read goes when Python ends."""
+    for made in _made:
+        for spark, path in made:
+            try:
+                _delete(spark, path)
+            except Exception:  # the JVM is gone
+                return
 
 
 def words(text: Column) -> Column:
@@ -80,7 +124,7 @@ def _release() -> None:
     pa.default_memory_pool().release_unused()
     try:
         libc = ctypes.CDLL(None)
-        libc.mallopt(-3, 1 << 20)  # arrays of a megabyte or more are mapped, so they go when they are freed
+        libc.mallopt(-3, 1 << 24)  # arrays of 16 MB or more are mapped, so they go when they are freed
         libc.malloc_trim(0)
     except (OSError, AttributeError):  # another C library
         pass

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from granary.functions.ranges import range_of
-from granary.llm.common import n_words, written
+from granary.llm.common import n_words, scratch, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -111,16 +111,20 @@ def _copies(h):
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     """doc_id, size, source_size, target, taken for every document."""
-    sized = _sized(docs)
-    out = sized.join(written(thresholds(sized, weights, share), "cuts"), F.col("source").eqNullSafe(F.col("src")))
+    with scratch() as keep:
+        sized = keep(_sized(docs))
+        cuts = keep(written(thresholds(sized, weights, share), "cuts"))
+    out = sized.join(cuts, F.col("source").eqNullSafe(F.col("src")))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * _copies(F.col("h"))).alias("taken"))
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` that the mix takes, each as often as it is taken."""
-    table = thresholds(_sized(docs), weights, share).toDF("_src", "_size", "_target", "whole", "cut").select("_src", "whole", "cut")
+    with scratch() as keep:
+        table = thresholds(_sized(docs), weights, share).toDF("_src", "_size", "_target", "whole", "cut")
+        table = keep(written(table.select("_src", "whole", "cut"), "cuts"))
     row = docs.select(F.col("source").alias("_source"), _hash(F.col("doc_id"), F.col("text")).alias("_h"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"))
-    out = row.join(written(table, "cuts"), F.col("_source").eqNullSafe(F.col("_src")))
+    out = row.join(table, F.col("_source").eqNullSafe(F.col("_src")))
     out = out.select("_row", _copies(F.col("_h")).cast("int").alias("_n")).where("_n > 0")
     return out.select("_row", F.explode(F.array_repeat(F.lit(1), F.col("_n")))).select("_row.*")
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import lean, written
+from granary.llm.common import dropped, lean, written
 
 TOKENIZER = "byte_bpe_50k.json"
 LENGTH = 1024
@@ -184,7 +184,10 @@ def pack(table: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFram
 
 
 def pack_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
-    return pack(written(pieces(docs, path), "pieces"))
+    table = written(pieces(docs, path), "pieces")
+    packed = pack(table)
+    dropped(table)
+    return packed
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

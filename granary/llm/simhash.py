@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.batches import PLACE_BITS, at_batches, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
 from granary.llm.batches import stored as store_texts
-from granary.llm.common import dropped, lean, partitions, tidy, written
+from granary.llm.common import dropped, lean, partitions, scratch, tidy, written
 from granary.llm.components import components
 
 WORDS = 4
@@ -258,12 +258,13 @@ def links(fps: DataFrame, radius: int = RADIUS, parts: int = PARTS, tree: int =
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, parts: int = PARTS) -> DataFrame:
     """doc_id, fp and component_id (smallest doc_id of the component)."""
-    rows = written(fingerprints(docs.select("doc_id", "text"), words), "fps")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp")
-    roots = components(links(distinct.select("fp"), radius, parts))
-    of = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = of.groupBy("root").agg(F.min("least").alias("component_id"))
-    table = of.join(least, "root").select(F.col("fp").alias("of"), "component_id")
+    with scratch() as keep:
+        rows = keep(written(fingerprints(docs.select("doc_id", "text"), words), "fps"))
+        distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp")
+        roots = components(links(distinct.select("fp"), radius, parts))
+        of = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+        least = of.groupBy("root").agg(F.min("least").alias("component_id"))
+        table = keep(written(of.join(least, "root").select(F.col("fp").alias("of"), "component_id"), "ids"))
     return rows.join(table, F.col("fp") == F.col("of")).select("doc_id", "fp", "component_id")
 
 
@@ -681,55 +682,57 @@ def deduplicated(docs: DataFrame, words: int = 5, radius: int = RADIUS, similari
     null = "_no_text"
     while null in docs.columns:
         null += "_"
-    stored = store_texts(docs.withColumn(null, F.col("text").isNull()), [*rest, null], BATCH, 3)
-    total = stored.agg(F.sum(F.octet_length("texts")).alias("n")).head().n or 0
-    # Texts take about a quarter of their bytes where they are stored.
-    buckets = max(partitions(spark), 4 * total // BUCKET)
-    message = "bucket int, batch long, data binary, more binary"
-    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(lean(_ask(words, buckets)), message), buckets).mapInArrow(lean(_answer), "batch long, bucket int, data binary"), "often", "uncompressed")
-    tidy(spark)
-    answers = at_batches(told, buckets).groupBy("batch").agg(F.collect_list(F.struct("bucket", "data")).alias("answers"))
-    marks = written(at_batches(stored.select("batch", "docs", "texts"), buckets).join(answers, "batch", "left").mapInArrow(lean(_mark(words, buckets, similarity)), MARKS), "marks", "uncompressed")
-    dropped(told)
-    tidy(spark)
-    # Rows with one set of shingles are one node, by 128-bit digest.
-    first = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
-    full = F.when(F.col("size").isNotNull(), F.col("rid"))
-    classes = written(marks.groupBy("digest").agg(F.min(first).alias("first"), F.min(full).alias("node"), F.count(F.lit(1)).alias("rows")), "classes")
-    texts = marks.where("size IS NOT NULL").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
-    sets = texts.select("node", "hashes")
-    band = texts.select("node", "size", F.explode(F.arrays_zip("keys", "ranks")).alias("k"))
-    band = written(band.select("node", "size", F.col("k.keys").alias("key"), (F.col("size") - F.col("k.ranks")).cast("int").alias("left")), "band")
-    # Candidates by fingerprint: distinct ones within the radius, and equal ones.
-    prints = texts.select("node", "fp", "size")
-    by_fp = written(prints.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("of")).select("fp", "of.*"), "fp")
-    near = links(by_fp.select("fp"), radius)
-    u, v = (by_fp.toDF(f, x, n) for f, x, n in (("a", "u", "n1"), ("b", "v", "n2")))
-    pairs = near.join(u, "a").join(v, "b").select("u", "n1", "v", "n2")
-    pairs = pairs.unionByName(prints.toDF("u", "a", "n1").join(v.withColumnRenamed("b", "a"), "a").select("u", "n1", "v", "n2"))
-    pairs = pairs.withColumn("left", F.least("n1", "n2"))
-    # Candidates by key: each text with the key's first.
-    head = band.groupBy("key").agg(F.min(F.struct("node", "size", "left")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    with_head = band.join(head, "key").select(F.col("node").alias("u"), F.col("size").alias("n1"), F.col("h.node").alias("v"), F.col("h.size").alias("n2"), F.least("left", "h.left").alias("left"))
-    least = F.ceil((F.col("n1") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-6)
-    pairs = pairs.unionByName(with_head).where((F.col("u") != F.col("v")) & (F.col("left") >= least))
-    pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-    @F.pandas_udf("boolean")
-    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
-        both = ((x, y) for x, y in zip(_hash_sets(a), _hash_sets(b)))
-        return pd.Series([bool(reaches(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y), similarity)) for x, y in both])
-
-    found = pairs.join(sets.toDF("u", "s1"), "u").join(sets.toDF("v", "s2"), "v").where(alike("s1", "s2")).select(F.col("u").alias("a"), F.col("v").alias("b"))
-    roots = components(found)
-    new = _meetings(band, roots, sets, similarity)
-    roots = components(new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    # Of each group of more than one row, all but the first go.
-    of = classes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
-    stay = of.groupBy("root").agg(F.min("first").alias("stay"))
-    stay = of.join(stay, "root").select("digest", F.col("stay.rid").alias("stay"))
-    gone = marks.select("rid", "digest").join(stay, "digest").where("rid <> stay")
-    gone = at_batches(gone.withColumn("batch", F.shiftright("rid", PLACE_BITS)), buckets).groupBy("batch").agg(F.collect_list((F.col("rid") % (1 << PLACE_BITS)).cast("int")).alias("gone"))
+    with scratch() as keep:
+        stored = keep(store_texts(docs.withColumn(null, F.col("text").isNull()), [*rest, null], BATCH, 3))
+        total = stored.agg(F.sum(F.octet_length("texts")).alias("n")).head().n or 0
+        # Texts take about a quarter of their bytes where they are stored.
+        buckets = max(partitions(spark), 4 * total // BUCKET)
+        message = "bucket int, batch long, data binary, more binary"
+        told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(lean(_ask(words, buckets)), message), buckets).mapInArrow(lean(_answer), "batch long, bucket int, data binary"), "often", "uncompressed")
+        tidy(spark)
+        answers = at_batches(told, buckets).groupBy("batch").agg(F.collect_list(F.struct("bucket", "data")).alias("answers"))
+        marks = written(at_batches(stored.select("batch", "docs", "texts"), buckets).join(answers, "batch", "left").mapInArrow(lean(_mark(words, buckets, similarity)), MARKS), "marks", "uncompressed")
+        dropped(told)
+        tidy(spark)
+        # Rows with one set of shingles are one node, by 128-bit digest.
+        first = F.struct(F.col("id").isNull().alias("late"), "id", "rid")
+        full = F.when(F.col("size").isNotNull(), F.col("rid"))
+        classes = written(marks.groupBy("digest").agg(F.min(first).alias("first"), F.min(full).alias("node"), F.count(F.lit(1)).alias("rows")), "classes")
+        texts = marks.where("size IS NOT NULL").join(classes.select(F.col("node").alias("rid")), "rid", "left_semi").withColumnRenamed("rid", "node")
+        sets = texts.select("node", "hashes")
+        band = texts.select("node", "size", F.explode(F.arrays_zip("keys", "ranks")).alias("k"))
+        band = written(band.select("node", "size", F.col("k.keys").alias("key"), (F.col("size") - F.col("k.ranks")).cast("int").alias("left")), "band")
+        # Candidates by fingerprint: distinct ones within the radius, and equal ones.
+        prints = texts.select("node", "fp", "size")
+        by_fp = written(prints.groupBy("fp").agg(F.min(F.struct("node", "size")).alias("of")).select("fp", "of.*"), "fp")
+        near = links(by_fp.select("fp"), radius)
+        u, v = (by_fp.toDF(f, x, n) for f, x, n in (("a", "u", "n1"), ("b", "v", "n2")))
+        pairs = near.join(u, "a").join(v, "b").select("u", "n1", "v", "n2")
+        pairs = pairs.unionByName(prints.toDF("u", "a", "n1").join(v.withColumnRenamed("b", "a"), "a").select("u", "n1", "v", "n2"))
+        pairs = pairs.withColumn("left", F.least("n1", "n2"))
+        # Candidates by key: each text with the key's first.
+        head = band.groupBy("key").agg(F.min(F.struct("node", "size", "left")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        with_head = band.join(head, "key").select(F.col("node").alias("u"), F.col("size").alias("n1"), F.col("h.node").alias("v"), F.col("h.size").alias("n2"), F.least("left", "h.left").alias("left"))
+        least = F.ceil((F.col("n1") + F.col("n2")) * (similarity / (1 + similarity)) - 1e-6)
+        pairs = pairs.unionByName(with_head).where((F.col("u") != F.col("v")) & (F.col("left") >= least))
+        pairs = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+        @F.pandas_udf("boolean")
+        def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+            both = ((x, y) for x, y in zip(_hash_sets(a), _hash_sets(b)))
+            return pd.Series([bool(reaches(len(np.intersect1d(x, y, assume_unique=True)), len(x) + len(y), similarity)) for x, y in both])
+
+        found = pairs.join(sets.toDF("u", "s1"), "u").join(sets.toDF("v", "s2"), "v").where(alike("s1", "s2")).select(F.col("u").alias("a"), F.col("v").alias("b"))
+        roots = components(found)
+        new = _meetings(band, roots, sets, similarity)
+        roots = components(new.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        # Of each group of more than one row, all but the first go.
+        of = classes.join(roots, "node", "left").select("digest", "first", F.coalesce("root", "node").alias("root"))
+        stay = of.groupBy("root").agg(F.min("first").alias("stay"))
+        stay = of.join(stay, "root").select("digest", F.col("stay.rid").alias("stay"))
+        gone = marks.select("rid", "digest").join(stay, "digest").where("rid <> stay")
+        gone = at_batches(gone.withColumn("batch", F.shiftright("rid", PLACE_BITS)), buckets).groupBy("batch").agg(F.collect_list((F.col("rid") % (1 << PLACE_BITS)).cast("int")).alias("gone"))
+        gone = keep(written(gone, "gone"))
     last = at_batches(stored, buckets).join(gone, "batch", "left").select("docs", "texts", "rest", "gone")
     return last.mapInArrow(lean(_kept_rows(at, len(docs.columns))), docs.schema)
 

@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.batches import stored as store_texts
 from granary.llm.batches import NULL, at_batches, by_bucket, opened, pack, record, rest_columns, squeeze, to_buckets, unpack, unsqueeze
-from granary.llm.common import dropped, lean, partitions, tidy, written
+from granary.llm.common import dropped, lean, partitions, scratch, tidy, written
 
 LEAST = 50
 GRAM = 16
@@ -581,18 +581,19 @@ def cleaned(docs: DataFrame) -> DataFrame:
 def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
     """Each stored batch with the spans found for it."""
     spark = docs.sparkSession
-    stored = store_texts(docs, rest, BATCH)
-    # A bucket has the segments of at most some 64 batches' worth of text.
-    buckets = max(partitions(spark), stored.count() // 64)
-    message = "bucket int, kind int, batch long, data binary, more binary"
-    # No name holds the shuffled frames, so their files go once they are written.
-    told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(lean(_ask(buckets)), message), buckets).mapInArrow(lean(_answer), "batch long, kind int, data binary"), "keys", "uncompressed")
-    tidy(spark)
-    answers = at_batches(told, buckets).groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
-    found = written(to_buckets(at_batches(stored, buckets).join(answers, "batch", "left").select("batch", "docs", "texts", "answers").mapInArrow(lean(_segments(buckets)), message), buckets).mapInArrow(lean(_search), "batch long, kind int, data binary, more binary"), "spans", "uncompressed")
-    del answers
-    dropped(told)
-    tidy(spark)
+    with scratch() as keep:
+        stored = keep(store_texts(docs, rest, BATCH))
+        # A bucket has the segments of at most some 64 batches' worth of text.
+        buckets = max(partitions(spark), stored.count() // 64)
+        message = "bucket int, kind int, batch long, data binary, more binary"
+        # No name holds the shuffled frames, so their files go once they are written.
+        told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(lean(_ask(buckets)), message), buckets).mapInArrow(lean(_answer), "batch long, kind int, data binary"), "keys", "uncompressed")
+        tidy(spark)
+        answers = at_batches(told, buckets).groupBy("batch").agg(F.collect_list(F.struct("kind", "data")).alias("answers"))
+        found = keep(written(to_buckets(at_batches(stored, buckets).join(answers, "batch", "left").select("batch", "docs", "texts", "answers").mapInArrow(lean(_segments(buckets)), message), buckets).mapInArrow(lean(_search), "batch long, kind int, data binary, more binary"), "spans", "uncompressed"))
+        del answers
+        dropped(told)
+        tidy(spark)
     where = at_batches(found.where("kind = 1"), buckets).select("batch", F.col("data").alias("at"), F.col("more").alias("gone"))
     found = at_batches(found.where("kind = 0"), buckets).groupBy("batch").agg(F.collect_list("data").alias("found"))
     last = at_batches(stored, buckets).join(where, "batch").join(found, "batch", "left")
