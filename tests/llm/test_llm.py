@@ -73,6 +73,72 @@ def test_pipeline_on_hard_and_empty_tables(spark, docs, empty, tmp_path):
         assert (held.count() > 0) == (i == 0)
 
 
+@needs_data
+def test_pipeline_against_brute_force(spark):
+    """Every stage of a whole run, on what the stage before it kept."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    held = [spark.read.parquet(f"{DATA}/documents.parquet")]
+    for _, stage in corpus_pipeline.STAGES:
+        held.append(spark.createDataFrame(stage(spark, held[-1], DATA).collect(), stage(spark, held[-1], DATA).schema))
+    start, clean, single, cut, mixed, packed = (h.collect() for h in held)
+    flagged = {r.doc_id for r in toxicity.query(spark, DATA).collect() if r.predicted}
+    assert flagged and {r.doc_id for r in clean} == {r.doc_id for r in start} - flagged
+    clean.sort(key=lambda r: r.doc_id)
+    sets = [word_shingles(r.text) for r in clean]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert pairs and {r.doc_id for r in single} == {clean[i].doc_id for i in roots(len(clean), pairs)}
+    left = {r[0]: r[1] - r[2] for r in brute_removed([(r.doc_id, (r.text or "").encode()) for r in single])}
+    got = {r.doc_id: len(r.text.encode()) for r in cut}
+    # Bytes of characters that are cut apart go, too: at most three at either side.
+    assert got.keys() == left.keys() and all(0 <= left[i] - n <= 6 * (left[i] != len(next(r.text for r in single if r.doc_id == i).encode())) * 50 for i, n in got.items())
+    words = {r.doc_id: (r.source, len(re.findall(r"[^\x20\x09-\x0D]+", r.text))) for r in cut}
+    times, size, taken = Counter(r.doc_id for r in mixed), Counter(), Counter()
+    for i, (source, n) in words.items():
+        size[source] += n
+        taken[source] += n * times[i]
+    assert max(times.values()) <= 2 and {r.doc_id: r.text for r in mixed}.items() <= {r.doc_id: r.text for r in cut}.items()
+    order = sorted(size, key=lambda x: (x is None, x or ""))
+    want = brute_targets([size[x] for x in order], [(3, 1, 2)[i % 3] for i in range(len(order))], 1.5 * sum(size.values()))
+    assert all(abs(taken[x] - t) <= max(n for _, n in words.values()) for x, t in zip(order, want))
+    tk = Tokenizer.from_file(packing.tokenizer_path())
+    ids = {r.doc_id: len(tk.encode(r.text, add_special_tokens=False).ids) + 1 for r in cut}
+    assert sum(r.length for r in packed) == sum(ids[i] * n for i, n in times.items())
+    whole_sequences(packed)
+
+
+def whole_sequences(rows):
+    """Offsets are gapless from 0 and no sequence is above 1,024; returns how many there are."""
+    by = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in by.values():
+        upto = 0
+        for offset, length in sorted(places):
+            assert offset == upto and length > 0
+            upto += length
+        assert upto <= 1024
+    return len(by)
+
+
+def test_scratch_tables_go(spark, docs):
+    from granary.llm import common
+
+    def names():
+        return {x.split("-")[1] for x in os.listdir(common.shared_dir(spark).removeprefix("file:")) if x.startswith("granary-")}
+
+    folder = common.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    out = simhash.deduplicated(docs)
+    assert {x.split("-")[1] for x in set(os.listdir(folder)) - before} == {"texts", "gone"} and out.count() > 0
+    before = set(os.listdir(folder))
+    with pytest.raises(ZeroDivisionError), common.scratch():
+        common.written(spark.range(3), "x")
+        1 / 0
+    assert set(os.listdir(folder)) == before and names()
+
+
 # ---- 1 simhash --------------------------------------------------------------
 
 
@@ -428,6 +494,36 @@ def test_ids_equal_the_other_encoder(spark, docs):
         assert packing.encoder(packing.tokenizer_path()).encode(text, allowed_special="all") == tk.encode(text, add_special_tokens=False).ids
 
 
+@needs_data
+def test_packing_of_a_whole_table(spark):
+    """Every piece once, ids as the other library has them, few sequences."""
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(packing.tokenizer_path())
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    want = Counter()
+    for r in docs.collect():
+        ids = np.array([*tk.encode(r.text or "", add_special_tokens=False).ids, 2], "<u4")
+        first = len(ids) % 1024 or 1024
+        cuts = [0, *range(first, len(ids) + 1, 1024)] if len(ids) > 1024 else [0, len(ids)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            want[r.doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())] += 1
+    got = packing.query(spark, DATA).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == want
+    assert whole_sequences(got) <= 1.02 * sum(r.length for r in got) / 1024 + 2
+
+
+def test_packing_of_rows_alike(spark):
+    """Rows alike in all columns are dealt out over the groups and packed all."""
+    from granary.llm.common import written
+
+    table = written(spark.range(6000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(0).alias("piece"), F.lit(0).cast("long").alias("start"), F.lit(300).cast("long").alias("length"), F.lit(5).cast("long").alias("ids_crc32")), "alike")
+    got = packing.pack(table, group=500).collect()
+    # A group may end with one sequence that is not full.
+    assert len(got) == 6000 and whole_sequences(got) <= 2000 + 12
+    assert max(Counter(r.sequence_id >> 20 for r in got).values()) < 1500
+
+
 # ---- 5 top-k ----------------------------------------------------------------
 
 
