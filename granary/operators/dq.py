@@ -55,14 +55,25 @@ def dangling(df: DataFrame, ref: Column, known: DataFrame, file: str, rule: str,
     return violation(rows, F.lit(True), level, file, rule, "_k", F.col("_r"))
 
 
-def numbers(df: DataFrame, columns: list[str], file: str, negative: str, unparsed: str, key: str = "id", most: float | None = None, blank: bool = True) -> DataFrame:
-    """Text cells that are no number, or out of [0, most]."""
-    long_ = df.select(key, F.expr("stack({}, {}) as (column, cell)".format(len(columns), ", ".join(f"'{c}', `{c}`" for c in columns))))
-    cell = F.coalesce(stripped(F.col("cell")), F.lit(""))
-    bad = (cell != "") & ~F.col("cell").rlike(NUMBER) if blank else ~F.coalesce(F.col("cell").rlike(NUMBER), F.lit(False))
+def _cells(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    return df.select(key, F.expr("stack({}, {}) as (column, cell)".format(len(columns), ", ".join(f"'{c}', `{c}`" for c in columns))))
+
+
+def _no_number() -> Column:
+    """A cell that is neither blank nor a number."""
+    return (F.coalesce(stripped(F.col("cell")), F.lit("")) != "") & ~F.col("cell").rlike(NUMBER)
+
+
+def unparsed(df: DataFrame, columns: list[str], file: str, rule: str, key: str = "id") -> DataFrame:
+    """Text cells that are no number."""
+    return violation(_cells(df, columns, key), _no_number(), "E", file, rule, key, F.col("column"))
+
+
+def numbers(df: DataFrame, columns: list[str], file: str, negative: str, no_number: str, key: str = "id", most: float | None = None) -> DataFrame:
+    """Text cells that are no number, or out of [0, most]; blank is neither."""
     value = num(F.col("cell"), 0.0)
-    out_of = ~bad & ((value < 0) | (value > most) if most is not None else value < 0)
-    return violation(long_, out_of, "E", file, negative, key, F.col("column")).unionByName(violation(long_, bad, "E", file, unparsed, key, F.col("column")))
+    out_of = ~_no_number() & ((value < 0) | (value > most) if most is not None else value < 0)
+    return violation(_cells(df, columns, key), out_of, "E", file, negative, key, F.col("column")).unionByName(unparsed(df, columns, file, no_number, key))
 
 
 def unreachable(ingredients: DataFrame, gated: str = "gated") -> DataFrame:
@@ -85,7 +96,9 @@ def ingredient_rules(raw: DataFrame, numeric: list[str]) -> list[DataFrame]:
     f = "ingredients"
     kcal, p, c = (num(F.col(x)) for x in ("kcal", "protein", "carbs"))
     macro = 4 * p + 4 * c
-    impossible = (kcal > 0) & (macro > 1.12 * kcal) & (macro - kcal > 3)
+    # Without three numbers there is nothing to compare.
+    parsed = F.col("kcal").rlike(NUMBER) & F.col("protein").rlike(NUMBER) & F.col("carbs").rlike(NUMBER)
+    impossible = (kcal > 0) & (macro > 1.12 * kcal) & (macro - kcal > 3) & parsed
     flags = reduce(lambda a, b: a | b, (~F.coalesce(stripped(F.col(x)), F.lit("")).isin("0", "1", "") for x in FLAGS))
     ids = raw.select("id")
     makes = raw.select("id", F.explode(tokens(F.col("makes"))).alias("_r"))
@@ -98,7 +111,7 @@ def ingredient_rules(raw: DataFrame, numeric: list[str]) -> list[DataFrame]:
         violation(raw, blank("unit"), "E", f, "DQ6"),
         violation(raw, blank("role"), "W", f, "DQ7"),
         violation(raw, impossible, "E", f, "DQ8", detail=macro),
-        violation(raw, ~impossible & (kcal > 60) & (macro < 0.25 * kcal) & ~F.coalesce(F.col("role"), F.lit("")).isin("seed", "condiment"), "W", f, "DQ9", detail=fat),
+        violation(raw, ~impossible & parsed & (kcal > 60) & (macro < 0.25 * kcal) & ~F.coalesce(F.col("role"), F.lit("")).isin("seed", "condiment"), "W", f, "DQ9", detail=fat),
         dangling(makes, F.col("_r"), ids, f, "DQ10"),
         violation(raw, (stripped(F.col("keep")) == "1") & blank("makes"), "W", f, "DQ11"),
     ]
@@ -131,15 +144,18 @@ def form_rules(ingredients: DataFrame, forms: DataFrame) -> list[DataFrame]:
 
 def phytate_rules(phytate: DataFrame, ingredients: DataFrame) -> list[DataFrame]:
     f, out = "phytate", []
+    cells = ["phytate", "iron", "zinc", "phy_fe", "phy_zn"]
     out.append(dangling(phytate, F.col("id"), ingredients, f, "DQ26"))
-    out.append(numbers(phytate.select("id", *(F.col(c).cast("string").alias(c) for c in ("phytate", "iron", "zinc"))), ["phytate", "iron", "zinc"], f, "DQ27", "DQ27", blank=False))
+    out.append(unparsed(phytate.select("id", *(F.col(c).cast("string").alias(c) for c in cells)), cells, f, "DQ27"))
+    phytate = phytate.select("id", *(F.when(F.col(c).cast("string").rlike(NUMBER), num(F.col(c).cast("string"))).alias(c) for c in cells))
     for given, mineral, weight in (("phy_fe", "iron", IRON), ("phy_zn", "zinc", ZINC)):
         ratio = molar_ratio(F.col("phytate"), F.col(mineral), weight)
         out.append(violation(phytate, F.abs(ratio - F.col(given)) > 0.05, "E", f, "DQ28", detail=F.lit(given)))
     own = ingredients.select("id", F.col("iron").alias("_iron"), F.col("zinc").alias("_zinc"))
     j = phytate.join(own, "id")
     for m in ("iron", "zinc"):
-        out.append(violation(j, F.abs(F.col(m) - F.col(f"_{m}")) > 0.35 * F.greatest(m, f"_{m}"), "W", f, "DQ29", detail=F.lit(m)))
+        known = (F.col(m) > 0) & (F.col(f"_{m}") > 0)
+        out.append(violation(j, known & (F.abs(F.col(m) - F.col(f"_{m}")) > 0.35 * F.greatest(m, f"_{m}")), "W", f, "DQ29", detail=F.lit(m)))
     return out
 
 

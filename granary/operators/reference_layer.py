@@ -22,12 +22,16 @@ COMPONENTS = {
 }
 
 
+#: What energy and vitamin A are made of.
+_MADE_OF = ("enerc", "fatce", "retol", "cartbeq")
+
+
 def _z(c: str) -> Column:
-    return F.coalesce(F.col(c), F.lit(0.0))
+    return F.coalesce(F.col(f"_comp.{c}"), F.lit(0.0))
 
 
 def derived() -> dict[str, Column]:
-    """Nutrients of one serving of ``grams``, by expression."""
+    """Nutrients of one serving of ``grams``, by expression over ``_comp``."""
     s = F.col("grams") / 100
     out = {n: _z(c) * mul * s for n, (c, mul) in COMPONENTS.items()}
     from_energy = _z("enerc") / 4.184 * s
@@ -40,7 +44,9 @@ def derive(ingredients: DataFrame, composition: DataFrame, columns: list[str] |
     """Each ingredient with ``source`` (UNSOURCED, MISSING CODE, MATCHED) and
     ``new_<nutrient>`` columns, by one join instead of a lookup per row."""
     has = (F.coalesce(F.col("ifct_code"), F.lit("")) != "") & (F.coalesce(F.col("grams"), F.lit(0.0)) > 0)
-    comp = composition.withColumnRenamed("code", "_code")
+    # One struct, so no name of the composition table meets one of the ingredients'.
+    used = [c for c in (*(c for c, _ in COMPONENTS.values()), *_MADE_OF) if c in composition.columns]
+    comp = composition.select(F.col("code").alias("_code"), F.struct(*used).alias("_comp"))
     j = ingredients.join(comp, has & (F.col("ifct_code") == F.col("_code")), "left")
     source = F.when(~has, "UNSOURCED").when(F.col("_code").isNull(), "MISSING CODE").otherwise("MATCHED")
     new = {k: v for k, v in derived().items() if columns is None or k in columns}

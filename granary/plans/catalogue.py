@@ -7,23 +7,10 @@ from pyspark.sql import functions as F
 
 from granary.functions.parsing import half_up, pairs, run_of, tokens
 from granary.operators import availability, demand, dq, ledger, menu, merge, nutrition, plates, projections, reference_layer
+from granary.plans.registry import QUERIES, SQL, query
 from granary.sources import analog, files
 from granary.sources.schema import FLAGS
 
-QUERIES = {}
-SQL = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 # ---- demand -----------------------------------------------------------------
 
 _RATE = """
@@ -732,3 +719,9 @@ def import_local(spark, d):
     state = {"plates": p.limit(0), "plate_items": analog.items(spark, d).select("plate_id", "ing_id", "qty").limit(0), "recipes": saved.drop("amounts", "src")}
     after, counts = plates.import_local(state, incoming, analog.items(spark, d), new, F.lit(1))
     return counts.crossJoin(after["plates"].agg(F.count(F.lit(1)).alias("kept")))
+
+
+# The other modules of this folder register theirs in the same place.
+from granary.plans import changes, rules  # noqa: E402
+
+__all__ = ["QUERIES", "SQL", "changes", "rules"]

@@ -65,6 +65,7 @@ def composition(spark, d) -> DataFrame:
     return table(spark, d, "part").where(k % 4 != 3).select(
         k.cast("string").alias("code"), F.col("p_name").alias("name"), F.col("p_brand").alias("scie"), F.col("p_type").alias("grup"),
         F.when(k % 9 != 0, (k % 1500).cast("double")).alias("enerc"), (F.col("p_size") / 4.0).alias("fatce"), (null * F.col("p_size") / 8.0).alias("protcnt"), ((k % 17) / 1000.0).alias("fe"), ((k % 23) / 1e6).alias("retol"), ((k % 29) / 1e6).alias("cartbeq"),
+        (k % 31 / 3.0).alias("choavldf"), (k % 7 / 2.0).alias("fibtg"), ((k % 19) / 1000.0).alias("ca"), ((k % 11) / 1000.0).alias("vitc"), ((k % 37) / 1e6).alias("folsum"), (k % 5 / 10.0).alias("f18d3n3"), (k % 3 / 10.0).alias("f22d6n3"), ((k % 41) / 1000.0).alias("zn"), ((k % 43) / 1000.0).alias("mg"), ((k % 47) / 1000.0).alias("k"),
     )
 
 

@@ -447,12 +447,12 @@ def test_prep_and_forms(spark):
 
 
 def test_phytate_numerics_and_summary(spark):
-    ing = spark.createDataFrame([("a", 1.0, 1.0)], "id string, iron double, zinc double")
-    phy = spark.createDataFrame([("a", "x", "1", "-1", None, None)], "id string, phytate string, iron string, zinc string, phy_fe double, phy_zn double")
-    found = dq.numbers(phy.select("id", "phytate", "iron", "zinc"), ["phytate", "iron", "zinc"], "phytate", "DQ27", "DQ27", blank=False)
-    assert {(r.rule, r.detail) for r in found.collect()} == {("DQ27", "phytate"), ("DQ27", "zinc")}
+    """Blank cells are no error, nor are minerals that one side lacks compared."""
+    ing = spark.createDataFrame([("a", 1.0, 0.0)], "id string, iron double, zinc double")
+    phy = spark.createDataFrame([("a", "x", "1", "5", "", "q"), ("a", "", None, "-1", None, "1")], "id string, phytate string, iron string, zinc string, phy_fe string, phy_zn string")
+    found = dq.union(dq.phytate_rules(phy, ing))
+    assert sorted((r.rule, r.detail) for r in found.collect()) == [("DQ27", "phy_zn"), ("DQ27", "phytate")]
     assert {r.level: r.n for r in dq.summary(found).collect()} == {"E": 2}
-    assert ing.count() == 1
 
 
 def test_drift_report_and_bodies(spark):
