@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary.llm.common import lean, written
+from granary.llm.common import lean, scratch, written
 
 #: Bytes of records after which an archive is closed.
 ARCHIVE_BYTES = 4 << 20
@@ -182,72 +182,48 @@ class Reader:
             yield headers, payload
 
 
-DRAFTS = "batch long, meta binary, members binary"
 ARCHIVES = "archive string, n_records long, data binary"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
-_META = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("digest", pa.binary()), ("n", pa.int64()), ("stored", pa.int64())])
+MEMBERS = "page_id long, url string, digest binary, n long, member binary"
 
 
-def _ipc(batch: pa.RecordBatch) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema) as out:
-        out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
-
-
-def _draft(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages to batches of response records, each with what a revisit would need."""
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages as response records, with what a revisit in their place would need."""
+    for batch in batches:
+        ids, urls, texts = (batch.column(i) for i in range(3))
+        step = max(1, batch.num_rows * (1 << 20) // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):  # about a megabyte of pages at a time
+            rows = []
+            for i in range(at, min(at + step, batch.num_rows)):
+                payload = texts[i].as_buffer().to_pybytes() if texts[i].is_valid else b""
+                rows.append((hashlib.sha1(payload).digest(), len(payload), record(ids[i].as_py(), urls[i].as_py(), payload, None)))
+            digest, n, member_ = zip(*rows)
+            yield pa.RecordBatch.from_arrays([ids.slice(at, step), urls.slice(at, step), pa.array(digest, pa.binary()), pa.array(n, pa.int64()), pa.array(member_, pa.binary())], ["page_id", "url", "digest", "n", "member"])
+
+
+def _write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records to archives; those that refer to another page as revisits."""
     from pyspark import TaskContext
 
-    made, rows, members, size = TaskContext.get().partitionId() << 32, [], [], 0
+    part, chunk, size, made = TaskContext.get().partitionId(), [], 0, 0
 
     def close() -> pa.RecordBatch:
-        meta = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _META.types)], schema=_META)
-        return pa.RecordBatch.from_arrays([pa.array([made], pa.int64()), pa.array([_ipc(meta)], pa.binary()), pa.array([b"".join(members)], pa.binary())], ["batch", "meta", "members"])
+        name = f"part-{part:05d}-{made:05d}.warc.gz"
+        return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(chunk)], pa.int64()), pa.array([b"".join(chunk)], pa.binary())], ["archive", "n_records", "data"])
 
     for batch in batches:
-        ids, urls, texts = (batch.column(i) for i in range(3))
+        ids, urls, digests, sizes, members, refs = (batch.column(i) for i in range(6))
         for i in range(batch.num_rows):
-            payload = texts[i].as_buffer().to_pybytes() if texts[i].is_valid else b""
-            page_id, url = ids[i].as_py(), urls[i].as_py()
-            members.append(record(page_id, url, payload, None))
-            rows.append((page_id, url, hashlib.sha1(payload).digest(), len(payload), len(members[-1])))
-            size += len(members[-1])
+            first = refs[i].as_py()
+            chunk.append(members[i].as_py() if first is None else revisit(ids[i].as_py(), urls[i].as_py(), digests[i].as_py(), sizes[i].as_py(), first))
+            size += len(chunk[-1])
             if size >= ARCHIVE_BYTES:
                 yield close()
-                made, rows, members, size = made + 1, [], [], 0
-    if rows:
+                chunk, size, made = [], 0, made + 1
+    if chunk:
         yield close()
 
 
-def _meta(blob) -> pa.RecordBatch:
-    return pa.ipc.open_stream(blob).read_next_batch()
-
-
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pages of drafted batches: (batch, at, page_id, digest, n)."""
-    for b in batches:
-        for i in range(b.num_rows):
-            meta = _meta(b.column(1)[i].as_buffer())
-            n = meta.num_rows
-            at = pa.array(range(n), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[i].as_py()] * n, pa.int64()), at, meta.column(0), meta.column(2), meta.column(3)], ["batch", "at", "page_id", "digest", "n"])
-
-
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drafted batches to archives: the pages named in ``refs`` as revisits."""
-    for b in batches:
-        for i in range(b.num_rows):
-            batch, refs = b.column(0)[i].as_py(), {x["at"]: x["first"] for x in b.column(3)[i].as_py() or []}
-            meta, members = _meta(b.column(1)[i].as_buffer()).to_pylist(), memoryview(b.column(2)[i].as_buffer())
-            out, upto = [], 0
-            for at, page in enumerate(meta):
-                start, upto = upto, upto + page["stored"]
-                out.append(revisit(page["page_id"], page["url"], page["digest"], page["n"], refs[at]) if at in refs else members[start:upto])
-            name = f"part-{batch >> 32:05d}-{batch & (1 << 32) - 1:05d}.warc.gz"
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(meta)], pa.int64()), pa.array([b"".join(out)], pa.binary())], ["archive", "n_records", "data"])
-
-
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import io
 
@@ -275,14 +251,18 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_archives(pages: DataFrame) -> DataFrame:
     """Archive rows for (page_id, url, html); equal payloads are stored once.
 
-    Payloads are compressed where they are read and then move once, compressed
-    and by batch; only digests are grouped.  A payload that a third of all pages
-    share is summed before it moves."""
-    drafts = written(pages.select(F.col("page_id").cast("long"), "url", F.encode("html", "UTF-8").alias("html")).mapInArrow(lean(_draft), DRAFTS), "drafts", "uncompressed")
-    d = drafts.select("batch", "meta").mapInArrow(_listed, "batch long, at int, page_id long, digest binary, n long").where(F.col("n") >= LEAST_BYTES)
+    Payloads are compressed where they are read, and move once, as records.
+    A payload that a third of all pages share is summed before its digest moves,
+    and its revisits spread over the page ids."""
+    p = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.encode("html", "UTF-8").alias("html"))
+    payload = F.coalesce("html", F.lit(b""))
+    d = p.select("page_id", F.unhex(F.sha1(payload)).alias("digest"), F.length(payload).alias("n")).where(F.col("n") >= LEAST_BYTES)
     first = d.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1 and first is not null")
-    refs = d.join(first, "digest").where("page_id is null or page_id > first").groupBy("batch").agg(F.collect_list(F.struct("at", "first")).alias("refs"))
-    return drafts.join(refs, "batch", "left").select("batch", "meta", "members", "refs").mapInArrow(lean(_assemble), ARCHIVES)
+    # A repeated page_id may carry several payloads: refer by id and payload.
+    of = d.join(first, "digest").where("page_id is null or page_id > first").select(F.col("page_id").alias("copy_id"), F.col("digest").alias("copy_digest"), F.col("first").alias("refers_to")).distinct()
+    records = p.mapInArrow(lean(_members), MEMBERS)
+    hit = records["page_id"].eqNullSafe(of["copy_id"]) & (records["digest"] == of["copy_digest"])
+    return records.join(of, hit, "left").select("page_id", "url", "digest", "n", "member", "refers_to").mapInArrow(lean(_write), ARCHIVES)
 
 
 def read_archives(archives: DataFrame) -> DataFrame:
@@ -317,7 +297,9 @@ def export(archives: DataFrame, folder: str) -> list[str]:
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     # gzip members do not shrink further; the table is stored as it is.
-    return verified(read_archives(written(write_archives(pages), "warc", "uncompressed"))).drop("url")
+    with scratch() as keep:
+        records = keep(verified(read_archives(written(write_archives(pages), "warc", "uncompressed"))))
+    return records.drop("url")
 
 
 SQL = """
