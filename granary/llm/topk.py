@@ -12,8 +12,8 @@ blocks of a slice meet pairwise, a slice in its own tasks.
    every slice is below the cutoff.  A slice sends the rows at or above its
    share that could reach the cutoff with the other slices' greatest scores; at
    a tie, only those with a vec_id up to the cutoff's.
-3. What the slices sent is summed, with the share as the bound of a slice that
-   sent nothing; rows whose bound still reaches the cutoff get exact scores.
+3. The rows that any slice sent get their exact scores, pair of blocks by pair of
+   blocks; those that reach the cutoff are ranked.
 
 Scores are integers: components become floor(scale * x) and are summed exactly
 (in doubles while every sum stays below 2^53, else in 64-bit integers).  Memory:
@@ -38,16 +38,19 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import partitions, written
+from granary.llm.common import partitions, scratch, written
 
 K = 5
 NODES = 2
-#: How many times k rows a slice names in phase 1; more of them raise the cutoff.
+#: How many times k rows a slice names in phase 1, of the k best of its parts; more
+#: of them raise the cutoff.
 NAMED = 8
 ROW_BLOCK = 4096
 QUERY_BLOCK = 512
 #: Queries of a block whose scores are held at a time.
 STRIP = 64
+#: Sent rows that are scored at a time.
+ENTRIES = 1 << 15
 EVERY = 50
 SCALE = 256
 #: The cutoff of a query that has seen fewer than k rows.
@@ -56,7 +59,7 @@ _OPEN = -(1 << 62)
 
 def _blocks(name: str, size: int):
     """Rows (row, id, v) to blocks of at most ``size`` vectors of one length by
-    ascending id, a block for each slice."""
+    ascending id: one for each slice and, as slice -1, the whole vectors."""
 
     def pack(dim: int, rows: list) -> list[dict]:
         rows.sort(key=lambda r: r[:2])
@@ -64,7 +67,8 @@ def _blocks(name: str, size: int):
         m = np.array(vectors, "<i8")
         cut = np.linspace(0, dim, NODES + 1).astype(int)
         shared = {"dim": dim, f"{name}_ids": np.array(ids, "<i8").tobytes(), f"{name}_rows": np.array(places, "<i8").tobytes()}
-        return [shared | {"slice": i, f"{name}_mat": np.ascontiguousarray(m[:, x:y]).tobytes()} for i, (x, y) in enumerate(zip(cut, cut[1:]))]
+        parts = [(-1, m), *((i, m[:, x:y]) for i, (x, y) in enumerate(zip(cut, cut[1:])))]
+        return [shared | {"slice": i, f"{name}_mat": np.ascontiguousarray(x).tobytes()} for i, x in parts]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
@@ -111,40 +115,74 @@ LISTS = "query_row long, slice int, row long, id long, part long"
 
 
 def _phase1(k: int):
-    """Each query's best rows of a block, and, as row -1, its least partial score."""
+    """Each query's best rows, and, as row -1, its least partial score.
+
+    Pairs of one block of queries that follow each other give one list."""
+
+    def lists(p: _Pair, mine: int) -> pd.DataFrame:
+        out = []
+        for at, scores, own in p.strips():
+            q, r = np.nonzero(_best(np.where(own, _OPEN, scores), k) & ~own)
+            n = len(scores)
+            out.append((np.concatenate([p.query_rows[at + q], p.query_rows[at : at + n]]), np.concatenate([p.rows[r], np.full(n, -1)]), np.concatenate([p.ids[r], np.full(n, -1)]), np.concatenate([scores[q, r], scores.min(axis=1)])))
+        asks, row, ids, part = map(np.concatenate, zip(*out))
+        return pd.DataFrame({"query_row": asks, "slice": mine, "row": row, "id": ids, "part": part})
+
+    def merged(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        f = pd.concat([a, b])
+        least = f["row"] == -1
+        best = f[~least].sort_values(["query_row", "part", "id"], ascending=[True, False, True]).groupby("query_row").head(k)
+        return pd.concat([best, f[least].sort_values("part").groupby("query_row").head(1)])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, at = None, None
         for f in frames:
             for i in range(len(f)):
-                p = _Pair(f, i)
-                for at, scores, own in p.strips():
-                    low = scores.min(axis=1)
-                    take = _best(np.where(own, _OPEN, scores), k) & ~own
-                    q, r = np.nonzero(take)
-                    n = len(low)
-                    yield pd.DataFrame({
-                        "query_row": np.concatenate([p.query_rows[at + q], p.query_rows[at : at + n]]), "slice": int(f["slice"][i]), "row": np.concatenate([p.rows[r], np.full(n, -1)]),
-                        "id": np.concatenate([p.ids[r], np.full(n, -1)]), "part": np.concatenate([scores[q, r], low]),
-                    })
+                here, found = (int(f["block"][i]), int(f["slice"][i])), lists(_Pair(f, i), int(f["slice"][i]))
+                if held is not None and here != at:
+                    yield held
+                    held = None
+                held, at = (found if held is None else merged(held, found)), here
+        if held is not None:
+            yield held
 
     return run
 
 
-def _phase2() -> object:
-    """The rows of a block that its slice must send."""
+def _phase2(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The (query, row) places of a pair of blocks that a slice must send."""
+    for f in frames:
+        for i in range(len(f)):
+            p, places = _Pair(f, i), []
+            cutoff, cut_id, low, rest, others = np.frombuffer(f["bounds"][i], "<i8").reshape(5, -1)
+            for at, scores, own in p.strips():
+                s = slice(at, at + len(scores))
+                reach = scores + others[s, None]
+                # In integers: NODES times what is above the least is at least the rest.
+                send = (NODES * (scores - low[s, None]) >= rest[s, None]) & ((reach > cutoff[s, None]) | ((reach == cutoff[s, None]) & (p.ids <= cut_id[s, None])))
+                q, r = np.nonzero(send & ~own)
+                places.append((at + q).astype("<u4") << np.uint32(16) | r.astype("<u4"))
+            places = np.concatenate(places)
+            if len(places):
+                yield pd.DataFrame({"block": [f["block"][i]], "rblock": [f["rblock"][i]], "sent": [places.tobytes()]})
+
+
+def _phase3(k: int):
+    """Each query's k best of the rows that the slices sent, by exact scores."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for i in range(len(f)):
-                p, mine = _Pair(f, i), int(f["slice"][i])
-                cutoff, cut_id, low, rest, others = np.frombuffer(f["bounds"][i], "<i8").reshape(5, -1)
-                for at, scores, own in p.strips():
-                    s = slice(at, at + len(scores))
-                    reach = scores + others[s, None]
-                    # In integers: NODES times what is above the least is at least the rest.
-                    send = (NODES * (scores - low[s, None]) >= rest[s, None]) & ((reach > cutoff[s, None]) | ((reach == cutoff[s, None]) & (p.ids <= cut_id[s, None])))
-                    q, r = np.nonzero(send & ~own)
-                    yield pd.DataFrame({"query_row": p.query_rows[at + q], "slice": mine, "row": p.rows[r], "id": p.ids[r], "part": scores[q, r]})
+                p = _Pair(f, i)
+                cutoff, cut_id = np.frombuffer(f["bounds"][i], "<i8").reshape(5, -1)[:2]
+                places, found = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in f["sent"][i]])), []
+                for at in range(0, len(places), ENTRIES):
+                    q, r = places[at : at + ENTRIES] >> np.uint32(16), places[at : at + ENTRIES] & np.uint32(0xFFFF)
+                    score = np.einsum("ij,ij->i", p.b[q], p.a[r]).astype(np.int64)
+                    keep = (score > cutoff[q]) | ((score == cutoff[q]) & (p.ids[r] <= cut_id[q]))
+                    found.append(pd.DataFrame({"query_row": p.query_rows[q[keep]], "query_id": p.query_ids[q[keep]], "id": p.ids[r[keep]], "score": score[keep]}))
+                best = pd.concat(found).sort_values(["query_row", "score", "id"], ascending=[True, False, True])
+                yield best.groupby("query_row").head(k)
 
     return run
 
@@ -181,44 +219,45 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCAL
     v = F.col("embedding").cast("array<double>")
     good = F.col("vec_id").isNotNull() & (F.size(v) > 0) & ~F.coalesce(F.exists(v, bad), F.lit(True))
     rows = vectors.where(good).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("id"), F.transform(v, lambda x: F.floor(x * scale)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    # Written, so that a row's number is the same wherever it is used.
-    rows = written(rows, "vectors")
-    block = "dim int, slice int, {0}_ids binary, {0}_rows binary, {0}_mat binary".format
-    shards = partitions(spark)
-    row_blocks = rows.select("row", "id", "v").mapInPandas(_blocks("row", ROW_BLOCK), block("row"))
-    # Rows stay in ``shards`` groups; every block of queries visits each group.
-    shard = F.pmod(F.xxhash64("row_rows"), F.lit(shards)).cast("int")
-    row_blocks = written(row_blocks.withColumn("shard", shard), "rows")
-    asking = rows.where("asks")
-    query_blocks = asking.select("row", "id", "v").mapInPandas(_blocks("query", QUERY_BLOCK), block("query"))
-    query_blocks = written(query_blocks.withColumn("block", F.xxhash64("query_rows")), "queries")
-    all_shards = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
-    meet = ["dim", "slice", "shard"]
-    # Phase 1.  Spark keeps so many rows of each query and slice before it shuffles them.
-    lists = written(row_blocks.join(query_blocks.select("*", all_shards), meet).mapInPandas(_phase1(NAMED * k), LISTS), "lists")
-    local = Window.partitionBy("query_row", "slice").orderBy(F.desc("part"), "id")
-    lists_top = lists.where("row >= 0").withColumn("r", F.row_number().over(local)).where(F.col("r") <= NAMED * k)
-    seen = _exact(lists_top.select("query_row", "row", "id").distinct(), rows)
-    cut = _top(seen, "query_row", k).where(F.col("rank") == k).select(F.col("query_row").alias("cq"), F.col("score").alias("cutoff"), F.col("id").alias("cut_id"))
-    span = lists.groupBy("query_row", "slice").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    every = span.groupBy("query_row").agg(F.sum("low").alias("lows"), F.sum("high").alias("highs")).withColumnRenamed("query_row", "sq")
-    # Where fewer than k rows were seen, nothing is safe to leave out.
-    bounds = span.join(every, F.col("query_row") == F.col("sq")).join(cut, F.col("query_row") == F.col("cq"), "left")
-    cutoff = F.coalesce("cutoff", F.lit(_OPEN))
-    bounds = bounds.select("query_row", "slice", "low", cutoff.alias("cutoff"), F.coalesce("cut_id", F.lit((1 << 63) - 1)).alias("cut_id"), F.when(F.col("cutoff").isNull(), F.lit(_OPEN)).otherwise(F.col("cutoff") - F.col("lows")).alias("rest"), (F.col("highs") - F.col("high")).alias("others"))
-    bounds = written(bounds, "bounds")
-    asked = query_blocks.where("slice = 0").select("block", "query_rows").mapInPandas(_unpacked, "block long, at int, query_row long")
-    packed = asked.join(bounds, "query_row").groupBy("block", "slice").agg(F.sort_array(F.collect_list(F.struct("at", "cutoff", "cut_id", "low", "rest", "others"))).alias("c"))
-    armed = query_blocks.join(packed.mapInPandas(_bounds, "block long, slice int, bounds binary"), ["block", "slice"])
-    # Phase 2.
-    sent = row_blocks.join(armed.select("*", all_shards), meet).mapInPandas(_phase2(), LISTS)
-    # Phase 3.  A slice that sent nothing holds less than its share.
-    sums = sent.groupBy("query_row", "row", "id").agg(F.sum("part").alias("part"), F.collect_list("slice").alias("slices"))
-    share = bounds.groupBy(F.col("query_row").alias("bq")).agg(F.max("cutoff").alias("cutoff"), F.map_from_entries(F.collect_list(F.struct("slice", F.col("low") + F.expr(f"rest div {NODES}") + 1))).alias("shares"))
-    silent = F.aggregate(F.array_except(F.map_keys("shares"), "slices"), F.lit(0).cast("long"), lambda a, x: a + F.element_at("shares", x))
-    kept = sums.join(share, F.col("query_row") == F.col("bq")).where((F.col("cutoff") == _OPEN) | (F.col("part") + silent >= F.col("cutoff")))
-    found = _exact(kept.select("query_row", "row", "id"), rows).join(asking.select(F.col("row").alias("ask"), F.col("id").alias("query_id")), F.col("query_row") == F.col("ask"))
-    found = _top(found.withColumnRenamed("id", "vec_id").withColumn("id", F.col("vec_id")), "query_row" if per_row else "query_id", k)
+    with scratch() as keep:
+        # Written, so that a row's number is the same wherever it is used.
+        rows = written(rows, "vectors")
+        block = "dim int, slice int, {0}_ids binary, {0}_rows binary, {0}_mat binary".format
+        shards = partitions(spark)
+        row_blocks = rows.select("row", "id", "v").mapInPandas(_blocks("row", ROW_BLOCK), block("row"))
+        # Rows stay in ``shards`` groups; every block of queries visits each group.
+        shard = F.pmod(F.xxhash64("row_rows"), F.lit(shards)).cast("int")
+        row_blocks = written(row_blocks.withColumn("shard", shard).withColumn("rblock", F.xxhash64("row_rows")), "rows")
+        asking = rows.where("asks")
+        query_blocks = asking.select("row", "id", "v").mapInPandas(_blocks("query", QUERY_BLOCK), block("query"))
+        query_blocks = written(query_blocks.withColumn("block", F.xxhash64("query_rows")), "queries")
+        all_shards = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
+        meet = ["dim", "slice", "shard"]
+        # Phase 1.  Spark keeps so many rows of each query and slice before it shuffles them.
+        lists = written(query_blocks.where("slice >= 0").select("*", all_shards).join(row_blocks, meet).mapInPandas(_phase1(k), LISTS), "lists")
+        local = Window.partitionBy("query_row", "slice").orderBy(F.desc("part"), "id")
+        lists_top = lists.where("row >= 0").withColumn("r", F.row_number().over(local)).where(F.col("r") <= NAMED * k)
+        seen = _exact(lists_top.select("query_row", "row", "id").distinct(), rows)
+        cut = _top(seen, "query_row", k).where(F.col("rank") == k).select(F.col("query_row").alias("cq"), F.col("score").alias("cutoff"), F.col("id").alias("cut_id"))
+        span = lists.groupBy("query_row", "slice").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+        every = span.groupBy("query_row").agg(F.sum("low").alias("lows"), F.sum("high").alias("highs")).withColumnRenamed("query_row", "sq")
+        # Where fewer than k rows were seen, nothing is safe to leave out.
+        bounds = span.join(every, F.col("query_row") == F.col("sq")).join(cut, F.col("query_row") == F.col("cq"), "left")
+        cutoff = F.coalesce("cutoff", F.lit(_OPEN))
+        bounds = bounds.select("query_row", "slice", "low", cutoff.alias("cutoff"), F.coalesce("cut_id", F.lit((1 << 63) - 1)).alias("cut_id"), F.when(F.col("cutoff").isNull(), F.lit(_OPEN)).otherwise(F.col("cutoff") - F.col("lows")).alias("rest"), (F.col("highs") - F.col("high")).alias("others"))
+        bounds = written(bounds, "bounds")
+        asked = query_blocks.where("slice = 0").select("block", "query_rows").mapInPandas(_unpacked, "block long, at int, query_row long")
+        packed = asked.join(bounds, "query_row").groupBy("block", "slice").agg(F.sort_array(F.collect_list(F.struct("at", "cutoff", "cut_id", "low", "rest", "others"))).alias("c"))
+        armed = query_blocks.join(packed.mapInPandas(_bounds, "block long, slice int, bounds binary"), ["block", "slice"])
+        # Phase 2.
+        sent = row_blocks.join(armed.select("*", all_shards), meet).mapInPandas(_phase2, "block long, rblock long, sent binary")
+        sent = sent.groupBy("block", "rblock").agg(F.collect_list("sent").alias("sent"))
+        # Phase 3.
+        whole = query_blocks.where("slice = -1").join(armed.where("slice = 0").select("block", "bounds"), "block").drop("dim", "slice")
+        pairs = sent.join(row_blocks.where("slice = -1").drop("dim", "slice", "shard"), "rblock").join(whole, "block")
+        found = pairs.mapInPandas(_phase3(k), "query_row long, query_id long, id long, score long")
+        found = _top(found.withColumn("vec_id", F.col("id")), "query_row" if per_row else "query_id", k)
+        found = keep(written(found.drop("id"), "found"))
     return found.select(*["query_row"] * per_row, "query_id", "rank", "vec_id", "score")
 
 
