@@ -547,17 +547,32 @@ def test_topk_against_brute_force(spark):
         assert [got[q, k + 1] for k in range(5)] == [(i, -x) for x, i in order]
 
 
+def sent_rows(monkeypatch):
+    """From now on a search returns how many rows the slices of a pair of blocks sent."""
+    import pandas as pd
+
+    def counting(k):
+        def run(frames):
+            for f in frames:
+                for i in range(len(f)):
+                    n = len(np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in f["sent"][i]])))
+                    yield pd.DataFrame({"query_row": [0], "query_id": [int(f["rblock"][i]) ^ int(f["block"][i])], "id": [0], "score": [n]})
+
+        return run
+
+    monkeypatch.setattr(topk, "_phase3", counting)
+
+
 def test_topk_of_equal_vectors(spark, monkeypatch):
     """20,000 equal vectors: the k smallest ids, and no slice sends the rest."""
     rows = spark.range(20_000).select(F.col("id").alias("vec_id"), F.array(*(F.lit(0.5) for _ in range(64))).alias("embedding"))
-    sent = []
-    real = topk._exact
-    monkeypatch.setattr(topk, "_exact", lambda pairs, vectors: sent.append(pairs.count()) or real(pairs, vectors))
-    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(rows, F.col("vec_id") % 5000 == 0).collect())
+    is_query = F.col("vec_id") % 5000 == 0
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(rows, is_query).collect())
     score = 64 * 128 * 128
     want = {q: [i for i in range(7) if i != q][:5] for q in range(0, 20_000, 5000)}
     assert got == [(q, k + 1, i, score) for q in sorted(want) for k, i in enumerate(want[q])]
-    assert max(sent) <= 4 * 2 * topk.NAMED * 5
+    sent_rows(monkeypatch)
+    assert sum(r.score for r in topk.search(rows, is_query).collect()) == 4 * 5
 
 
 def test_topk_prunes(spark, monkeypatch):
@@ -565,11 +580,10 @@ def test_topk_prunes(spark, monkeypatch):
     rng = np.random.default_rng(8)
     m = rng.normal(size=(6000, 32)).astype("f4")
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(m)], "vec_id long, embedding array<float>")
-    exact = []
-    real = topk._exact
-    monkeypatch.setattr(topk, "_exact", lambda pairs, vectors: exact.append(pairs.count()) or real(pairs, vectors))
-    got = topk.search(df, F.col("vec_id") % 1000 == 0).count()
-    assert got == 30 and sum(exact) < 6 * 6000 / 10
+    is_query = F.col("vec_id") % 1000 == 0
+    assert topk.search(df, is_query).count() == 30
+    sent_rows(monkeypatch)
+    assert 30 <= sum(r.score for r in topk.search(df, is_query).collect()) < 6 * 6000 / 10
 
 
 def test_topk_of_large_and_short_vectors(spark):
