@@ -273,7 +273,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, p
 #: Text bytes of a stored batch, and of all texts that one bucket counts for.
 BATCH, BUCKET = 4 << 20, 24 << 20
 #: Rows of one side of a block.
-BLOCK = 1024
+BLOCK = 256
 SIMILARITY = 0.8
 #: Bytes that are hashed at a time.
 _SLICE = 1 << 20
