@@ -56,7 +56,7 @@ HOT = 1 << 14
 #: Windows of a segment at most; longer runs are several segments.
 RUN = 47
 #: Suffixes of a shard's array at most, but for the last key's.
-SHARD = 60_000
+SHARD = 40_000
 #: Segments that are laid out as a matrix at a time.
 _ROWS = 1 << 13
 _SLICE = 1 << 16
@@ -403,6 +403,11 @@ def _segments(buckets: int):
         content[:, -1] = long_
         kinds, some, j = np.unique(content.view(f"S{content.shape[1]}").ravel(), return_index=True, return_inverse=True) if len(start) else (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
         del content
+        # Numbered by where they first stand, so that numbers close by are sent together.
+        place = np.argsort(some)
+        number = np.empty(len(some), np.int64)
+        number[place] = np.arange(len(some))
+        some, j = some[place], number[j]
         low, high = np.full(len(kinds), NULL), np.full(len(kinds), np.iinfo(np.int64).min)
         np.minimum.at(low, j, key[doc])
         np.maximum.at(high, j, key[doc])
@@ -426,7 +431,7 @@ def _segments(buckets: int):
             rows = order[cut[k] : cut[k + 1]]
             n = length[rows]
             flat = text[np.arange(n.sum()) + np.repeat(begin[rows] - np.cumsum(n) + n, n)]
-            out.append((k, 0, pack(item[rows].astype("<i4"), base[rows].astype("u1"), n.astype("u1"), route[rows].astype("<u4"), low[item[rows]].astype("<i8"), high[item[rows]].astype("<i8")), squeeze(flat.tobytes())))
+            out.append((k, 0, pack(np.diff(item[rows], prepend=0).astype("<i4"), base[rows].astype("u1"), n.astype("u1"), route[rows].astype("<u4"), low[item[rows]].astype("<i8"), (high - low)[item[rows]].astype("<i8")), squeeze(flat.tobytes(), 6)))
         k, kind, data, more = zip(*out)
         return record(bucket=k, kind=kind, batch=[batch] * len(k), data=data, more=more)
 
@@ -474,7 +479,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         cols = [unpack(r["data"], "<i4", "u1", "u1", "<u4", "<i8", "<i8") for r in rows]
         who = np.repeat(np.arange(len(rows)), [len(c[0]) for c in cols])
-        j, base, size, route, low, high = (np.concatenate(c) for c in zip(*cols))
+        j, base, size, route, low, high = (np.concatenate(c) for c in zip(*((np.cumsum(c[0], dtype="<i4"), *c[1:4], c[4], c[4] + c[5]) for c in cols)))
         size = size.astype(np.int64)
         flat = np.frombuffer(b"".join(unsqueeze(r["more"]) for r in rows), np.uint8)
         begin = np.cumsum(size) - size
