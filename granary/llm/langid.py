@@ -24,12 +24,16 @@ not held out; extra columns are ignored; an empty table gives no row.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from granary.llm.common import lean
+
 ORDER = 3
 PER_LANGUAGE = 300
 SAMPLE_CHARS = 200_000
@@ -183,10 +187,14 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, held_out, lang_pred, score for (doc_id, held_out, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def said(texts: pd.Series) -> pd.DataFrame:
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
-        return pd.DataFrame([model.predict(t) if model else ("und", 0.0) for t in texts], columns=["lang_pred", "score"])
+        for texts in batches:
+            yield pd.DataFrame([model.predict(t) if model else ("und", 0.0) for t in texts], columns=["lang_pred", "score"])
+
+    @F.pandas_udf("lang_pred string, score double")
+    def said(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        return lean(predicted)(batches)
 
     return docs.select("doc_id", "held_out", said("text").alias("said")).select("doc_id", "held_out", "said.*")
 

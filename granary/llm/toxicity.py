@@ -26,12 +26,14 @@ import math
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from granary.llm.common import lean
 from granary.llm.langid import bounded_sample, held_out
 
 PER_CLASS = 1500
@@ -198,11 +200,15 @@ def scorer(docs: DataFrame, lexicon: Lexicon):
     """A function of a text column that gives its score."""
     shared, table = docs.sparkSession.sparkContext.broadcast(lexicon), _Fold()
 
-    @F.pandas_udf("double")
-    def scored(texts: pd.Series) -> pd.Series:
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         lexicon = shared.value
         automaton = lexicon.automaton()
-        return pd.Series([lexicon.score(automaton, fold(t or "", table)) for t in texts], dtype="float64")
+        for texts in batches:
+            yield pd.Series([lexicon.score(automaton, fold(t or "", table)) for t in texts], dtype="float64")
+
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        return lean(scores)(batches)
 
     return scored
 
