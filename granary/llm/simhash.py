@@ -271,7 +271,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, p
 # ---- one document of each group of similar texts ----------------------------
 
 #: Text bytes of a stored batch, and of all texts that one bucket counts for.
-BATCH, BUCKET = 4 << 20, 24 << 20
+BATCH, BUCKET = 2 << 20, 16 << 20
 #: Rows of one side of a block.
 BLOCK = 256
 SIMILARITY = 0.8
