@@ -16,8 +16,11 @@ blocks of a slice meet pairwise, a slice in its own tasks.
    blocks; those that reach the cutoff are ranked.
 
 Scores are integers: components become floor(scale * x) and are summed exactly
-(in doubles while every sum stays below 2^53, else in 64-bit integers).  Memory:
-a task holds two blocks and the scores of STRIP queries against one block.
+(in floats while every sum stays below 2^24, in doubles below 2^53, else in 64-bit
+integers).  Memory: a task holds two blocks and the scores of STRIP queries against
+one block.  Joins of blocks and vectors are merge joins: files of blocks are small
+beside what they hold, and each block of queries comes once for every shard, so a
+broadcast that sizes allow would not fit the driver.
 
 Defined results: vectors that are null or empty or hold a null or non-finite
 component take no part; vectors of different lengths have no score with each
@@ -49,6 +52,8 @@ ROW_BLOCK = 4096
 QUERY_BLOCK = 512
 #: Queries of a block whose scores are held at a time.
 STRIP = 64
+#: Scores of which only the greatest is compared at first.
+PART = 64
 #: Sent rows that are scored at a time.
 ENTRIES = 1 << 15
 EVERY = 50
@@ -57,6 +62,17 @@ SCALE = 256
 _OPEN = -(1 << 62)
 
 
+def _packed(m: np.ndarray) -> bytes:
+    """A matrix in the least integers that hold it: their size, then the cells."""
+    most = max(int(m.max(initial=0)), -int(m.min(initial=0)))
+    size = 2 if most < 1 << 15 else 4 if most < 1 << 31 else 8
+    return size.to_bytes(8, "little") + np.ascontiguousarray(m, f"<i{size}").tobytes()
+
+
+def _matrix(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"<i{data[0]}", offset=8).reshape(n, -1)
+
+
 def _blocks(name: str, size: int):
     """Rows (row, id, v) to blocks of at most ``size`` vectors of one length by
     ascending id: one for each slice and, as slice -1, the whole vectors."""
@@ -68,7 +84,7 @@ def _blocks(name: str, size: int):
         cut = np.linspace(0, dim, NODES + 1).astype(int)
         shared = {"dim": dim, f"{name}_ids": np.array(ids, "<i8").tobytes(), f"{name}_rows": np.array(places, "<i8").tobytes()}
         parts = [(-1, m), *((i, m[:, x:y]) for i, (x, y) in enumerate(zip(cut, cut[1:])))]
-        return [shared | {"slice": i, f"{name}_mat": np.ascontiguousarray(x).tobytes()} for i, x in parts]
+        return [shared | {"slice": i, f"{name}_mat": _packed(x)} for i, x in parts]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
@@ -89,26 +105,41 @@ class _Pair:
     def __init__(self, f: pd.DataFrame, i: int) -> None:
         part = lambda c: np.frombuffer(f[c][i], "<i8")
         self.ids, self.rows, self.query_ids, self.query_rows = map(part, ("row_ids", "row_rows", "query_ids", "query_rows"))
-        a, b = part("row_mat").reshape(len(self.ids), -1), part("query_mat").reshape(len(self.query_ids), -1)
+        a, b = _matrix(f["row_mat"][i], len(self.ids)), _matrix(f["query_mat"][i], len(self.query_ids))
         peak = max(1, int(abs(a).max(initial=0))) * max(1, int(abs(b).max(initial=0))) * max(1, a.shape[1])
-        kind = np.float64 if peak < 1 << 53 else np.int64
+        kind = np.float32 if peak < 1 << 24 else np.float64 if peak < 1 << 53 else np.int64
+        #: Above and below every score, and exact in its type.
+        self.most = 1 << 24 if kind is np.float32 else 1 << 53 if kind is np.float64 else (1 << 63) - 1
         self.a, self.b = a.astype(kind), b.astype(kind)
 
     def strips(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(first query, partial scores as integers, which are a query's own id)."""
+        """(first query, partial scores, which are whole numbers; the places of a
+        query's own id as (query, row))."""
+        mine = np.isin(self.query_ids, self.ids)
         for at in range(0, len(self.b), STRIP):
-            own = self.query_ids[at : at + STRIP, None] == self.ids
-            yield at, (self.b[at : at + STRIP] @ self.a.T).astype(np.int64), own
-
-
-def _best(scores: np.ndarray, k: int) -> np.ndarray:
-    """Which k of each row are greatest, the first ones at a tie."""
-    if scores.shape[1] <= k:
-        return np.ones(scores.shape, bool)
-    least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
-    take = scores > least
-    tie = scores == least
-    return take | (tie & (np.cumsum(tie, axis=1) <= k - take.sum(axis=1, keepdims=True)))
+            own = np.nonzero(self.query_ids[at : at + STRIP, None] == self.ids) if mine[at : at + STRIP].any() else (np.zeros(0, np.intp),) * 2
+            yield at, self.b[at : at + STRIP] @ self.a.T, own
+
+
+def _best(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, place) of the k greatest of each row, the first ones at a tie."""
+    n, width = scores.shape
+    part = max(1, min(PART, width // k))
+    whole = width // part
+    if whole <= k:
+        q, r = np.nonzero(np.ones(scores.shape, bool))
+    else:
+        # The k-th of the parts' greatest scores is at most the k-th score.
+        peaks = scores[:, : whole * part].reshape(n, whole, part).max(axis=2)
+        q, r = np.nonzero(scores >= np.partition(peaks, whole - k, axis=1)[:, whole - k, None])
+    if len(q) > PART * k * n:  # so many ties that they are counted, not sorted
+        least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        take, tie = scores > least, scores == least
+        return np.nonzero(take | (tie & (np.cumsum(tie, axis=1) <= k - take.sum(axis=1, keepdims=True))))
+    order = np.lexsort((r, -scores[q, r], q))
+    q, r = q[order], r[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q) < k
+    return q[keep], r[keep]
 
 
 LISTS = "query_row long, slice int, row long, id long, part long"
@@ -122,9 +153,11 @@ def _phase1(k: int):
     def lists(p: _Pair, mine: int) -> pd.DataFrame:
         out = []
         for at, scores, own in p.strips():
-            q, r = np.nonzero(_best(np.where(own, _OPEN, scores), k) & ~own)
-            n = len(scores)
-            out.append((np.concatenate([p.query_rows[at + q], p.query_rows[at : at + n]]), np.concatenate([p.rows[r], np.full(n, -1)]), np.concatenate([p.ids[r], np.full(n, -1)]), np.concatenate([scores[q, r], scores.min(axis=1)])))
+            n, low = len(scores), scores.min(axis=1)
+            scores[own] = -p.most
+            q, r = _best(scores, k)
+            q, r = (x[scores[q, r] > -p.most] for x in (q, r))
+            out.append((np.concatenate([p.query_rows[at + q], p.query_rows[at : at + n]]), np.concatenate([p.rows[r], np.full(n, -1)]), np.concatenate([p.ids[r], np.full(n, -1)]), np.concatenate([scores[q, r], low]).astype(np.int64)))
         asks, row, ids, part = map(np.concatenate, zip(*out))
         return pd.DataFrame({"query_row": asks, "slice": mine, "row": row, "id": ids, "part": part})
 
@@ -155,12 +188,15 @@ def _phase2(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for i in range(len(f)):
             p, places = _Pair(f, i), []
             cutoff, cut_id, low, rest, others = np.frombuffer(f["bounds"][i], "<i8").reshape(5, -1)
+            # The share, rounded up to a whole score, and what the other slices leave.
+            reach = cutoff - others
+            floor = np.clip(np.maximum(low - -rest // NODES, reach), -p.most, p.most).astype(p.a.dtype)
             for at, scores, own in p.strips():
-                s = slice(at, at + len(scores))
-                reach = scores + others[s, None]
-                # In integers: NODES times what is above the least is at least the rest.
-                send = (NODES * (scores - low[s, None]) >= rest[s, None]) & ((reach > cutoff[s, None]) | ((reach == cutoff[s, None]) & (p.ids <= cut_id[s, None])))
-                q, r = np.nonzero(send & ~own)
+                scores[own] = -p.most
+                q, r = np.nonzero(scores >= floor[at : at + len(scores), None])
+                score = scores[q, r].astype(np.int64)
+                send = (score > -p.most) & ((score > reach[at + q]) | (p.ids[r] <= cut_id[at + q]))
+                q, r = q[send], r[send]
                 places.append((at + q).astype("<u4") << np.uint32(16) | r.astype("<u4"))
             places = np.concatenate(places)
             if len(places):
@@ -199,7 +235,7 @@ def _bounds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _exact(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """``pairs`` (query_row, row, ...) with their full ``score``."""
     v = vectors.select("row", "v")
-    both = pairs.join(v.toDF("row", "_v"), "row").join(v.toDF("query_row", "_q"), "query_row")
+    both = pairs.join(v.toDF("row", "_v").hint("merge"), "row").join(v.toDF("query_row", "_q").hint("merge"), "query_row")
     score = F.aggregate(F.zip_with("_v", "_q", lambda x, y: x * y), F.lit(0).cast("long"), lambda a, x: a + x)
     return both.withColumn("score", score).drop("_v", "_q")
 
@@ -234,7 +270,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCAL
         all_shards = F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard")
         meet = ["dim", "slice", "shard"]
         # Phase 1.  Spark keeps so many rows of each query and slice before it shuffles them.
-        lists = written(query_blocks.where("slice >= 0").select("*", all_shards).join(row_blocks, meet).mapInPandas(_phase1(k), LISTS), "lists")
+        lists = written(query_blocks.where("slice >= 0").select("*", all_shards).join(row_blocks.hint("merge"), meet).mapInPandas(_phase1(k), LISTS), "lists")
         local = Window.partitionBy("query_row", "slice").orderBy(F.desc("part"), "id")
         lists_top = lists.where("row >= 0").withColumn("r", F.row_number().over(local)).where(F.col("r") <= NAMED * k)
         seen = _exact(lists_top.select("query_row", "row", "id").distinct(), rows)
@@ -248,13 +284,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, scale: float = SCAL
         bounds = written(bounds, "bounds")
         asked = query_blocks.where("slice = 0").select("block", "query_rows").mapInPandas(_unpacked, "block long, at int, query_row long")
         packed = asked.join(bounds, "query_row").groupBy("block", "slice").agg(F.sort_array(F.collect_list(F.struct("at", "cutoff", "cut_id", "low", "rest", "others"))).alias("c"))
-        armed = query_blocks.join(packed.mapInPandas(_bounds, "block long, slice int, bounds binary"), ["block", "slice"])
+        armed = query_blocks.hint("merge").join(packed.mapInPandas(_bounds, "block long, slice int, bounds binary"), ["block", "slice"])
         # Phase 2.
-        sent = row_blocks.join(armed.select("*", all_shards), meet).mapInPandas(_phase2, "block long, rblock long, sent binary")
+        sent = row_blocks.hint("merge").join(armed.select("*", all_shards), meet).mapInPandas(_phase2, "block long, rblock long, sent binary")
         sent = sent.groupBy("block", "rblock").agg(F.collect_list("sent").alias("sent"))
         # Phase 3.
-        whole = query_blocks.where("slice = -1").join(armed.where("slice = 0").select("block", "bounds"), "block").drop("dim", "slice")
-        pairs = sent.join(row_blocks.where("slice = -1").drop("dim", "slice", "shard"), "rblock").join(whole, "block")
+        whole = query_blocks.where("slice = -1").hint("merge").join(armed.where("slice = 0").select("block", "bounds"), "block").drop("dim", "slice")
+        pairs = sent.join(row_blocks.where("slice = -1").drop("dim", "slice", "shard").hint("merge"), "rblock").join(whole.hint("merge"), "block")
         found = pairs.mapInPandas(_phase3(k), "query_row long, query_id long, id long, score long")
         found = _top(found.withColumn("vec_id", F.col("id")), "query_row" if per_row else "query_id", k)
         found = keep(written(found.drop("id"), "found"))
