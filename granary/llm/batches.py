@@ -7,6 +7,7 @@ compressed block (``texts``) and the other columns as an Arrow stream (``rest``)
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +24,34 @@ PLACE_BITS = 16
 STORED = "batch long, docs binary, texts binary, rest binary"
 
 
+#: Messages of less are squeezed by one compressor, as its tables cost more than they do.
+SMALL = 1 << 16
+
+
+@cache
+def _squeezer(level: int):
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=level)
+
+
+@cache
+def _unsqueezer():
+    import zstandard
+
+    return zstandard.ZstdDecompressor()
+
+
 def squeeze(data: bytes, level: int = 3) -> bytes:
+    if len(data) < SMALL:
+        return _squeezer(level).compress(data)
     import zstandard
 
     return zstandard.ZstdCompressor(level=level).compress(data)
 
 
 def unsqueeze(data) -> bytes:
-    import zstandard
-
-    return zstandard.ZstdDecompressor().decompress(data)
+    return _unsqueezer().decompress(data)
 
 
 def pack(*arrays: np.ndarray) -> bytes:

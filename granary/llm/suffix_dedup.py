@@ -57,6 +57,8 @@ HOT = 1 << 14
 RUN = 47
 #: Suffixes of a shard's array at most, but for the last key's.
 SHARD = 40_000
+#: Spans of a bucket that are held before they are dealt out to their batches.
+FOUND = 1 << 20
 #: Segments that are laid out as a matrix at a time.
 _ROWS = 1 << 13
 _SLICE = 1 << 16
@@ -130,11 +132,25 @@ def runs(text: np.ndarray, lens: np.ndarray, skip: np.ndarray) -> tuple[np.ndarr
 # ---- the enhanced suffix array ----------------------------------------------
 
 
+def _again(padded: np.ndarray, seg: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Which windows' bytes may stand at another place too."""
+    if not len(seg):
+        return np.zeros(0, bool)
+    word, at, h = _words(padded.ravel()), seg * padded.shape[1] + off, np.zeros(len(seg), np.uint64)
+    for w in (0, 14, 28, LEAST - 8):
+        h = (h ^ word[at + w]) * _M[0]
+        h ^= h >> np.uint64(32)
+    h = (h * _M[1]) >> np.uint64(61 - len(seg).bit_length())
+    return np.bincount(h.view(np.int64), minlength=1)[h.view(np.int64)] > 1
+
+
 class SuffixArray:
     """Suffixes of at least LEAST bytes of short segments, in order.
 
     ``rows``: segments as a zero-padded byte matrix; ``lens``: their lengths.
     ``lcp[i]`` is the common prefix of the suffixes at ranks i and i + 1.
+    Suffixes whose first LEAST bytes no other has are left out, as far as a hash
+    tells: no repeat has them, and segments that met by chance are mostly such.
     """
 
     def __init__(self, rows: np.ndarray, lens: np.ndarray) -> None:
@@ -144,6 +160,8 @@ class SuffixArray:
         off = np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
         padded = np.zeros((len(rows), 2 * width), np.uint8)
         padded[:, :width] = rows
+        some = _again(padded, seg, off)
+        seg, off = seg[some], off[some]
         size = lens[seg] - off
         # The length, in the last byte, puts a suffix before its extensions even
         # where the text goes on with zero bytes.
@@ -484,14 +502,26 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat = np.frombuffer(b"".join(unsqueeze(r["more"]) for r in rows), np.uint8)
         begin = np.cumsum(size) - size
         found: list[list] = [[] for _ in rows]
+        held: list[tuple] = []
+
+        def deal() -> None:
+            """Spans of many arrays at once, so that work grows with spans, not with arrays times batches."""
+            owner, *cols = (np.concatenate(c) for c in zip(*held))
+            held.clear()
+            sort = np.argsort(owner, kind="stable")
+            owner, cols = owner[sort], [c[sort] for c in cols]
+            ends = np.searchsorted(owner, np.arange(len(rows) + 1))
+            for k in np.flatnonzero(np.diff(ends)).tolist():
+                found[k].append(tuple(c[ends[k] : ends[k + 1]] for c in cols))
+
         order = np.argsort(route, kind="stable")
-        done = 0
+        sorted_route = route[order]
+        done, many = 0, 0
         weight = np.cumsum((size - LEAST + 1)[order])
         while done < len(order):  # whole keys, until the array is large enough
             end = int(np.searchsorted(weight, (weight[done - 1] if done else 0) + SHARD)) + 1
             end = min(end, len(order))
-            while end < len(order) and route[order[end]] == route[order[end - 1]]:
-                end = int(np.searchsorted(route[order], route[order[end - 1]], side="right"))
+            end = int(np.searchsorted(sorted_route, sorted_route[end - 1], side="right"))
             part = order[done:end]
             done = end
             kinds, of = _distinct(flat, begin[part], size[part])
@@ -508,13 +538,13 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - cut[of], n)
             use = doc[at] < high[part][row]
             row, at = row[use], at[use]
-            owner = who[part][row]
-            sort = np.argsort(owner, kind="stable")
-            row, at, owner = row[sort], at[sort], owner[sort]
-            ends = np.searchsorted(owner, np.arange(len(rows) + 1))
-            for k in np.flatnonzero(np.diff(ends)).tolist():
-                a, b = ends[k], ends[k + 1]
-                found[k].append((j[part][row[a:b]], (off[at[a:b]] + base[part][row[a:b]]).astype("u1"), length[at[a:b]].astype("u1"), doc[at[a:b]]))
+            held.append((who[part][row].astype("<i4"), j[part][row], (off[at] + base[part][row]).astype("u1"), length[at].astype("u1"), doc[at]))
+            many += len(row)
+            if many >= FOUND:
+                deal()
+                many = 0
+        if held:
+            deal()
         out = [(r["batch"], pack(*(np.concatenate(c) for c in zip(*f)))) for r, f in zip(rows, found) if f]
         if out:
             batch, data = zip(*out)
@@ -588,8 +618,10 @@ def _applied(docs: DataFrame, rest: list[str]) -> DataFrame:
     spark = docs.sparkSession
     with scratch() as keep:
         stored = keep(store_texts(docs, rest, BATCH))
-        # A bucket has the segments of at most some 64 batches' worth of text.
-        buckets = max(partitions(spark), stored.count() // 64)
+        # A bucket has the segments of at most some 64 batches' worth of text.  Every batch
+        # sends a message to every bucket, so of many batches a bucket has at least 8's worth.
+        count = stored.count()
+        buckets = max(count // 64, min(partitions(spark), max(256, count // 8)))
         message = "bucket int, kind int, batch long, data binary, more binary"
         # No name holds the shuffled frames, so their files go once they are written.
         told = written(to_buckets(stored.select("batch", "docs", "texts").mapInArrow(lean(_ask(buckets)), message), buckets).mapInArrow(lean(_answer), "batch long, kind int, data binary"), "keys", "uncompressed")
