@@ -35,6 +35,11 @@ def stock_set(spark, d):
     return merge.set_stock(_stock(spark, d, lambda k: k % 5), values, _now()).select("ing_id", "qty", F.to_date("bought_at").alias("bought_on"))
 
 
+def _apart(id_, known: bool):
+    """A key that tells known ids from made-up ones, which a large table may have too."""
+    return F.struct(id_.alias("id"), F.lit(known).alias("known"))
+
+
 @query("SELECT p_partkey AS ing_id, (p_partkey % 5)::DOUBLE AS qty, p_partkey % 2 = 0 AS useup FROM part UNION ALL SELECT p_partkey + 1000000, 0.0, TRUE FROM part WHERE p_partkey % 50 = 0")
 def useup_set(spark, d):
     k = F.col("ing_id")
@@ -51,8 +56,9 @@ def effort_record(spark, d):
     """Only 1 to 600 minutes count, unknown dishes are nobody's."""
     k = F.col("id")
     base = analog.ingredients(spark, d).select("id", F.col("shelf").alias("effort"))
-    efforts = base.where(k % 2 == 0).select("id", (k * 7 % 700).cast("int").alias("effort")).unionByName(base.where(k % 50 == 0).select((k + 1000000).alias("id"), F.lit(5).alias("effort")))
-    return merge.record_effort(base.withColumn("effort_src", F.lit("")), efforts)[0]
+    efforts = base.where(k % 2 == 0).select(_apart(k, True).alias("id"), (k * 7 % 700).cast("int").alias("effort")).unionByName(base.where(k % 50 == 0).select(_apart(k + 1000000, False).alias("id"), F.lit(5).alias("effort")))
+    state = base.select(_apart(k, True).alias("id"), "effort", F.lit("").alias("effort_src"))
+    return merge.record_effort(state, efforts)[0].select("id.id", "effort", "effort_src")
 
 
 @query("SELECT p_partkey::VARCHAR AS id FROM part WHERE p_partkey <> 3")
