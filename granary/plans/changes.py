@@ -44,8 +44,9 @@ def _apart(id_, known: bool):
 def useup_set(spark, d):
     k = F.col("ing_id")
     s = analog.stock(spark, d)
-    flags = s.where(k % 2 == 0).select("ing_id").unionByName(s.where(k % 50 == 0).select((k + 1000000).alias("ing_id"))).withColumn("useup", F.lit(True))
-    return merge.set_useup(_stock(spark, d, lambda k: k % 5), flags).select("ing_id", "qty", "useup")
+    flags = s.where(k % 2 == 0).select(_apart(k, True).alias("ing_id")).unionByName(s.where(k % 50 == 0).select(_apart(k + 1000000, False).alias("ing_id"))).withColumn("useup", F.lit(True))
+    state = _stock(spark, d, lambda k: k % 5).withColumn("ing_id", _apart(k, True))
+    return merge.set_useup(state, flags).select("ing_id.id", "qty", "useup").withColumnRenamed("id", "ing_id")
 
 
 _TIMED = "p_partkey % 2 = 0 AND p_partkey * 7 % 700 BETWEEN 1 AND 600"
