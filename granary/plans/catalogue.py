@@ -174,7 +174,7 @@ def stock_state(spark, d):
 
 @query("SELECT user_id AS item, max(ts) FILTER (event_type = 'purchase') AS bought_at FROM events GROUP BY 1")
 def purchase_clock(spark, d):
-    return ledger.purchase_clock(analog.ledger(spark, d).withColumn("delta", F.when(F.col("is_set"), 0.0).otherwise(F.col("delta"))), "item", ["ts", "event_id"], "ts", F.col("delta"))
+    return ledger.purchase_clock(analog.ledger(spark, d), "item", ["ts", "event_id"], "ts", F.col("bought").cast("int"))
 
 
 @query("""

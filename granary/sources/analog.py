@@ -53,9 +53,9 @@ def pins(spark, d) -> DataFrame:
 
 
 def ledger(spark, d) -> DataFrame:
-    """Purchases add, signups set, everything else takes."""
+    """Purchases add, signups set, everything else takes.  A purchase is one, whatever its value."""
     kind, v = F.col("event_type"), F.col("value")
-    return table(spark, d, "events").select(F.col("user_id").alias("item"), "ts", "event_id", F.when(kind.isin("purchase", "signup"), v).otherwise(-v).alias("delta"), (kind == "signup").alias("is_set"))
+    return table(spark, d, "events").select(F.col("user_id").alias("item"), "ts", "event_id", F.when(kind.isin("purchase", "signup"), v).otherwise(-v).alias("delta"), (kind == "signup").alias("is_set"), (kind == "purchase").alias("bought"))
 
 
 def composition(spark, d) -> DataFrame:
